@@ -1,0 +1 @@
+"""Inputs, queries and independent SQL for checking the library on the test tables."""
