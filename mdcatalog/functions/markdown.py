@@ -96,18 +96,16 @@ def append_section(body: Column, heading: str, content: Column) -> Column:
     return F.when(empty, body).otherwise(F.concat(start, F.lit(f"# {heading}\n\n"), content))
 
 
-def extra_sections(existing: Column, fresh: Column) -> Column:
-    """Level-1/2 sections of ``existing`` whose heading does not occur in ``fresh``."""
-    known = headings(fresh)
+def extra_sections(existing: Column, known: Column) -> Column:
+    """Level-1/2 sections of ``existing`` whose heading is not among the ``known`` ones."""
     return F.filter(
         section_chunks(existing),
         lambda c: (chunk_level(c) > 0) & ~F.array_contains(known, chunk_heading(c)),
     )
 
 
-def keep_extra_sections(fresh: Column, existing: Column) -> Column:
-    """``fresh`` followed by the sections only ``existing`` has."""
-    extras = extra_sections(existing, fresh)
+def append_sections(fresh: Column, extras: Column) -> Column:
+    """``fresh`` followed by an array of sections."""
     added = F.array_join(F.transform(extras, lambda c: F.concat(F.lit("\n\n"), trim_newlines(c))), "")
     return F.when(F.size(extras) > 0, F.concat(trim_newlines(fresh), added, F.lit("\n"))).otherwise(fresh)
 

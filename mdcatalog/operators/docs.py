@@ -14,6 +14,7 @@ from ..functions import frontmatter as fm
 from ..functions import markdown as md
 from ..functions import paths as pt
 from ..functions import text as tx
+from ..functions.rows import evaluate_once
 
 _KNOWN = ["type", "title", "description", "resource", "timestamp", "content_hash", "enriched_against"]
 
@@ -31,9 +32,9 @@ def parse_concepts(raw: DataFrame, yaml: bool = True) -> DataFrame:
     """
     files = markdown_files(raw).where(~pt.is_reserved(F.col("path")))
     content = F.col("content")
-    split = files.select(
-        "bundle", "path", fm.has_block(content).alias("_has"), fm.block(content).alias("_yaml"), fm.body(content).alias("body"),
-    ).withColumn("_flat", F.col("_has") & fm.is_flat(F.col("_yaml")))
+    split = evaluate_once(files, "bundle", "path", fm.has_block(content).alias("_has"),
+                          fm.block(content).alias("_yaml"), fm.body(content).alias("body"))
+    split = evaluate_once(split, "bundle", "path", "body", "_has", "_yaml", (F.col("_has") & fm.is_flat(F.col("_yaml"))).alias("_flat"))
     flat, flat_tags = fm.flat_fields(F.col("_yaml")), fm.flat_list(F.col("_yaml"), "tags")
     if yaml:
         split = split.withColumn("_json", fm.yaml_to_json(F.when(F.col("_has") & ~F.col("_flat"), F.col("_yaml"))))
@@ -46,7 +47,7 @@ def parse_concepts(raw: DataFrame, yaml: bool = True) -> DataFrame:
         fields, tags = F.when(F.col("_flat"), flat), F.when(F.col("_flat"), flat_tags)
         problem = F.when(~F.col("_flat"), F.lit("YAML outside the flat subset"))
     error = F.when(~F.col("_has"), F.lit("missing frontmatter boundaries")).otherwise(problem)
-    parsed = split.select("bundle", "path", "body", fields.alias("_f"), tags.alias("_t"), error.alias("parse_error"))
+    parsed = evaluate_once(split, "bundle", "path", "body", fields.alias("_f"), tags.alias("_t"), error.alias("parse_error"))
     ok = F.col("parse_error").isNull()
     known = [F.when(ok, F.coalesce(F.col("_f")[k], F.lit(""))).alias(k) for k in _KNOWN]
     extra = F.map_filter("_f", lambda k, _: ~k.isin(*_KNOWN, "tags"))
@@ -115,15 +116,14 @@ def _table_rows(concepts: DataFrame, section: Column, closed: bool = True) -> Da
     """(bundle, concept_id, ordinal, header, cells): rows of the first table of a section."""
     lines = F.col("_lines")
     cells = md.split_cells(F.col("_line"))
-    return (
-        readable(concepts)
-        .select("bundle", "concept_id", md.table_lines(section, closed).alias("_lines"))
-        .where(F.size(lines) > 1)
-        .withColumn("header", F.transform(md.split_cells(lines[0]), F.lower))
+    found = evaluate_once(readable(concepts), "bundle", "concept_id", section.alias("_section"))
+    found = evaluate_once(found.where("_section IS NOT NULL"), "bundle", "concept_id", md.table_lines(F.col("_section"), closed).alias("_lines"))
+    rows = (
+        found.where(F.size(lines) > 1)
+        .select("bundle", "concept_id", F.transform(md.split_cells(lines[0]), F.lower).alias("header"), "_lines")
         .select("bundle", "concept_id", "header", F.posexplode(F.slice(lines, F.lit(2), F.size(lines))).alias("ordinal", "_line"))
-        .select("bundle", "concept_id", "ordinal", "header", cells.alias("cells"))
-        .where(~md.is_divider(F.col("cells")))
     )
+    return evaluate_once(rows, "bundle", "concept_id", "ordinal", "header", cells.alias("cells")).where(~md.is_divider(F.col("cells")))
 
 
 def parse_columns(concepts: DataFrame) -> DataFrame:
@@ -227,7 +227,8 @@ def resolved_links(concepts: DataFrame, by_line: bool = False) -> DataFrame:
     """Links with ``target_id``; external, non-document and self links are dropped."""
     found = links_by_line(concepts) if by_line else links(concepts)
     target = pt.resolve_link(F.col("source_id"), F.col("target"))
-    return found.withColumn("target_id", target).where((F.col("target_id") != "") & (F.col("target_id") != F.col("source_id")))
+    resolved = evaluate_once(found, *found.columns, target.alias("target_id"))
+    return resolved.where((F.col("target_id") != "") & (F.col("target_id") != F.col("source_id")))
 
 
 def citations(concepts: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from .. import fixed_values as fv
 from ..functions import markdown as md
 from ..functions import paths as pt
 from ..functions import text as tx
+from ..functions.rows import evaluate_once
 from ..session import cut_lineage
 from . import docs
 
@@ -75,7 +76,7 @@ def _relation(heading: Column, text: Column) -> Column:
 def typed_links(concepts: DataFrame) -> DataFrame:
     """Resolved links with relation and foreign-key label, before deduplication."""
     found = docs.resolved_links(concepts, by_line=True)
-    typed = found.withColumn("relation", _relation(F.col("heading"), F.col("text")))
+    typed = evaluate_once(found, *found.columns, _relation(F.col("heading"), F.col("text")).alias("relation"))
     label = F.when(F.col("relation") == "references", F.regexp_extract("line", fv.FK_LABEL, 1)).otherwise("")
     return typed.withColumn("label", label)
 
@@ -151,7 +152,8 @@ def fuzzy_search(nodes: DataFrame, query: str, types: list[str] | None = None) -
     found = nodes.where("kind = 'concept'")
     if types is not None:
         found = filter_types(found, types)
-    scored = found.select("bundle", "id", tx.fuzzy_score(query.strip(), search_text(nodes)).alias("score"))
+    texts = evaluate_once(found, "bundle", "id", search_text(nodes).alias("_text"))
+    scored = evaluate_once(texts, "bundle", "id", tx.fuzzy_score(query.strip(), F.col("_text")).alias("score"))
     return scored.where("score >= 0").orderBy(F.desc("score"), "bundle", "id")
 
 

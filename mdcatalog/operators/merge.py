@@ -10,6 +10,7 @@ from ..functions import frontmatter as fm
 from ..functions import markdown as md
 from ..functions import paths as pt
 from ..functions import text as tx
+from ..functions.rows import evaluate_once
 
 FIELDS = ["path", "type", "title", "description", "resource", "tags", "timestamp",
           "content_hash", "enriched_against", "body"]
@@ -29,7 +30,7 @@ def merge_concepts(existing: DataFrame, fresh: DataFrame) -> DataFrame:
     sections the fresh body does not have. Each concept meets at most one counterpart, so
     the join has no hot keys.
     """
-    new = fresh.withColumn("content_hash", tx.structural_hash(F.col("body")))
+    new = evaluate_once(fresh, *[c for c in fresh.columns if c != "content_hash"], tx.structural_hash(F.col("body")).alias("content_hash"))
     keys = ["bundle", "concept_id"]
     n = new.select(*keys, F.struct(*[c for c in FIELDS if c in new.columns]).alias("n"))
     has_extra = "extra" in existing.columns
@@ -37,6 +38,9 @@ def merge_concepts(existing: DataFrame, fresh: DataFrame) -> DataFrame:
     e = existing.where("parse_error IS NULL") if "parse_error" in existing.columns else existing
     e = e.select(*keys, F.struct(*[c for c in kept if c in e.columns]).alias("e"))
     both = n.join(e, keys, "left")
+    # Sections only the existing body has: the fresh headings are listed once per row.
+    both = evaluate_once(both, *keys, "n", "e", md.headings(F.col("n.body")).alias("_known"))
+    both = evaluate_once(both, *keys, "n", "e", md.extra_sections(F.col("e.body"), F.col("_known")).alias("_extras"))
 
     new_names = [f.name for f in n.schema["n"].dataType.fields]
     old_names = [f.name for f in e.schema["e"].dataType.fields]
@@ -50,13 +54,13 @@ def merge_concepts(existing: DataFrame, fresh: DataFrame) -> DataFrame:
             "description": F.when(tx.trim_ws(theirs) != "", theirs).otherwise(ours),
             "enriched_against": theirs,
             "tags": union_tags(ours, theirs) if name == "tags" else None,
-            "body": md.keep_extra_sections(ours, theirs) if name == "body" else None,
+            "body": F.when(F.size("_extras") > 0, md.append_sections(ours, F.col("_extras"))).otherwise(ours) if name == "body" else None,
         }.get(name, ours)
         return F.when(missing, ours).when(same, theirs).otherwise(merged)
 
     change = F.when(missing, "Creation").when(same, "").otherwise("Update")
     extra = [F.col("e.extra").alias("extra")] if has_extra else []
-    return both.select(*keys, *[value(c).alias(c) for c in FIELDS], *extra, change.alias("change"))
+    return evaluate_once(both, *keys, *[value(c).alias(c) for c in FIELDS], *extra, change.alias("change"))
 
 
 def log_entries(merged: DataFrame, date: str, run: int = 0) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from .. import fixed_values as fv
 from ..functions import markdown as md
 from ..functions import text as tx
+from ..functions.rows import evaluate_once
 
 _NO_TEXT = "array<string>"
 
@@ -67,12 +68,18 @@ _DOCUMENT = (
 
 def _document(specs: DataFrame) -> DataFrame:
     doc = F.from_json("json", _DOCUMENT)
-    return specs.select("spec", doc.alias("doc")).select(
+    return evaluate_once(specs, "spec", doc.alias("doc")).select(
         "spec",
         F.coalesce(F.col("doc.components.schemas"), F.col("doc.definitions")).alias("schemas"),
         F.col("doc.paths").alias("paths"))
 
 
+def _by_key(column: str) -> Column:
+    """Entries of a map in key order."""
+    entries = F.map_entries(column)
+    return F.transform(F.array_sort(F.map_keys(column)), lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), 1))
+
+
 def _field(node: Column, name: str) -> Column:
     return F.from_json(node, _PROPERTY)[name]
 
@@ -148,18 +155,19 @@ def openapi_operations(specs: DataFrame) -> DataFrame:
     """Operations with their parts: (spec, method, path, slug, summary, parameters, body_schemas, responses, known)."""
     known = F.coalesce(F.map_keys("schemas"), _empty())
     methods = F.map_filter("item", lambda m, _: m.isin(fv.HTTP_METHODS))
-    rows = (
+    found = (
         _document(specs)
         .select("spec", known.alias("known"), F.explode("paths").alias("path", "item"))
         .select("spec", "known", "path", F.explode(methods).alias("method", "_op"))
-        .withColumn("op", F.from_json("_op", _OPERATION))
     )
+    rows = evaluate_once(found, "spec", "known", "path", "method", F.from_json("_op", _OPERATION).alias("op"))
     parsed = F.transform(F.coalesce("op.parameters", _empty()), lambda p: F.from_json(p, _PARAMETER))
     # A parameter's type stands in its schema, or, in older documents, in the parameter itself.
-    own_schema = F.transform(F.coalesce("op.parameters", _empty()), lambda p: p)
-    pairs = F.zip_with(parsed, own_schema, lambda p, raw: F.struct(
+    pairs = F.zip_with(parsed, F.coalesce("op.parameters", _empty()), lambda p, raw: F.struct(
         p["name"].alias("name"), p["in"].alias("in"), F.coalesce(p["required"], F.lit(False)).alias("required"),
         F.coalesce(p["schema"], raw).alias("schema")))
+    rows = evaluate_once(rows, "spec", "known", "path", "method", "op", pairs.alias("_pairs"))
+    pairs = F.col("_pairs")
     in_body = F.transform(F.filter(pairs, lambda p: p["in"] == "body"), lambda p: p["schema"])
     body = F.concat(
         F.transform(F.map_values(F.col("op.requestBody.content")), lambda m: m["schema"]), _empty())
@@ -172,11 +180,11 @@ def openapi_operations(specs: DataFrame) -> DataFrame:
         refs = F.filter(F.transform(candidates, _own_ref), lambda n: n != "")
         return F.struct(e["key"].alias("status"), F.coalesce(F.get(refs, F.lit(0)), F.lit("")).alias("schema"))
 
-    responses = F.transform(F.array_sort(F.map_entries(F.map_filter("op.responses", lambda k, v: F.lit(True)))), response)
+    responses = F.transform(_by_key("op.responses"), response)
     by_id = tx.slugify(F.coalesce("op.operationId", F.lit("")))
     slug = F.when(by_id != "", by_id).otherwise(tx.slugify(F.concat_ws("-", "method", "path")))
-    return rows.select(
-        "spec", "known", F.upper("method").alias("method"), "path", slug.alias("slug"),
+    return evaluate_once(
+        rows, "spec", "known", F.upper("method").alias("method"), "path", slug.alias("slug"),
         F.coalesce("op.summary", F.lit("")).alias("summary"),
         F.filter(pairs, lambda p: p["in"] != "body").alias("parameters"),
         body_schemas.alias("body_schemas"), F.coalesce(responses, _empty("array<struct<status:string,schema:string>>")).alias("responses"),
@@ -251,13 +259,13 @@ def _sdl_blocks(sdl: DataFrame) -> DataFrame:
         return F.when(schema == "", default).otherwise(named).alias(operation)
 
     roots = F.struct(root("query"), root("mutation"), root("subscription"))
-    found = sdl.select("spec", _clean_sdl(F.col("content")).alias("_text")).select(
-        "spec", roots.alias("roots"), F.concat(blocks, unions).alias("_defs"))
+    cleaned = evaluate_once(sdl, "spec", _clean_sdl(F.col("content")).alias("_text"))
+    found = evaluate_once(cleaned, "spec", roots.alias("roots"), F.concat(blocks, unions).alias("_defs"))
     root_names = F.array(F.col("roots.query"), F.col("roots.mutation"), F.col("roots.subscription"))
     names = F.transform("_defs", lambda d: d["name"])
     hidden = F.array_union(root_names, F.array(*[F.lit(s) for s in fv.GRAPHQL_SCALARS]))
     emitted = F.filter(F.array_except(names, hidden), lambda n: ~n.startswith("__"))
-    return found.select("spec", "roots", emitted.alias("emitted"), F.inline("_defs"))
+    return evaluate_once(found, "spec", "roots", emitted.alias("emitted"), "_defs").select("spec", "roots", "emitted", F.inline("_defs"))
 
 
 def graphql_types(sdl: DataFrame) -> DataFrame:
