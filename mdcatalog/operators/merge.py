@@ -63,6 +63,16 @@ def merge_concepts(existing: DataFrame, fresh: DataFrame) -> DataFrame:
     return evaluate_once(both, *keys, *[value(c).alias(c) for c in FIELDS], *extra, change.alias("change"))
 
 
+def describe(assets: DataFrame, metadata: DataFrame, key: str = "path") -> DataFrame:
+    """Assets with their folder-metadata description, blank ones replaced by ``default``.
+
+    ``metadata`` may be as large as the asset list; the optimizer broadcasts it when small.
+    """
+    known = metadata.select(key, F.col("description").alias("_text"))
+    text = F.coalesce(F.nullif(tx.trim_ws(F.col("_text")), F.lit("")), F.col("default"))
+    return assets.join(known, key, "left").withColumn("description", text).drop("_text")
+
+
 def log_entries(merged: DataFrame, date: str, run: int = 0) -> DataFrame:
     """Change-log rows for concepts that were created or updated.
 

@@ -22,6 +22,16 @@ def rows_of(names: list[str], rows) -> list[tuple]:
     return sorted((tuple(norm(r[i]) for i in order) for r in rows), key=repr)
 
 
+def _kind(type_name: str) -> str:
+    """Coarse type, to notice results that only look equal."""
+    name = str(type_name).lower()
+    for kind, words in {"array": ("[]", "array", "list"), "bool": ("bool",), "wide": ("hugeint", "decimal"), "float": ("double", "float"),
+                        "int": ("int", "long"), "time": ("timestamp", "date"), "text": ("char", "string")}.items():
+        if any(w in name for w in words):
+            return kind
+    return name
+
+
 def compare(spark, connection, sf_dir: str, fn, sql: str | None) -> tuple[bool | None, int, float, str]:
     start = time.time()
     df = fn(spark, sf_dir)
@@ -35,6 +45,10 @@ def compare(spark, connection, sf_dir: str, fn, sql: str | None) -> tuple[bool |
     theirs = rows_of(other, result.fetchall())
     if sorted(names) != sorted(other):
         return False, len(ours), took, f"columns {sorted(names)} / {sorted(other)}"
+    kinds = {f.name: _kind(f.dataType.simpleString()) for f in df.schema.fields}
+    off = [f"{d[0]}: {kinds[d[0]]} / {d[1]}" for d in result.description if _kind(d[1]) != kinds[d[0]]]
+    if off:
+        return False, len(ours), took, f"types {off}"
     if ours != theirs:
         a, b = [r for r in ours if r not in set(theirs)][:2], [r for r in theirs if r not in set(ours)][:2]
         return False, len(ours), took, f"{len(ours)} / {len(theirs)} rows\n   spark {a}\n   sql   {b}"
@@ -47,6 +61,7 @@ def main() -> int:
     from mdcatalog.session import build_session
 
     from . import star
+    from . import queries_more  # noqa: F401  (registers its queries)
     from .queries import ORACLES, QUERIES
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.001"
