@@ -17,21 +17,55 @@ from pyspark.sql import types as T
 from .. import fixed_values as fv
 from .text import trim_ws
 
-_BLOCK = r"\A---\r?\n([\s\S]*?)(?m:^)---\r?\n([\s\S]*)\z"
 _KEY = r"[A-Za-z_][A-Za-z0-9_-]*"
+_REST = 2147483647
+
+
+def _closing(raw: Column) -> Column:
+    """Position of the newline before the closing ``---`` line, 0 when there is no block.
+
+    Plain string searches: bodies are long, and a pattern would walk over all of them.
+    """
+    opened = raw.startswith("---\n") | raw.startswith("---\r\n")
+    lf = F.locate("\n---\n", raw, 4)
+    crlf = F.locate("\n---\r\n", raw, 4)
+    first = F.when(lf == 0, crlf).when(crlf == 0, lf).otherwise(F.least(lf, crlf))
+    return F.when(opened, first).otherwise(0)
 
 
 def has_block(raw: Column) -> Column:
-    return raw.rlike(_BLOCK)
+    """The text starts with a ``---`` line and has another one."""
+    return _closing(raw) > 0
 
 
 def block(raw: Column) -> Column:
     """The YAML between the first two ``---`` lines, with line ends normalised."""
-    return F.replace(F.regexp_extract(raw, _BLOCK, 1), F.lit("\r\n"), F.lit("\n"))
+    text = F.substring(raw, F.lit(1), _closing(raw))
+    return F.substring(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit(5), F.lit(_REST))
 
 
 def body(raw: Column) -> Column:
-    return F.regexp_extract(raw, _BLOCK, 2)
+    """The text after the second ``---`` line, "" when there is no block."""
+    rest = F.substring(raw, _closing(raw) + 1, F.lit(_REST))
+    inside = F.substring(rest, F.when(rest.startswith("---\r\n"), 6).otherwise(5), F.lit(_REST))
+    return F.when(has_block(raw), inside).otherwise("")
+
+
+def yaml_lines(yaml: Column) -> Column:
+    """array<struct<key, value>>: key lines, list items (key ``-``), blanks and comments (key "").
+
+    Lines of any other form have a NULL key.
+    """
+    def line(l: Column) -> Column:
+        name = F.substring_index(l, ":", 1)
+        is_key = l.rlike(rf"^{_KEY}:([ \t]|$)")
+        is_item = l.rlike(r"^ *- ")
+        return F.struct(
+            F.when(is_key, name).when(is_item, F.lit("-")).when((F.trim(l) == "") | l.startswith("#"), F.lit("")).alias("key"),
+            F.when(is_key, trim_ws(F.substring(l, F.length(name) + 2, F.lit(_REST))))
+            .when(is_item, trim_ws(F.substring(l, F.locate("- ", l) + 2, F.lit(_REST)))).alias("value"))
+
+    return F.transform(F.split(yaml, "\n"), line)
 
 
 def _is_scalar(v: Column) -> Column:
@@ -42,24 +76,15 @@ def _is_scalar(v: Column) -> Column:
     return (v == "") | plain | double | single
 
 
-def _is_flat_line(line: Column) -> Column:
-    value = trim_ws(F.regexp_extract(line, rf"(?s)^{_KEY}:(.*)$", 1))
-    item = trim_ws(F.regexp_extract(line, r"(?s)^[ ]*-[ ](.*)$", 1))
-    inline_list = value.rlike(r"^\[[^\[\]{}\"'#&*!|>%@`:]*\]$")
-    return (
-        (trim_ws(line) == "")
-        | line.startswith("#")
-        | (line.rlike(rf"^{_KEY}:([ \t]|$)") & (_is_scalar(value) | inline_list))
-        | (line.rlike(r"^[ ]*-[ ]") & _is_scalar(item) & (item != ""))
-    )
-
-
-def is_flat(yaml: Column) -> Column:
-    return F.forall(F.split(yaml, "\n"), _is_flat_line)
+def is_flat(lines: Column) -> Column:
+    """Whether all of a block's ``yaml_lines`` are in the flat subset."""
+    inline_list = r"^\[[^\[\]{}\"'#&*!|>%@`:]*\]$"
+    return F.forall(lines, lambda l: F.coalesce(
+        (l["key"] == "") | (((l["key"] != "-") | (l["value"] != "")) & (_is_scalar(l["value"]) | l["value"].rlike(inline_list))), F.lit(False)))
 
 
 def _unquote(v: Column) -> Column:
-    inner = F.substring(v, 2, F.length(v) - 2)
+    inner = F.substring(v, F.lit(2), F.length(v) - 2)
     mark = F.lit("\x01")
     double = F.replace(inner, F.lit("\\\\"), mark)
     for escape, char in (('\\"', '"'), ("\\n", "\n"), ("\\t", "\t"), ("\\/", "/")):
@@ -74,29 +99,27 @@ def _unquote(v: Column) -> Column:
     )
 
 
-def flat_fields(yaml: Column) -> Column:
-    """map<key, scalar text> of a flat block."""
-    lines = F.filter(F.split(yaml, "\n"), lambda l: l.rlike(rf"^{_KEY}:"))
-    entries = F.transform(lines, lambda l: F.struct(
-        F.regexp_extract(l, rf"^({_KEY}):", 1).alias("key"),
-        _unquote(trim_ws(F.regexp_extract(l, rf"(?s)^{_KEY}:(.*)$", 1))).alias("value"),
-    ))
-    keys = F.transform(entries, lambda e: e["key"])
+def flat_fields(lines: Column) -> Column:
+    """map<key, scalar text> of flat ``yaml_lines``; the first of repeated keys counts."""
+    named = F.filter(lines, lambda l: ~l["key"].isin("", "-"))
+    entries = F.transform(named, lambda l: F.struct(l["key"].alias("key"), _unquote(l["value"]).alias("value")))
+    keys = F.transform(named, lambda l: l["key"])
     unique = F.filter(entries, lambda e, i: F.array_position(keys, e["key"]) == i + 1)
-    return F.map_from_entries(unique)
+    repeated = F.size(F.array_distinct(keys)) < F.size(keys)
+    return F.map_from_entries(F.when(repeated, unique).otherwise(entries))
 
 
-def flat_list(yaml: Column, key: str) -> Column:
+def flat_list(lines: Column, key: str) -> Column:
     """Items of ``key: [a, b]`` or of the ``- a`` lines below ``key:``."""
-    inline = trim_ws(F.regexp_extract(yaml, rf"(?dm)^{key}:[ \t]*\[(.*)\]", 1))
-    lines = F.regexp_extract(yaml, rf"(?dm)^{key}:[ \t]*\n((?:[ ]*-[ ].*(?:\n|\z))++)", 1)
-    from_inline = F.transform(F.split(inline, ","), trim_ws)
-    from_lines = F.transform(
-        F.filter(F.split(lines, "\n"), lambda l: l != ""),
-        lambda l: _unquote(trim_ws(F.regexp_replace(l, r"^[ ]*-[ ]", ""))),
-    )
-    items = F.when(lines != "", from_lines).when(inline != "", from_inline)
-    return F.filter(F.coalesce(items, F.array().cast("array<string>")), lambda t: t != "")
+    none = F.array().cast("array<string>")
+    at = F.array_position(F.transform(lines, lambda l: l["key"]), key).cast("int")
+    tail = F.slice(lines, at + 1, F.size(lines))
+    end = F.array_position(F.transform(tail, lambda l: l["key"] == "-"), False).cast("int")
+    listed = F.transform(F.when(end > 0, F.slice(tail, F.lit(1), end - 1)).otherwise(tail), lambda l: _unquote(l["value"]))
+    inline = F.get(lines, at - 1)["value"]
+    split = F.transform(F.split(F.btrim(inline, F.lit("[]")), ","), trim_ws)
+    items = F.when(at == 0, none).when(inline.startswith("["), split).otherwise(listed)
+    return F.filter(items, lambda t: t != "")
 
 
 def _load_yaml(block: str) -> str:

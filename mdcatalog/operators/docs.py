@@ -34,8 +34,10 @@ def parse_concepts(raw: DataFrame, yaml: bool = True) -> DataFrame:
     content = F.col("content")
     split = evaluate_once(files, "bundle", "path", fm.has_block(content).alias("_has"),
                           fm.block(content).alias("_yaml"), fm.body(content).alias("body"))
-    split = evaluate_once(split, "bundle", "path", "body", "_has", "_yaml", (F.col("_has") & fm.is_flat(F.col("_yaml"))).alias("_flat"))
-    flat, flat_tags = fm.flat_fields(F.col("_yaml")), fm.flat_list(F.col("_yaml"), "tags")
+    split = evaluate_once(split, "bundle", "path", "body", "_has", "_yaml", fm.yaml_lines(F.col("_yaml")).alias("_lines"))
+    lines = F.col("_lines")
+    split = evaluate_once(split, "bundle", "path", "body", "_has", "_yaml", "_lines", (F.col("_has") & fm.is_flat(lines)).alias("_flat"))
+    flat, flat_tags = fm.flat_fields(lines), fm.flat_list(lines, "tags")
     if yaml:
         split = split.withColumn("_json", fm.yaml_to_json(F.when(F.col("_has") & ~F.col("_flat"), F.col("_yaml"))))
         loaded = F.from_json("_json", "map<string,string>")
