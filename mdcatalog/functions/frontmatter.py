@@ -7,8 +7,6 @@ step; only those blocks are sent to Python.
 
 from __future__ import annotations
 
-import json
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -122,27 +120,36 @@ def flat_list(lines: Column, key: str) -> Column:
     return F.filter(items, lambda t: t != "")
 
 
-def _load_yaml(block: str) -> str:
-    """One YAML mapping as JSON text of strings and lists; {"!": message} when it is not one."""
-    try:
-        import yaml
+def _yaml_step():
+    """The YAML step. It is built from local functions, so that workers get it by value and
+    need no copy of this library."""
+    def load(text: str) -> str:
+        import json
+
+        try:
+            import yaml
+
+            loaded = yaml.load(text, Loader=yaml.BaseLoader)
+        except ImportError:
+            return json.dumps({"!": "YAML outside the flat subset"})
+        except yaml.YAMLError as error:
+            return json.dumps({"!": str(error).split("\n")[0]})
+        if loaded is None or loaded == "":
+            return "{}"
+        if not isinstance(loaded, dict):
+            return json.dumps({"!": "frontmatter is not a mapping"})
+        return json.dumps({str(k): v for k, v in loaded.items()}, ensure_ascii=False)
+
+    @F.pandas_udf(T.StringType())
+    def yaml_to_json(blocks: pd.Series) -> pd.Series:
+        return blocks.map(load, na_action="ignore")
 
-        loaded = yaml.load(block, Loader=yaml.BaseLoader)
-    except ImportError:
-        return json.dumps({"!": "YAML outside the flat subset"})
-    except yaml.YAMLError as error:
-        return json.dumps({"!": str(error).split("\n")[0]})
-    if loaded is None or loaded == "":
-        return "{}"
-    if not isinstance(loaded, dict):
-        return json.dumps({"!": "frontmatter is not a mapping"})
-    return json.dumps({str(k): v for k, v in loaded.items()}, ensure_ascii=False)
+    return yaml_to_json
 
 
-@F.pandas_udf(T.StringType())
-def yaml_to_json(blocks: pd.Series) -> pd.Series:
-    """Vectorised YAML step for blocks outside the flat subset (NULL in, NULL out)."""
-    return blocks.map(_load_yaml, na_action="ignore")
+# One YAML mapping as JSON text of strings and lists, {"!": message} when it is not one;
+# vectorised, NULL in and NULL out.
+yaml_to_json = _yaml_step()
 
 
 def render_scalar(v: Column) -> Column:

@@ -13,8 +13,6 @@ them from schemas), for any number of databases at once; ``schema`` is part of e
 
 from __future__ import annotations
 
-import re
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,30 +114,34 @@ def unique_from_indexes(index_columns: DataFrame) -> DataFrame:
                         F.array_join("columns", ", ").alias("definition"))
 
 
-_CHECK = re.compile(r"check[ \t\n]*\(", re.IGNORECASE)
-_PAREN = re.compile(r"[()]")
+def _check_step():
+    """DDL text -> balanced expressions that follow the word CHECK, by value for the workers."""
+    def scan(ddl: str) -> list[str]:
+        import re
+
+        found, at = [], 0
+        word, paren = re.compile(r"check[ \t\n]*\(", re.IGNORECASE), re.compile(r"[()]")
+        while match := word.search(ddl, at):
+            depth, end = 1, None
+            for p in paren.finditer(ddl, match.end()):
+                depth += 1 if p.group() == "(" else -1
+                if depth == 0:
+                    end = p.start()
+                    break
+            if end is None:
+                break
+            found.append(ddl[match.end():end].strip())
+            at = end + 1
+        return found
 
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def check_expressions(ddl: pd.Series) -> pd.Series:
+        return ddl.map(scan, na_action="ignore")
 
-def _checks_of(ddl: str) -> list[str]:
-    """Balanced expressions that follow the word CHECK; scanning resumes after each one."""
-    found, at = [], 0
-    while match := _CHECK.search(ddl, at):
-        depth, end = 1, None
-        for paren in _PAREN.finditer(ddl, match.end()):
-            depth += 1 if paren.group() == "(" else -1
-            if depth == 0:
-                end = paren.start()
-                break
-        if end is None:
-            break
-        found.append(ddl[match.end():end].strip())
-        at = end + 1
-    return found
+    return check_expressions
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _check_expressions(ddl: pd.Series) -> pd.Series:
-    return ddl.map(_checks_of, na_action="ignore")
+_check_expressions = _check_step()
 
 
 def ddl_checks(ddl: DataFrame) -> DataFrame:

@@ -7,8 +7,6 @@ their table rows are separate outputs.
 
 from __future__ import annotations
 
-import json
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,18 +24,26 @@ def _empty(kind: str = _NO_TEXT) -> Column:
     return F.array().cast(kind)
 
 
-def _spec_json(content: str) -> str | None:
-    try:
-        import yaml
+def _spec_step():
+    """YAML document -> JSON text, by value (see ``functions.frontmatter``)."""
+    def load(content: str) -> str | None:
+        import json
+
+        try:
+            import yaml
+
+            return json.dumps(yaml.safe_load(content), default=str)
+        except Exception:  # an unreadable specification yields no concepts
+            return None
+
+    @F.pandas_udf(T.StringType())
+    def yaml_spec(content: pd.Series) -> pd.Series:
+        return content.map(load, na_action="ignore")
 
-        return json.dumps(yaml.safe_load(content), default=str)
-    except Exception:  # an unreadable specification yields no concepts
-        return None
+    return yaml_spec
 
 
-@F.pandas_udf(T.StringType())
-def _yaml_spec(content: pd.Series) -> pd.Series:
-    return content.map(_spec_json, na_action="ignore")
+_yaml_spec = _spec_step()
 
 
 def load_specs(raw: DataFrame, yaml: bool = True) -> DataFrame:

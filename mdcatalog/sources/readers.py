@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable
 
@@ -14,7 +15,7 @@ from ..functions.rows import evaluate_once
 from ..operators import cochange
 from ..operators.profile import head_per_group
 
-MAX_CONFIG_LINES = 100_000  # an ignore file is configuration; anything larger is a mistake
+MAX_CONFIG_BYTES = 16 << 20  # configuration files; larger tables belong in a table
 
 
 def _below(full: Column, folder: str) -> Column:
@@ -30,8 +31,8 @@ def relative_path(folder: str) -> Column:
 
 
 def _whole_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-    return reader.text(folder).select(relative_path(folder).alias("path"), F.col("value").alias("content"))
+    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
+    return files.select(relative_path(folder).alias("path"), F.col("value").alias("content"))
 
 
 def read_bundle(spark: SparkSession, folder: str, bundle: str) -> DataFrame:
@@ -72,27 +73,35 @@ def csv_files(spark: SparkSession, folder: str, patterns: list[str] | None = Non
     return found.where(F.lower("path").endswith(".csv")).orderBy("path")
 
 
-def read_ignore_patterns(spark: SparkSession, *paths: str) -> list[str]:
-    """Patterns of one or more ignore files, in order."""
-    lines: list[str] = []
-    for path in paths:
-        rows = spark.read.text(path).limit(MAX_CONFIG_LINES + 1).collect()
-        if len(rows) > MAX_CONFIG_LINES:
-            raise ValueError(f"{path} has more than {MAX_CONFIG_LINES} lines")
-        lines += [r["value"] for r in rows]
-    return cochange.ignore_patterns(lines)
+def _config_text(path: str) -> str | None:
+    """Text of one small configuration file (they are often hidden files, which Spark's own
+    readers leave out); None when it does not exist."""
+    from pyarrow import fs
+
+    system, name = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), os.path.abspath(path))
+    info = system.get_file_info(name)
+    if info.type != fs.FileType.File:
+        return None
+    if info.size > MAX_CONFIG_BYTES:
+        raise ValueError(f"{path} is larger than {MAX_CONFIG_BYTES} bytes")
+    with system.open_input_stream(name) as stream:
+        return stream.read().decode("utf-8")
+
+
+def read_ignore_patterns(*paths: str) -> list[str]:
+    """Patterns of one or more ignore files, in order; missing files have none."""
+    texts = [_config_text(path) or "" for path in paths]
+    return cochange.ignore_patterns("\n".join(texts).split("\n"))
 
 
 def _yaml_json(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.option("wholetext", True).text(path)
-    return evaluate_once(raw, fm.yaml_to_json(F.col("value")).alias("json"))
+    text = _config_text(path)
+    rows = spark.createDataFrame([] if text is None else [(text,)], "value string")
+    return evaluate_once(rows, fm.yaml_to_json(F.col("value")).alias("json"))
 
 
 def read_flat_map(spark: SparkSession, path: str, key: str, value: str) -> DataFrame:
     """A flat YAML map as rows; a file that does not exist is an empty map."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-        return spark.createDataFrame([], f"{key} string, {value} string")
     return _yaml_json(spark, path).select(F.explode(F.from_json("json", "map<string,string>")).alias(key, value))
 
 
