@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from mdcatalog.functions import frontmatter as fm
 from mdcatalog.functions import markdown as md
 from mdcatalog.functions import paths as pt
 from mdcatalog.functions import text as tx
+from mdcatalog.functions.rows import spread
 from mdcatalog.operators import audit, catalog, cochange, docs, drift, enrich, graph, merge, profile, render, specs
 
 from . import star
@@ -60,11 +62,12 @@ DEGREE = """degree AS (SELECT concept_id, CAST(sum(n) AS BIGINT) AS degree FROM
 
 
 def v1(spark: SparkSession, sf: str) -> DataFrame:
-    return docs.parse_concepts(star.bundle(spark, sf, 1), yaml=False)
+    """Concepts of version 1, kept: graph and audit queries read them in several branches."""
+    return docs.parse_concepts(star.bundle(spark, sf, 1), yaml=False).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def v2(spark: SparkSession, sf: str) -> DataFrame:
-    return docs.parse_concepts(star.bundle(spark, sf, 2), yaml=False)
+    return docs.parse_concepts(star.bundle(spark, sf, 2), yaml=False).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 # ============================================================== profiling
@@ -105,7 +108,7 @@ def profile_sql(name: str, columns: list[str]) -> str:
 
 
 def _profile(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    out = profile.profile(table(spark, sf, name))
+    out = profile.profile(spread(table(spark, sf, name)))
     return out.withColumn("values", F.array_join("values", ","))
 
 
@@ -377,7 +380,7 @@ _PAIRS = f"""SELECT a.l_suppkey AS ka, b.l_suppkey AS kb, count(*) AS n FROM ({_
 def _changes(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as commits, suppliers as files."""
     name = F.concat(F.lit("supplier/"), F.col("l_suppkey").cast("string"))
-    return table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("commit_id"), name.alias("path"))
+    return spread(table(spark, sf, "lineitem")).select(F.col("l_orderkey").alias("commit_id"), name.alias("path"))
 
 
 @query(f"""SELECT a, b, n FROM (SELECT 'supplier/' || CAST(ka AS STRING) AS a, 'supplier/' || CAST(kb AS STRING) AS b, n FROM ({_PAIRS})) WHERE a < b AND n >= 2""")
@@ -490,7 +493,7 @@ def section_extract(spark, sf):
 
 @query(r"""SELECT doc_id, sha256(rtrim(regexp_replace(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), '[ \t]+(\n|$)', '\1', 'g'), chr(10)) || chr(10)) AS hash FROM {documents}""")
 def structural_hash(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.structural_hash(F.col("text")).alias("hash"))
+    return spread(table(spark, sf, "documents")).select("doc_id", tx.structural_hash(F.col("text")).alias("hash"))
 
 
 @query(f"""WITH {V1} SELECT concept_id, hash FROM v1""")
