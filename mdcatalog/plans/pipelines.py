@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import as_table
 from ..operators import audit, docs, graph, merge
 from ..sources import readers, writers
 
 
 def load(spark: SparkSession, folder: str, bundle: str) -> tuple[DataFrame, DataFrame]:
-    """(concepts, reserved files) of a bundle, kept for the several branches that use them."""
+    """(concepts, reserved files) of a bundle; concepts are written as a table, since the several
+    branches of audits and graphs read them."""
     raw = readers.read_bundle(spark, folder, bundle)
-    concepts = docs.parse_concepts(raw).persist(StorageLevel.MEMORY_AND_DISK)
-    return concepts, docs.reserved_files(raw)
+    return as_table(docs.parse_concepts(raw)), docs.reserved_files(raw)
 
 
 def produce(fresh: DataFrame, folder: str, bundle: str, date: str, run: int = 0) -> DataFrame:
@@ -25,11 +25,10 @@ def produce(fresh: DataFrame, folder: str, bundle: str, date: str, run: int = 0)
         existing = docs.parse_concepts(readers.read_bundle(spark, folder, bundle))
     else:
         existing = fresh.limit(0).selectExpr("*", "'' AS content_hash", "'' AS enriched_against")
-    merged = merge.merge_concepts(existing, fresh).where("change <> ''").persist(StorageLevel.MEMORY_AND_DISK)
-    log = merge.log_entries(merged, date, run).persist(StorageLevel.MEMORY_AND_DISK)
-    log.count()  # the merge reads the folder that is written next
+    # The merge reads the folder that is written next, so its result is stored first.
+    merged = as_table(merge.merge_concepts(existing, fresh).where("change <> ''"))
     writers.write_concepts(merged, folder)
-    return log
+    return merge.log_entries(merged, date, run)
 
 
 def lint(spark: SparkSession, folder: str, bundle: str = "bundle", version_key: str = "format_version", **gate) -> dict[str, DataFrame]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,13 +27,11 @@ def build_session(app: str = "mdcatalog", master: str | None = None, **settings:
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and drop its lineage.
+def _shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of the session, or, for a local session without one, its own.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local
-    session without that setting gets a folder of its own.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -41,4 +40,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a shared folder")
             folder = tempfile.mkdtemp(prefix="mdcatalog-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and drop its lineage."""
+    _shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def as_table(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back.
+
+    For results that several branches of a plan use, each with other columns: every branch
+    scans only what it needs, and lost executors cost a re-read, not a recomputation.
+    """
+    path = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

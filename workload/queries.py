@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +17,7 @@ from mdcatalog.functions import markdown as md
 from mdcatalog.functions import paths as pt
 from mdcatalog.functions import text as tx
 from mdcatalog.functions.rows import spread
+from mdcatalog.session import as_table
 from mdcatalog.operators import audit, catalog, cochange, docs, drift, enrich, graph, merge, profile, render, specs
 
 from . import star
@@ -61,13 +61,23 @@ DEGREE = """degree AS (SELECT concept_id, CAST(sum(n) AS BIGINT) AS degree FROM
     SELECT source_id AS concept_id, n FROM working UNION ALL SELECT target_id, n FROM working) e GROUP BY concept_id)"""
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
+def _concept_table(spark: SparkSession, sf: str, version: int) -> DataFrame:
+    """The parsed bundle, written as a table by the first query of a session that needs it."""
+    key = (spark.sparkContext.applicationId, sf, version)
+    if key not in _TABLES:
+        _TABLES[key] = as_table(docs.parse_concepts(star.bundle(spark, sf, version), yaml=False))
+    return _TABLES[key]
+
+
 def v1(spark: SparkSession, sf: str) -> DataFrame:
-    """Concepts of version 1, kept: graph and audit queries read them in several branches."""
-    return docs.parse_concepts(star.bundle(spark, sf, 1), yaml=False).persist(StorageLevel.MEMORY_AND_DISK)
+    return _concept_table(spark, sf, 1)
 
 
 def v2(spark: SparkSession, sf: str) -> DataFrame:
-    return docs.parse_concepts(star.bundle(spark, sf, 2), yaml=False).persist(StorageLevel.MEMORY_AND_DISK)
+    return _concept_table(spark, sf, 2)
 
 
 # ============================================================== profiling
@@ -445,7 +455,7 @@ def ignore_filter_files(spark, sf):
        "(CASE WHEN description = '' THEN 'owner=nobody;' ELSE '' END) || (CASE WHEN enriched = '' THEN 'reviewed=no;' ELSE '' END) AS extra, "
        "md5(body || CASE WHEN noted THEN chr(10) || '# Notes' || chr(10) || chr(10) || 'Key account.' || chr(10) ELSE '' END) AS body FROM v1")
 def frontmatter_parse(spark, sf):
-    c = docs.readable(v1(spark, sf))
+    c = docs.readable(docs.parse_concepts(star.bundle(spark, sf, 1), yaml=False))
     entries = F.transform(F.array_sort(F.map_entries("extra")), lambda e: F.concat(e["key"], F.lit("="), e["value"], F.lit(";")))
     return c.select("concept_id", "type", "title", "description", "resource", flat("tags"), "content_hash", "enriched_against",
                     F.array_join(entries, "").alias("extra"), F.md5("body").alias("body"))
