@@ -104,7 +104,8 @@ def cochange_pairs(changes: DataFrame, min_count: int = fv.COCHANGE_MIN, large:
       Each file keeps the set of large commits it is in. Pairs already known from small commits
       add the size of the intersection of the two sets; pairs known from large commits only are
       formed between whole groups of files with equal sets, and only where the groups share at
-      least ``min_count`` large commits, so every row formed is a row of the result.
+      least ``min_count`` large commits, so every row formed from them is a row of the result.
+      What is compared beforehand are groups, as many as there are different sets.
     """
     sets = changes.select("commit_id", "path").distinct()
     if min_count > 1:
@@ -138,11 +139,15 @@ def _with_large_commits(small: DataFrame, large_sets: DataFrame, min_count: int)
     known = small.join(side["a"], "a", "left").join(side["b"], "b", "left").select(
         "a", "b", (F.col("n") + F.when(F.col("in_a").isNull() | F.col("in_b").isNull(), 0).otherwise(shared)).alias("n"))
 
-    groups = member.select("in").distinct()
-    by_commit = groups.select("in", F.explode("in").alias("commit_id"))
+    # Two sorted sets that share min_count members share one of the members that remain when the
+    # last min_count - 1 of each are left out, so only those have to meet.
+    groups = member.where(F.size("in") >= min_count).select("in").distinct()
+    leading = F.slice("in", F.lit(1), F.size("in") - (min_count - 1))
+    by_commit = groups.select("in", F.explode(leading).alias("commit_id"))
     left = by_commit.select("commit_id", F.col("in").alias("in_a"))
     right = by_commit.select("commit_id", F.col("in").alias("in_b"))
-    met = left.join(right, "commit_id").groupBy("in_a", "in_b").agg(F.count("*").alias("n")).where(F.col("n") >= min_count)
+    met = left.join(right, "commit_id").select("in_a", "in_b").distinct()
+    met = met.withColumn("n", F.size(F.array_intersect("in_a", "in_b")).cast("bigint")).where(F.col("n") >= min_count)
     formed = side["a"].join(met, "in_a").join(side["b"], "in_b").where("a < b").select("a", "b", "n")
     return known.unionByName(formed.join(small, ["a", "b"], "left_anti"))
 

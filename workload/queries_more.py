@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from mdcatalog.functions import markdown as md
 from mdcatalog.functions import paths as pt
-from mdcatalog.operators import audit, catalog, docs, drift, enrich, graph, merge, profile, render, specs
+from mdcatalog.operators import audit, catalog, docs, drift, enrich, merge, profile, render, specs
+from mdcatalog.plans import produce
 
 from . import star
 from .queries import (
-    _C, _COLUMN_ROWS, _N, _NATION_STATS, _P, _S, _EDGES, DEGREE, LINKS, PLACEHOLDER, V1, V2, WORKING, flat, query, v1, v2,
+    _C, _COLUMN_ROWS, _REPORT, _NATION_STATS, _P, _S, DEGREE, LINKS, PLACEHOLDER, V1, WORKING, _report, flat, query, v1,
 )
 from .star import table
 
@@ -362,6 +363,51 @@ def append_section(spark, sf):
     return docs.readable(v1(spark, sf)).select("concept_id", F.md5(md.append_section(F.col("body"), "Related", text)).alias("body"))
 
 
+_FIELD_ROWS = """SELECT event_type, field, type FROM (SELECT DISTINCT event_type FROM {events}) g, (VALUES ('id', 'number', ''), ('user', 'string', ''), ('total', 'string', 'error'),
+    ('code', 'null', 'error'), ('total', 'number', 'click'), ('tags', 'array', 'click'), ('total', 'number', 'view'), ('nested', 'object', 'view'),
+    ('ok', 'boolean', 'purchase'), ('ok', 'boolean', 'signup')) f(field, type, only_for) WHERE only_for = '' OR only_for = event_type"""
+
+
+@query(f"""SELECT 'collections/' || event_type AS concept_id, 'MongoDB Collection' AS type, event_type AS title, 'MongoDB collection ' || event_type AS description,
+    'mongodb://host/db/' || event_type AS resource, 'mongodb,collection' AS tags, '# Columns' || {_NL} || {_NL} || '| Name | Type | Presence |' || {_NL} || '| --- | --- | --- |' || {_NL} ||
+    string_agg('| ' || field || ' | ' || type || ' | 100% |' || {_NL}, '' ORDER BY field) AS body FROM ({_FIELD_ROWS}) r GROUP BY event_type""")
+def collection_concepts(spark, sf):
+    """Concepts assembled from the inferred fields of document collections."""
+    fields = profile.infer_fields(star.event_documents(spark, sf), "doc", group="event_type").withColumnRenamed("event_type", "collection")
+    made = produce.collection_concepts(fields, "mongodb://user:secret@host/db", "2024-01-01T00:00:00Z")
+    return made.select("concept_id", "type", "title", "description", "resource", flat("tags"), "body")
+
+
+@query(f"""SELECT 'shop_' || CAST(s_suppkey AS STRING) AS bundle, 'tables/' || k.name AS concept_id, 'MySQL ' || k.label AS type,
+    CASE WHEN k.name = 'orders' AND s_acctbal >= 0 THEN 'Orders of ' || s_name ELSE 'MySQL ' || k.kind || ' ' || k.name END AS description, 'mysql,' || k.kind AS tags,
+    '# Columns' || {_NL} || {_NL} || '| Name | Type | Key | Nullable | Default | Extra | Comment |' || {_NL} || '| --- | --- | --- | --- | --- | --- | --- |' || {_NL} ||
+    '| id | int | PRI | No |  |  | Key of ' || k.name || ' |' || {_NL} || CASE WHEN k.name = 'orders' THEN {_NL} || '# Relationships' || {_NL} || {_NL} || '- FK on user_id [users](/tables/users.md)' || {_NL} ELSE '' END AS body
+    FROM {{supplier}}, (VALUES ('orders', 'table', 'Table'), ('users', 'table', 'Table'), ('late_orders', 'view', 'View')) k(name, kind, label)""")
+def table_concepts(spark, sf):
+    """Concepts of every shop's tables and views, with their foreign keys."""
+    entities = catalog.entities(star.shop_tables(spark, sf), ["orders", "users", "late_orders"])
+    name = F.concat_ws("/", "schema", "name")
+    entities = entities.withColumn("name", name)
+    columns = entities.select(
+        F.col("name").alias("table"), F.lit(1).alias("ordinal"), F.lit("id").alias("name"), F.lit("int").alias("type"), F.lit("PRI").alias("key"),
+        F.lit(False).alias("nullable"), F.concat(F.lit("Key of "), pt.base_name(F.col("name"))).alias("comment"))
+    fks = catalog.foreign_keys(star.constraints(spark, sf), star.key_columns(spark, sf), star.referential(spark, sf))
+    links = catalog.fk_relationships(fks).select(
+        F.concat_ws("/", "schema", F.regexp_replace("source_id", "^tables/", "")).alias("source_id"), "label", "target", "text")
+    made = produce.table_concepts(entities, columns, "mysql", "mysql://host", "t", relationships=render.render_relationships(links))
+    parts = F.split("title", "/")
+    return made.select(parts[0].alias("bundle"), F.concat(F.lit("tables/"), parts[1]).alias("concept_id"), "type",
+                       F.regexp_replace("description", "shop_[0-9]+/", "").alias("description"), flat("tags"), "body")
+
+
+@query(_REPORT + """ SELECT 'bundle is ' || printf('%.1f', enriched_pct) || '% enriched (placeholders: ' || placeholders || ', broken links: ' || broken_links || ', orphans: ' || orphans ||
+    ', conformance: ' || (structural + missing_types) || ')' || chr(10) || '- concepts: ' || total_concepts || ' (' || enriched_concepts || ' enriched, ' || placeholders || ' placeholder)' || chr(10) ||
+    '- columns commented: ' || columns_commented || '/' || columns_total || ' (' || printf('%.1f', columns_commented_pct) || '%)' || chr(10) || '- concepts missing type: ' || missing_types || chr(10) ||
+    '- orphan nodes (no cross-links): ' || orphans || chr(10) || '- broken cross-links: ' || broken_links || chr(10) AS text FROM report""")
+def text_report(spark, sf):
+    return audit.text_report(_report(spark, sf)).select("text")
+
+
 # ============================================================== specifications
 
 _SPEC = "'spec_' || CAST(s_suppkey AS STRING) AS spec"
