@@ -309,20 +309,22 @@ def infer_fields(df: DataFrame, json_col: str, group: str | None = None) -> Data
     """
     docs = df.select(*([F.col(group).alias("collection")] if group else [F.lit("").alias("collection")]),
                      F.parse_json(json_col).alias("doc"))
-    spark = df.sparkSession
-    fields = spark.sql(
-        "SELECT d.collection, e.key AS field, e.value AS value FROM {docs} d, LATERAL variant_explode(d.doc) e",
+    fields = df.sparkSession.sql(
+        "SELECT d.collection, e.pos, e.key AS field, e.value FROM {docs} d, LATERAL variant_explode_outer(d.doc) e",
         docs=docs,
     )
-    per_type = (
-        fields.select("collection", "field", json_type(F.col("value")).alias("type"))
-        .groupBy("collection", "field", "type").agg(F.count("*").alias("n"))
+    # The first row of each document (its only one, without fields, when it is empty) counts it, so
+    # that fields and documents come from one scan.
+    starts = F.col("pos").isNull() | (F.col("pos") == 0)
+    per_field = (
+        fields.select("collection", "field", json_type(F.col("value")).alias("type"), starts.alias("starts"))
+        .groupBy("collection", "field", "type").agg(F.count("*").alias("n"), F.count_if("starts").alias("starts"))
         .groupBy("collection", "field")
-        .agg(F.sum("n").alias("present"), F.array_sort(F.collect_list("type")).alias("types"))
+        .agg(F.sum("n").alias("present"), F.sum("starts").alias("starts"), F.array_sort(F.collect_list("type")).alias("types"))
+        .withColumn("total", F.sum("starts").over(Window.partitionBy("collection")))
     )
-    sizes = docs.groupBy("collection").agg(F.count("*").alias("total"))
     pct = F.floor(100.0 * F.col("present") / F.col("total") + 0.5).cast("int")
-    out = per_type.join(sizes, "collection").select(
+    out = per_field.where("field IS NOT NULL").select(
         *(["collection"] if group else []),
         "field",
         F.array_join("types", " / ").alias("type"),

@@ -86,6 +86,12 @@ def test_infer_fields(spark):
                    "gone": ("null", 33), "at": ("date", 33)}
 
 
+def test_documents_without_fields_count(spark):
+    docs = spark.createDataFrame([("a", '{"x": 1}'), ("a", "{}"), ("a", "{}"), ("b", '{"x": "s", "y": []}')], "c string, doc string")
+    got = {(r["c"], r["field"]): (r["type"], r["presence_pct"]) for r in profile.infer_fields(docs, "doc", group="c").collect()}
+    assert got == {("a", "x"): ("number", 33), ("b", "x"): ("string", 100), ("b", "y"): ("array", 100)}
+
+
 def test_freshness(spark):
     rows = [("a", 1, "x_on", "int"), ("a", 2, "created", "timestamp"), ("b", 1, "id", "int"), ("b", 2, "paid_at", "text"), ("c", 1, "id", "int")]
     got = {r["table"]: r["column"] for r in profile.freshness_column(spark.createDataFrame(rows, "table string, ordinal int, name string, type string")).collect()}

@@ -196,13 +196,13 @@ def bundle(spark: SparkSession, sf_dir: str, version: int = 1) -> DataFrame:
 
 
 RESERVED_SQL = f"""
-    SELECT '{BUNDLE}' AS bundle,
-      CASE WHEN r_regionkey = 0 THEN 'index.md' ELSE 'nations/' || CAST(n_nationkey AS STRING) || '/' ||
-        CASE WHEN n_nationkey = 3 THEN 'log.md' ELSE 'index.md' END END AS path,
-      CASE WHEN r_regionkey = 0 THEN '---' || chr(10) || 'owner: ' || r_name || chr(10) || 'title: x' || chr(10) || '---' || chr(10) || '# Star Catalog' || chr(10)
-           WHEN n_regionkey = 1 THEN '---' || chr(10) || 'type: Index' || chr(10) || '---' || chr(10) || '# ' || n_name || chr(10)
-           ELSE '# ' || n_name || chr(10) END AS content
-    FROM {{nation}} JOIN {{region}} ON (r_regionkey = 0 AND n_nationkey = 0) OR (r_regionkey = n_regionkey AND r_regionkey <> 0)
+    SELECT '{BUNDLE}' AS bundle, 'index.md' AS path,
+      '---' || chr(10) || 'owner: ' || r_name || chr(10) || 'title: x' || chr(10) || '---' || chr(10) || '# Star Catalog' || chr(10) AS content
+    FROM {{region}} WHERE r_regionkey = 0
+    UNION ALL SELECT '{BUNDLE}', 'nations/' || CAST(n_nationkey AS STRING) || '/' || CASE WHEN n_nationkey = 3 THEN 'log.md' ELSE 'index.md' END,
+      CASE WHEN n_regionkey = 1 THEN '---' || chr(10) || 'type: Index' || chr(10) || '---' || chr(10) || '# ' || n_name || chr(10)
+           ELSE '# ' || n_name || chr(10) END
+    FROM {{nation}} WHERE n_regionkey <> 0
 """
 
 
