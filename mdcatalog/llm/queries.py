@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mdcatalog.llm import html_text, mixing, pii, secrets, warc
+from mdcatalog.llm import html_text, mixing, pii, secrets, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op1_toxicity(spark, sf_dir):
+    """The toxicity of every text of documents, learnt from the labels that are not held out."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query()
 def op3_personal_data(spark, sf_dir):
     """Personal data in every text of documents."""
