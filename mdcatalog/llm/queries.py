@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mdcatalog.llm import html_text, mixing, pii, secrets, toxicity, warc
+from mdcatalog.llm import html_text, mixing, near_dedup, pii, secrets, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +31,12 @@ def op1_toxicity(spark, sf_dir):
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query()
+def op2_near_duplicates(spark, sf_dir):
+    """The class of copies and near copies of every document."""
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op3_personal_data(spark, sf_dir):
     """Personal data in every text of documents."""
