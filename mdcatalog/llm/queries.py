@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mdcatalog.llm import html_text, mixing, near_dedup, pii, secrets, toxicity, warc
+from mdcatalog.llm import decontamination, html_text, mixing, near_dedup, pii, secrets, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,6 +50,12 @@ def op6_mix(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query(decontamination.ORACLE_SQL.replace("{documents}", "documents"))
+def op7_leaks(spark, sf_dir):
+    """Documents that hold a benchmark item, with the share of its shingles that they hold."""
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op8_main_text(spark, sf_dir):
     """The main text of every page."""
