@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mdcatalog.functions.rows import evaluate_once
 from mdcatalog.llm.common import BROADCAST_ROWS, as_table, cut_lineage, fresh, sized_join, text_or_empty
 
 WORDS = 5
@@ -43,24 +44,31 @@ def size_class(count: Column) -> Column:
 def sketches(hashes: Column, longest: int, k: int = SKETCH) -> Column:
     """The ``k`` smallest hashes of each window of ``2 * longest`` shingles; windows begin every ``longest``."""
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(hashes) - longest), F.lit(longest))
-    return F.flatten(F.transform(starts, lambda i: F.slice(F.array_sort(F.slice(hashes, i, 2 * longest)), 1, k)))
+    return F.flatten(F.transform(starts, lambda i: F.slice(F.sort_array(F.slice(hashes, i, 2 * longest)), 1, k)))
 
 
 def items(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
     """(item_id, shingles, n, class) of the items that have shingles; equal rows count once."""
-    found = benchmark.select(F.col(item_id).cast("bigint").alias("item_id"), F.array_distinct(shingles(words(text_or_empty(text)))).alias("shingles"))
+    rows = benchmark.select(F.col(item_id).cast("bigint").alias("item_id"), text_or_empty(text).alias("text"))
+    found = hashed(rows, "item_id").withColumn("shingles", F.array_distinct("hashes")).drop("hashes")
     found = found.where("item_id IS NOT NULL").distinct().withColumn("n", F.size("shingles")).where("n > 0")
     return found.withColumn("class", size_class(F.col("n")))
 
 
-def candidates(docs: DataFrame, known: DataFrame, classes: list[int], key: str, hashes: str) -> DataFrame:
-    """(key, item) of the documents and items that share a sketched value; ``docs`` has a key and shingle hashes."""
-    values = known.select("class", F.explode("shingles").alias("value"), "item")
-    wide = None
-    for c in classes:
-        rows = docs.select(key, F.lit(c).alias("class"), F.explode(F.array_distinct(sketches(F.col(hashes), 1 << c))).alias("value"))
-        wide = rows if wide is None else wide.unionByName(rows)
-    return sized_join(wide, cut_lineage(values), ["class", "value"]).select(key, "item").distinct()
+def hashed(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
+    """The columns to keep, and ``hashes``: the shingle hashes of the text, computed once per row."""
+    tokens = evaluate_once(docs, *keep, words(F.col(text)).alias("tokens"))
+    return evaluate_once(tokens, *keep, shingles(F.col("tokens")).alias("hashes"))
+
+
+def candidates(docs: DataFrame, known: DataFrame, classes: list[int], key: str) -> DataFrame:
+    """(key, item) of the documents and items that share a sketched value; ``docs`` has a key and ``hashes``.
+
+    Each document is sketched for every class of item sizes; a value that meets an item of another class counts too.
+    """
+    values = cut_lineage(known.select(F.explode("shingles").alias("value"), "item"))
+    sketched = F.array_distinct(F.concat(*[sketches(F.col("hashes"), 1 << c) for c in classes]))
+    return sized_join(docs.select(key, F.explode(sketched).alias("value")), values, ["value"]).select(key, "item").distinct()
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -82,14 +90,12 @@ def _leaks(rows: DataFrame, benchmark: DataFrame, key: str) -> DataFrame:
     if not classes:
         return rows.select(key, "doc_id", F.lit(None).cast("bigint").alias("item_id"), F.lit(0).alias("found"), F.lit(0).alias("n"),
                            F.lit(0.0).alias("containment")).limit(0)
-    hashed = rows.select(key, shingles(words(F.col("text"))).alias("hashes"))
-    pairs = cut_lineage(candidates(hashed, known, classes, key, "hashes"))
+    pairs = cut_lineage(candidates(hashed(rows, key), known, classes, key))
     few = known.limit(BROADCAST_ROWS // 100 + 1).count() <= BROADCAST_ROWS // 100
     listed = known.select("item", "item_id", "shingles", "n")
     wanted = pairs.join(F.broadcast(listed) if few else listed, "item")
     # the documents that have candidates, each hashed once more; then one comparison of arrays a pair
-    suspects = sized_join(rows, pairs.select(key).distinct().transform(cut_lineage), [key]).select(
-        key, "doc_id", F.array_distinct(shingles(words(F.col("text")))).alias("hashes"))
+    suspects = hashed(sized_join(rows, cut_lineage(pairs.select(key).distinct()), [key]), key, "doc_id")
     both = suspects.join(wanted, key).select(key, "doc_id", "item_id", "n", F.size(F.array_intersect("hashes", "shingles")).alias("found"))
     return both.where(F.col("found") >= CONTAINMENT * F.col("n")).withColumn("containment", F.col("found") / F.col("n"))
 
