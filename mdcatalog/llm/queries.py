@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mdcatalog.llm import decontamination, html_text, mixing, near_dedup, neighbours, pii, secrets, toxicity, warc
+from mdcatalog.llm import decontamination, html_text, mixing, near_dedup, neighbours, pii, secrets, substrings, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,6 +43,12 @@ def op3_personal_data(spark, sf_dir):
     return pii.digest(pii.find_personal_data(table(spark, sf_dir, "documents")))
 
 
+@query()
+def op4_repeats(spark, sf_dir):
+    """Every document without the strings of 100 bytes that start earlier too."""
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query(neighbours.ORACLE_SQL)
 def op5_neighbours(spark, sf_dir):
     """The 20 nearest neighbours of every twentieth vector."""
