@@ -41,11 +41,12 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float
     order = whole.orderBy(F.asc_nulls_last("source"))
     ranked = sizes.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), ((F.row_number().over(order) - 1) % len(weights) + 1).cast("int")))
     ranked = ranked.withColumn("cap", F.lit(float(most)) * F.col("source_size"))
-    by_room = whole.orderBy(F.col("cap") / F.col("weight"), F.asc_nulls_last("source")).rowsBetween(Window.unboundedPreceding, -1)
+    rooms = whole.orderBy(F.col("cap") / F.col("weight"), F.asc_nulls_last("source"))
+    by_room = rooms.rowsBetween(Window.unboundedPreceding, -1)
     total, heaviest = F.sum("source_size").over(whole), F.sum("weight").over(whole)
     level = (total - F.coalesce(F.sum("cap").over(by_room), F.lit(0.0))) / (heaviest - F.coalesce(F.sum("weight").over(by_room), F.lit(0.0)))
-    ranked = ranked.withColumn("level", level)
-    settled = F.min(F.when(F.col("cap") >= F.col("level") * F.col("weight"), F.col("level"))).over(whole)
+    ranked = ranked.withColumn("level", level).withColumn("place", F.row_number().over(rooms))
+    settled = F.min(F.when(F.col("cap") >= F.col("level") * F.col("weight"), F.struct("place", "level"))).over(whole)["level"]
     return (ranked.withColumn("settled", settled)
             .select("source", "source_size", "docs", "mass", F.least(F.col("settled") * F.col("weight"), F.col("cap")).alias("target")))
 
@@ -114,9 +115,9 @@ k AS (SELECT d.*, -ln((('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR,
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM k GROUP BY source),
 w AS (SELECT *, 3.0::DOUBLE * source_size AS cap,
     ([5.0, 2.0, 1.0]::DOUBLE[])[(row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1] AS weight FROM s),
-l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER b, 0.0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0.0)) AS level
-    FROM w WINDOW b AS (ORDER BY cap / weight, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-t AS (SELECT source, source_size, least((SELECT min(level) FROM l WHERE cap >= level * weight) * weight, cap) AS target FROM l),
+l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER b, 0.0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0.0)) AS level,
+    row_number() OVER (ORDER BY cap / weight, source ASC NULLS LAST) AS place FROM w WINDOW b AS (ORDER BY cap / weight, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, source_size, least((SELECT arg_min(level, place) FROM l WHERE cap >= level * weight) * weight, cap) AS target FROM l),
 r AS (SELECT k.doc_id, k.source, k.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS epochs,
     floor(t.target) AS whole, sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id, k.size ROWS UNBOUNDED PRECEDING) - k.size AS before
     FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source)
