@@ -15,9 +15,9 @@ from mdcatalog.session import as_table, cut_lineage
 #: A side of a join is broadcast only if its counted rows stay below this.
 BROADCAST_ROWS = 200_000
 #: Bytes of one Arrow batch that Spark hands to a Python step.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: Words a worker remembers the hash of before it starts anew.
-WORD_MEMORY = 100_000
+WORD_MEMORY = 50_000
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -156,8 +156,7 @@ class Tagged:
 
 
 def _verify(pairs: DataFrame, tagged: Tagged) -> DataFrame:
-    """The pairs (a, b) whose bags are similar enough."""
-    pairs = cut_lineage(pairs)
+    """Of checkpointed pairs (a, b) those whose bags are similar enough."""
     texts = tagged.texts(pairs)
     left = texts.select(F.col("node").alias("a"), F.col("mass").alias("mass_a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("mass").alias("mass_b"), F.col("text").alias("text_b"))
@@ -182,7 +181,7 @@ def _further(crowded: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
     first = large.groupBy("band").agg(F.min(place).alias("place"))
     centre = large.withColumn("place", place).join(first, ["band", "place"]).select("band", F.col("node").alias("a"), F.col("root").alias("root_a"))
     star = large.join(centre, "band").where("root != root_a").select("a", F.col("node").alias("b"))
-    return each.select("a", "b").unionByName(star).distinct()
+    return each.select("a", "b").unionByName(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
 
 
 def _labels(tagged: Tagged, doc_id: str) -> DataFrame:
@@ -192,19 +191,20 @@ def _labels(tagged: Tagged, doc_id: str) -> DataFrame:
     member = nodes.select("node", F.explode("bands").alias("band"))
     crowd = member.groupBy("band").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
     crowded = as_table(member.join(crowd, "band"))
-    compared = crowded.where("node != a").select("a", F.col("node").alias("b")).distinct()
+    compared = cut_lineage(crowded.where("node != a").select("a", F.col("node").alias("b")).distinct())
     links = _verify(compared, tagged)
+    roots = components(links, "a", "b")
     for turn in range(ROUNDS):
-        roots = components(links, "a", "b")
-        further = cut_lineage(_further(crowded.drop("a"), roots, turn).join(links, ["a", "b"], "left_anti"))
+        further = cut_lineage(_further(crowded.drop("a"), roots, turn).join(compared, ["a", "b"], "left_anti"))
         if not further.limit(1).count():
             break
+        compared = compared.unionByName(further)
         found = _verify(further, tagged)
         if found.limit(1).count():
-            links = cut_lineage(links.unionByName(found))
+            links = links.unionByName(found)
+            roots = components(links, "a", "b")
         elif turn:
             break
-    roots = components(links, "a", "b")
     named = as_table(nodes.select("node", "least", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     total = named.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
     return (tagged.rows(doc_id).join(named.select("node", "root").join(total, "root"), "node", "left")
