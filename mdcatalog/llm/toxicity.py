@@ -26,8 +26,8 @@ from pyspark.sql.types import StructType
 from mdcatalog.llm.common import cut_lineage, map_batches, text_or_empty
 
 #: Bounds of the training sample: rows by a hash of their id, whatever the size of the corpus.
-POSITIVES = 6_000
-UNLABELLED = 18_000
+POSITIVES = 5_000
+UNLABELLED = 15_000
 #: Hashed features and rounds of the fit.
 BITS = 18
 EPOCHS = 30
@@ -99,14 +99,17 @@ def fit(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     if not positives or not unlabelled:
         return NOTHING
     size = 1 << BITS
-    seen = [np.bincount(np.concatenate(rows), minlength=size) for rows in (positives, unlabelled)]
+    seen = [np.zeros(size, np.int64), np.zeros(size, np.int64)]
+    for count, rows in zip(seen, (positives, unlabelled)):
+        for row in rows:
+            count[row] += 1  # each number once a row
     n_pos, n_unl = len(positives), len(unlabelled)
     share = (seen[0] + seen[1] + 1) / (n_pos + n_unl + 2)
     distance = (seen[0] / n_pos - seen[1] / n_unl) / np.sqrt(share * (1 - share) * (1 / n_pos + 1 / n_unl))
     chosen = np.flatnonzero((np.abs(distance) >= SELECT) & (seen[0] + seen[1] >= 3))
     number = np.full(size, -1)
     number[chosen] = np.arange(len(chosen))
-    pos, unl = ([(x := number[row])[x >= 0] for row in rows] for rows in (positives, unlabelled))
+    pos, unl = ([(x := number[row])[x >= 0].astype(np.int32) for row in rows] for rows in (positives, unlabelled))
     weights, biases = np.zeros((members, size), np.float32), np.zeros(members)
     for member in range(members):
         rng = np.random.default_rng(seed + member)
@@ -179,9 +182,10 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, prior
     chosen = cut_lineage(toxic.unionByName(other).distinct())
     sample = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "positive", "text")
     found = map_batches(sample, _features_of, "doc_id bigint, positive boolean, features binary", FeatureHashes)
-    pairs = sorted((r["doc_id"], r["positive"], bytes(r["features"])) for r in found.collect())
-    vectors = [(p, np.frombuffer(f, np.int32)) for _, p, f in pairs]
-    return fit([x for p, x in vectors if p], [x for p, x in vectors if not p], prior)
+    vectors = [(r["doc_id"], r["positive"], r["features"]) for r in found.collect()]
+    vectors.sort()
+    pick = lambda positive: [np.frombuffer(f, np.int32) for _, p, f in vectors if p == positive]
+    return fit(pick(True), pick(False), prior)
 
 
 def score_texts(docs: DataFrame, model: Model, text: str = "text", into: str = "score") -> DataFrame:
