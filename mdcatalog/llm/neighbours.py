@@ -116,8 +116,11 @@ def scan(blocks: list[np.ndarray], query: np.ndarray, limit: float, width: int)
 
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the ``k`` best, ties to the smaller id."""
-    return np.lexsort((ids, -scores))[:k]
+    """Places of the ``k`` best of different ids, ties to the smaller id."""
+    order = np.lexsort((ids, -scores))
+    if len(order) > 1:
+        order = order[np.sort(np.unique(ids[order], return_index=True)[1])]
+    return order[:k]
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:

@@ -1,6 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Confirmed toxic texts are the positives, any other text is unlabelled. A linear classifier f over hashed
+Confirmed toxic texts are the positives; texts of the whole corpus, taken without their labels, are the
+unlabelled ones. A linear classifier f over hashed
 features is fitted to the risk estimator corrected by the class prior p,
 
     p · E_pos[loss(f)] + max(0, E_unl[loss(-f)] - p · E_pos[loss(-f)]),
@@ -115,10 +116,27 @@ def fit(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
         rng = np.random.default_rng(seed + member)
         active = (rng.random(len(chosen)) < 0.8).astype(float)  # its part of the features
         w = _fit_one(pos, unl, active, prior, rng, epochs)
-        weights[member, chosen], biases[member] = w[:-1] * active, w[-1]
+        weights[member, chosen] = w[:-1] * active
+        biases[member] = _settle(np.array([weights[member, chosen][x].sum() for x in unl]), prior)
     return Model(weights, biases, prior)
 
 
+def _settle(sums: np.ndarray, prior: float) -> float:
+    """The bias with which the unlabelled texts' probabilities have the prior as their mean.
+
+    A fit to few positives lets them stand out further than others like them will, and the bound on the
+    risk then lifts all unlabelled texts; this takes the lift back.
+    """
+    low, high = -40.0, 40.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        if np.mean(1 / (1 + np.exp(-np.clip(sums + middle, -30, 30)))) < prior:
+            low = middle
+        else:
+            high = middle
+    return (low + high) / 2
+
+
 def _fit_one(pos: list[np.ndarray], unl: list[np.ndarray], active: np.ndarray, prior: float, rng: np.random.Generator, epochs: int) -> np.ndarray:
     """Weights of the active features and, last, the bias that minimise the non-negative risk."""
     size = len(active)
@@ -161,7 +179,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, prior
     """Fit a model from (doc_id, text) and (doc_id, toxic).
 
     ``learn`` (over ``doc_id``) says from which rows to learn. At most ``positives`` confirmed texts and
-    ``unlabelled`` others are taken, by a hash of the id; the driver gets their feature numbers only.
+    ``unlabelled`` of all texts are taken, by a hash of the id; the driver gets their feature numbers only.
     Without ``prior``, it is the share of toxic rows among all labels that may be learnt from. Labels with
     null ids or values are left out; of several labels of a text the toxic one counts. Without positives
     or unlabelled texts the model scores 0.
@@ -176,8 +194,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, prior
     prior = min(0.5, max(1e-4, prior))
     order = [F.xxhash64("doc_id", F.lit(17)), F.col("doc_id")]
     toxic = known.where("toxic = 1").orderBy(*order).limit(positives).select("doc_id", F.lit(True).alias("positive"))
-    other = (rows.select("doc_id").join(known.where("toxic = 1").select("doc_id"), "doc_id", "left_anti")
-             .orderBy(*order).limit(unlabelled).select("doc_id", F.lit(False).alias("positive")))
+    # the prior is that of all texts, so confirmed ones stay among them
+    other = rows.select("doc_id").orderBy(*order).limit(unlabelled).select("doc_id", F.lit(False).alias("positive"))
     # both lists have a fixed bound
     chosen = cut_lineage(toxic.unionByName(other).distinct())
     sample = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "positive", "text")
