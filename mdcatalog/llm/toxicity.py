@@ -33,7 +33,7 @@ UNLABELLED = 15_000
 BITS = 18
 EPOCHS = 30
 BATCH = 512
-MEMBERS = 3
+MEMBERS = 5
 RATE = 0.05
 DECAY = 3e-4
 #: Features whose share among positives differs from that among unlabelled texts by so many standard errors take part.
