@@ -1,4 +1,4 @@
-"""Row-heavy work: evaluate costly expressions once, and use all cores for few input files."""
+"""Row-heavy work: evaluate costly expressions once."""
 
 from __future__ import annotations
 
@@ -15,12 +15,3 @@ def evaluate_once(df: DataFrame, *columns: str | Column) -> DataFrame:
     """
     return df.select(F.inline(F.array(F.struct(*columns))))
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a scan of fewer partitions than cores out to all of them.
-
-    Parsing and profiling cost far more per row than moving a row, so one small file should
-    not keep them on one core. A scan of many files, the case at scale, is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

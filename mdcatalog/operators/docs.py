@@ -24,11 +24,10 @@ def markdown_files(raw: DataFrame) -> DataFrame:
     return raw.where(F.col("path").endswith(".md"))
 
 
-def parse_concepts(raw: DataFrame, yaml: bool = True) -> DataFrame:
+def parse_concepts(raw: DataFrame) -> DataFrame:
     """One row per concept file; ``parse_error`` is NULL where the frontmatter was readable.
 
-    ``yaml=False`` skips the Python step for frontmatter outside the flat subset, and
-    reports such files as unparseable.
+    Only frontmatter outside the flat subset is sent to Python.
     """
     files = markdown_files(raw).where(~pt.is_reserved(F.col("path")))
     content = F.col("content")
@@ -38,16 +37,12 @@ def parse_concepts(raw: DataFrame, yaml: bool = True) -> DataFrame:
     lines = F.col("_lines")
     split = evaluate_once(split, "bundle", "path", "body", "_has", "_yaml", "_lines", (F.col("_has") & fm.is_flat(lines)).alias("_flat"))
     flat, flat_tags = fm.flat_fields(lines), fm.flat_list(lines, "tags")
-    if yaml:
-        split = split.withColumn("_json", fm.yaml_to_json(F.when(F.col("_has") & ~F.col("_flat"), F.col("_yaml"))))
-        loaded = F.from_json("_json", "map<string,string>")
-        fields = F.when(F.col("_flat"), flat).otherwise(loaded)
-        listed = F.from_json(loaded["tags"], "array<string>")
-        tags = F.when(F.col("_flat"), flat_tags).otherwise(F.filter(listed, lambda t: t != ""))
-        problem = F.when(F.col("_flat"), F.lit(None).cast("string")).otherwise(loaded["!"])
-    else:
-        fields, tags = F.when(F.col("_flat"), flat), F.when(F.col("_flat"), flat_tags)
-        problem = F.when(~F.col("_flat"), F.lit("YAML outside the flat subset"))
+    split = split.withColumn("_json", fm.yaml_to_json(F.when(F.col("_has") & ~F.col("_flat"), F.col("_yaml"))))
+    loaded = F.from_json("_json", "map<string,string>")
+    fields = F.when(F.col("_flat"), flat).otherwise(loaded)
+    listed = F.from_json(loaded["tags"], "array<string>")
+    tags = F.when(F.col("_flat"), flat_tags).otherwise(F.filter(listed, lambda t: t != ""))
+    problem = F.when(F.col("_flat"), F.lit(None).cast("string")).otherwise(loaded["!"])
     error = F.when(~F.col("_has"), F.lit("missing frontmatter boundaries")).otherwise(problem)
     parsed = evaluate_once(split, "bundle", "path", "body", fields.alias("_f"), tags.alias("_t"), error.alias("parse_error"))
     ok = F.col("parse_error").isNull()

@@ -8,6 +8,8 @@ folder, so plans stay short and lost executors cost one hop at most.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -259,13 +261,13 @@ def _next_hop(adjacent: DataFrame, frontier: DataFrame, visited: DataFrame) -> D
     return fresh.join(visited.select("bundle", "id"), ["bundle", "id"], "left_anti")
 
 
-def _walk(edges: DataFrame, seeds: DataFrame, hops: int, stop: Column | None = None) -> DataFrame:
-    """(bundle, id, parent, hop) for every node within ``hops`` of the seeds."""
+def _walk(edges: DataFrame, seeds: DataFrame, hops: int | None, stop: Column | None = None) -> DataFrame:
+    """(bundle, id, parent, hop) for every node within ``hops`` of the seeds; without a number, for every one that can be reached."""
     adjacent = cut_lineage(_both_ways(edges))
     layer = seeds.select("bundle", "id").distinct().select(
         "bundle", "id", F.lit(None).cast("string").alias("parent"), F.lit(0).alias("hop"))
     visited = layer = cut_lineage(layer)
-    for hop in range(1, hops + 1):
+    for hop in itertools.count(1) if hops is None else range(1, hops + 1):
         if stop is not None and not layer.where(stop).isEmpty():
             break
         layer = cut_lineage(_next_hop(adjacent, layer, visited).withColumn("hop", F.lit(hop)))
@@ -280,8 +282,8 @@ def n_hop(edges: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
     return _walk(edges, seeds, hops).select("bundle", "id", "hop")
 
 
-def shortest_path(edges: DataFrame, bundle: str, start: str, end: str, max_hops: int = 32) -> DataFrame:
-    """(step, id) along a shortest undirected path; empty when there is none.
+def shortest_path(edges: DataFrame, bundle: str, start: str, end: str) -> DataFrame:
+    """(step, id) along a shortest undirected path of any length; empty when there is none.
 
     Between equally short paths the one with the smallest predecessor at each node is taken.
     The driver reads one node per step of the path.
@@ -289,7 +291,7 @@ def shortest_path(edges: DataFrame, bundle: str, start: str, end: str, max_hops:
     spark = edges.sparkSession
     edges = edges.where(F.col("bundle") == bundle)
     seed = spark.createDataFrame([(bundle, start)], "bundle string, id string")
-    reached = _walk(edges, seed, max_hops, stop=F.col("id") == end)
+    reached = _walk(edges, seed, None, stop=F.col("id") == end)
     path, here = [], end
     while here is not None:
         row = reached.where(F.col("id") == here).select("parent").first()

@@ -46,11 +46,9 @@ def _spec_step():
 _yaml_spec = _spec_step()
 
 
-def load_specs(raw: DataFrame, yaml: bool = True) -> DataFrame:
+def load_specs(raw: DataFrame) -> DataFrame:
     """(spec, json) from JSON or YAML documents; only YAML ones are sent to Python."""
     is_json = tx.trim_ws(F.col("content")).rlike(r"^[\[{]")
-    if not yaml:
-        return raw.where(is_json).select("spec", F.col("content").alias("json"))
     converted = raw.withColumn("_yaml", _yaml_spec(F.when(~is_json, F.col("content"))))
     return converted.select("spec", F.when(is_json, F.col("content")).otherwise(F.col("_yaml")).alias("json"))
 

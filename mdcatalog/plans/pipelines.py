@@ -16,8 +16,15 @@ def load(spark: SparkSession, folder: str, bundle: str) -> tuple[DataFrame, Data
     return as_table(docs.parse_concepts(raw)), docs.reserved_files(raw)
 
 
-def produce(fresh: DataFrame, folder: str, bundle: str, date: str, run: int = 0) -> DataFrame:
-    """Merge fresh concepts into a bundle folder and write what changed; returns the log rows."""
+def produce(fresh: DataFrame, folder: str, bundle: str, date: str, run: int = 0, log_table: str | None = None,
+            index: dict[str, str] | None = None) -> DataFrame:
+    """Merge fresh concepts into a bundle folder, log and write what changed, and return the log rows.
+
+    The log rows are stored before any concept changes; with ``log_table`` they go there (a repeated run
+    replaces its own), and ``log.md`` is written from the whole table. ``index`` (title, intro, section)
+    also writes the index of all concepts. Everything is written under its final name at once, so a run
+    that ends half-way is repeated with the same date and run.
+    """
     spark = fresh.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     exists = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
@@ -26,9 +33,18 @@ def produce(fresh: DataFrame, folder: str, bundle: str, date: str, run: int = 0)
     else:
         existing = fresh.limit(0).selectExpr("*", "'' AS content_hash", "'' AS enriched_against")
     # The merge reads the folder that is written next, so its result is stored first.
-    merged = as_table(merge.merge_concepts(existing, fresh).where("change <> ''"))
-    writers.write_concepts(merged, folder)
-    return merge.log_entries(merged, date, run)
+    merged = as_table(merge.merge_concepts(existing, fresh))
+    changed = merged.where("change <> ''")
+    entries = merge.log_entries(changed, date, run)
+    if log_table:
+        writers.append_log(entries, log_table)
+    writers.write_concepts(changed, folder)
+    if log_table:
+        writers.write_log(spark.read.parquet(log_table), folder, bundle)
+    if index:
+        whole = docs.readable(docs.parse_concepts(readers.read_bundle(spark, folder, bundle)))
+        writers.write_index(whole, folder, **index)
+    return entries
 
 
 def lint(spark: SparkSession, folder: str, bundle: str = "bundle", version_key: str = "format_version", **gate) -> dict[str, DataFrame]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,7 +28,14 @@ def build_session(app: str = "mdcatalog", master: str | None = None, **settings:
     return builder.getOrCreate()
 
 
-def _shared_folder(spark: SparkSession) -> str:
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with scheme and authority, so that driver, readers and every task mean the same file system."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    uri = found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(found).toString()
+    return re.sub(r"^file:/+", "file:///", uri)
+
+
+def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder of the session, or, for a local session without one, its own.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``.
@@ -43,9 +51,12 @@ def _shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_shared_folder = shared_folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and drop its lineage."""
-    _shared_folder(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -55,6 +66,6 @@ def as_table(df: DataFrame) -> DataFrame:
     For results that several branches of a plan use, each with other columns: every branch
     scans only what it needs, and lost executors cost a re-read, not a recomputation.
     """
-    path = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import fnmatch
 import re
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +15,7 @@ from ..functions import paths as pt
 from ..functions.rows import evaluate_once
 from ..operators import cochange
 from ..operators.profile import head_per_group
-
-MAX_CONFIG_BYTES = 16 << 20  # configuration files; larger tables belong in a table
-
+from ..session import qualified
 
 def _below(full: Column, folder: str) -> Column:
     """Part of a file URI below a folder."""
@@ -30,9 +29,50 @@ def relative_path(folder: str) -> Column:
     return _below(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), folder)
 
 
+def _file_step(system_of: str):
+    """A vectorised step that reads whole files by path; None for a file that does not exist."""
+    def read(paths: pd.Series) -> pd.Series:
+        from pyarrow import fs
+
+        system, _ = fs.FileSystem.from_uri(system_of)
+
+        def content(uri: str) -> str | None:
+            _, name = fs.FileSystem.from_uri(uri)
+            if system.get_file_info(name).type != fs.FileType.File:
+                return None
+            with system.open_input_stream(name, compression=None) as stream:
+                return stream.read().decode("utf-8", "replace")
+
+        return paths.map(content)
+
+    return F.pandas_udf(read, "string")
+
+
+def _hidden(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
+    """(uri, size, modified) of files that Spark's own listing leaves out: a name on their way starts with . or _.
+
+    Like Spark's own listing, this one passes through the driver, which keeps the hidden files only.
+    """
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(qualified(spark, folder))
+    found, out = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True), []
+    base = re.sub(r"^file:/+", "file:///", root.toString()).rstrip("/")
+    while found.hasNext():
+        status = found.next()
+        uri = re.sub(r"^file:/+", "file:///", status.getPath().toString())
+        if re.search(r"/[._]", uri[len(base):]):
+            out.append((uri, status.getLen(), status.getModificationTime()))
+    return out
+
+
 def _whole_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
-    return files.select(relative_path(folder).alias("path"), F.col("value").alias("content"))
+    seen = files.select(relative_path(folder).alias("path"), F.col("value").alias("content"))
+    hidden = [(uri,) for uri, _, _ in _hidden(spark, folder) if fnmatch.fnmatchcase(uri.rsplit("/", 1)[1], glob)]
+    if not hidden:
+        return seen
+    rows = spark.createDataFrame(hidden, "uri string")
+    read = _file_step(hidden[0][0])
+    return seen.unionByName(evaluate_once(rows, _below(F.col("uri"), folder).alias("path"), read(F.col("uri")).alias("content")))
 
 
 def read_bundle(spark: SparkSession, folder: str, bundle: str) -> DataFrame:
@@ -60,6 +100,9 @@ def file_inventory(spark: SparkSession, folder: str, patterns: list[str] | None
     listed = files.select(
         _below(F.col("path"), folder).alias("path"),
         F.lit(False).alias("is_dir"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+    hidden = spark.createDataFrame(_hidden(spark, folder), "uri string, size bigint, modified bigint")
+    listed = listed.unionByName(hidden.select(_below(F.col("uri"), folder).alias("path"), F.lit(False).alias("is_dir"), "size",
+                                              F.timestamp_millis("modified").alias("modified")))
     if patterns is not None:
         listed = cochange.drop_ignored(listed, patterns, **ignore)
     dirs = listed.select(F.explode(pt.ancestors(F.col("path"))).alias("path")).distinct().select(
@@ -73,31 +116,24 @@ def csv_files(spark: SparkSession, folder: str, patterns: list[str] | None = Non
     return found.where(F.lower("path").endswith(".csv")).orderBy("path")
 
 
-def _config_text(path: str) -> str | None:
-    """Text of one small configuration file (they are often hidden files, which Spark's own
-    readers leave out); None when it does not exist."""
-    from pyarrow import fs
+def _config_text(spark: SparkSession, path: str) -> DataFrame:
+    """(value): the text of one configuration file of any size, read by a task; no row when it does not exist."""
+    uri = qualified(spark, path)
+    rows = spark.createDataFrame([(uri,)], "uri string")
+    return evaluate_once(rows, _file_step(uri)(F.col("uri")).alias("value")).where("value IS NOT NULL")
 
-    system, name = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), os.path.abspath(path))
-    info = system.get_file_info(name)
-    if info.type != fs.FileType.File:
-        return None
-    if info.size > MAX_CONFIG_BYTES:
-        raise ValueError(f"{path} is larger than {MAX_CONFIG_BYTES} bytes")
-    with system.open_input_stream(name) as stream:
-        return stream.read().decode("utf-8")
 
+def read_ignore_patterns(spark: SparkSession, *paths: str) -> list[str]:
+    """Patterns of one or more ignore files, in order; missing files have none.
 
-def read_ignore_patterns(*paths: str) -> list[str]:
-    """Patterns of one or more ignore files, in order; missing files have none."""
-    texts = [_config_text(path) or "" for path in paths]
+    Patterns become parts of a filter, so they come to the driver.
+    """
+    texts = [row["value"] for path in paths for row in _config_text(spark, path).collect()]
     return cochange.ignore_patterns("\n".join(texts).split("\n"))
 
 
 def _yaml_json(spark: SparkSession, path: str) -> DataFrame:
-    text = _config_text(path)
-    rows = spark.createDataFrame([] if text is None else [(text,)], "value string")
-    return evaluate_once(rows, fm.yaml_to_json(F.col("value")).alias("json"))
+    return evaluate_once(_config_text(spark, path), fm.yaml_to_json(F.col("value")).alias("json"))
 
 
 def read_flat_map(spark: SparkSession, path: str, key: str, value: str) -> DataFrame:

@@ -16,17 +16,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.frontmatter import render_scalar
-from ..operators import docs, graph, merge, render  # noqa: F401
-
-MAX_FILE_LINES = 100_000  # a longer index or log is written as sorted parts, not as one file
-
+from ..operators import docs, graph, merge
+from ..session import qualified, shared_folder
 
 def write_files(files: DataFrame, folder: str) -> int:
     """Write (path, content) rows below ``folder``; returns how many were written."""
+    folder = qualified(files.sparkSession, folder)
+
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
-        system, base = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), os.path.abspath(folder))
+        system, base = fs.FileSystem.from_uri(folder)
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 target = f"{base}/{path}"
@@ -48,17 +48,34 @@ def write_concepts(concepts: DataFrame, folder: str) -> int:
 
 
 def _write_lines(lines: DataFrame, order: list[Column], folder: str, name: str, head: str) -> str:
-    """Lines as one file when they are few (counted first), as a folder of sorted parts otherwise."""
-    stem = name.removesuffix(".md")
-    if lines.count() > MAX_FILE_LINES:
-        target = f"{folder.rstrip('/')}/{stem}"
-        lines.orderBy(*order).select("line").write.mode("overwrite").text(target)
-        return target
-    first = F.struct(*[o.alias(f"k{i}") for i, o in enumerate(order)]) if order else F.lit(0)
-    numbered = lines.select(first.alias("k"), "line")
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "line"))), lambda r: F.concat(r["line"], F.lit("\n"))), "")
-    whole = numbered.agg(F.concat(F.lit(head), text).alias("content")).select(F.lit(name).alias("path"), "content")
-    write_files(whole, folder)
+    """A head and then ``line`` in order as one file of any length.
+
+    Spark sorts the lines into parts in the shared folder; one task then streams the parts, in order of
+    their names, into the file under a temporary name, and moves it.
+    """
+    spark = lines.sparkSession
+    parts, folder = f"{qualified(spark, shared_folder(spark))}/{uuid.uuid4().hex}", qualified(spark, folder)
+    lines.orderBy(*order).select("line").write.text(parts)
+
+    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        (source, below), (system, base) = fs.FileSystem.from_uri(parts), fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for _ in range(len(batch)):
+                system.create_dir(base, recursive=True)
+                partial = f"{base}/{name}.{uuid.uuid4().hex}.tmp"
+                with system.open_output_stream(partial) as out:
+                    out.write(head.encode("utf-8"))
+                    for info in sorted(source.get_file_info(fs.FileSelector(below)), key=lambda i: i.base_name):
+                        if info.base_name.startswith("part-"):
+                            with source.open_input_stream(info.path) as stream:
+                                while block := stream.read(1 << 20):
+                                    out.write(block)
+                system.move(partial, f"{base}/{name}")
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    spark.range(1, numPartitions=1).mapInPandas(join, "n bigint").collect()
     return f"{folder.rstrip('/')}/{name}"
 
 
@@ -69,29 +86,26 @@ def write_index(concepts: DataFrame, folder: str, title: str, intro: str, sectio
 
 
 def append_log(entries: DataFrame, table: str) -> None:
-    """Add change-log rows to the log table (Parquet, partitioned by bundle)."""
-    entries.write.mode("append").partitionBy("bundle").parquet(table)
+    """Put change-log rows into the log table (Parquet, partitioned by bundle, date and run).
 
+    The partitions of the given runs are replaced, so a job that runs again adds nothing twice.
+    """
+    entries.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bundle", "date", "run").parquet(table)
 
-def render_log(log: DataFrame) -> DataFrame:
-    """(path, content): the log of each bundle with at most ``MAX_FILE_LINES`` entries as text.
 
-    Newest date first; within a date the newest run first. Larger logs stay tables.
-    """
-    sizes = log.groupBy("bundle").agg(F.count("*").alias("_n")).where(F.col("_n") <= MAX_FILE_LINES)
-    kept = log.join(sizes.select("bundle"), "bundle", "left_semi")
-    line = F.concat(F.lit("* **"), "kind", F.lit("**: "), "message", F.lit("\n"))
-    newest = F.reverse(F.array_sort(F.collect_list(F.struct("run", "concept_id", line.alias("line")))))
-    days = kept.groupBy("bundle", "date").agg(F.array_join(F.transform(newest, lambda r: r["line"]), "").alias("lines"))
-    block = F.concat(F.lit("## "), "date", F.lit("\n\n"), "lines")
-    ordered = F.reverse(F.array_sort(F.collect_list(F.struct("date", block.alias("block")))))
-    text = F.concat(F.lit("# Change Log\n\n"), F.array_join(F.transform(ordered, lambda d: d["block"]), "\n"))
-    return days.groupBy("bundle").agg(text.alias("content")).select(F.lit("log.md").alias("path"), "content", "bundle")
+def write_log(log: DataFrame, folder: str, bundle: str) -> str:
+    """The log of a bundle as ``log.md``: newest date first, within a date the newest run first."""
+    own = log.where(F.col("bundle") == bundle)
+    lines = merge.log_lines(own).withColumn("line", F.when(F.col("part") == 0, F.concat(F.lit("\n"), "line", F.lit("\n"))).otherwise(F.col("line")))
+    return _write_lines(lines, [F.desc("date"), F.col("part"), F.desc("run"), F.desc("concept_id")], folder, "log.md", "# Change Log\n")
 
 
 def write_descriptions(descriptions: DataFrame, folder: str, name: str = ".catalog-metadata.yaml") -> str | None:
-    """Folder metadata with sorted keys; nothing is written for an empty map."""
+    """Folder metadata with sorted keys; an empty map removes the file."""
     if descriptions.isEmpty():
+        spark = descriptions.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{qualified(spark, folder).rstrip('/')}/{name}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, False)
         return None
     line = F.concat(render_scalar(F.col("path")), F.lit(": "), render_scalar(F.coalesce("description", F.lit(""))))
     return _write_lines(descriptions.select("path", line.alias("line")), [F.col("path")], folder, name, "")

@@ -30,9 +30,9 @@ def test_csv_quotes_and_discovery(spark, tmp_path):
 
 def test_file_tree(spark, tmp_path):
     write(tmp_path, {"file1.txt": "12345", "sub dir/file2.txt": "x", "ignored.txt": "", ".catalogignore": "# c\n\nignored.txt\n", "meta.yaml": "file1.txt: 'First: file'\n\"sub dir/file2.txt\": Second\n"})
-    patterns = readers.read_ignore_patterns(str(tmp_path / ".catalogignore"))
+    patterns = readers.read_ignore_patterns(spark, str(tmp_path / ".catalogignore"))
     assert patterns == ["ignored.txt"]
-    tree_rows = readers.file_inventory(spark, str(tmp_path), patterns + ["meta.yaml"])
+    tree_rows = readers.file_inventory(spark, str(tmp_path), patterns + ["meta.yaml", ".catalogignore"])
     got = {r["path"]: (r["is_dir"], r["size"]) for r in tree_rows.collect()}
     assert got == {"file1.txt": (False, 5), "sub dir/file2.txt": (False, 1), "sub dir": (True, None)}
     known = readers.read_descriptions(spark, str(tmp_path / "meta.yaml"))
@@ -142,14 +142,17 @@ def test_produce_twice_is_byte_identical(spark, tmp_path):
     sections = produce.lake_sections(data, {"users": ["id"]}, sample=1)
     def fresh(timestamp):
         return produce.table_concepts(entities, columns, "sqlite", "sqlite:///db", timestamp, bundle="b", sections=sections)
-    log = pipelines.produce(fresh("t1"), str(out), "b", "2024-01-01")
+    table = {"log_table": str(tmp_path / "log")}
+    log = pipelines.produce(fresh("t1"), str(out), "b", "2024-01-01", **table)
     assert {r["kind"] for r in log.collect()} == {"Creation"} and log.count() == 2
     before = tree(out)
     assert b"SQLite table users" in before["tables/users.md"] and b"| email | 2 | 0 | 2 |" in before["tables/users.md"]
     assert b"## Sample\n\n| id | email |\n| --- | --- |\n| 1 | a@b.co |\n" in before["tables/users.md"]
-    again = pipelines.produce(fresh("t2"), str(out), "b", "2024-01-02", run=1)
+    again = pipelines.produce(fresh("t2"), str(out), "b", "2024-01-02", run=1, **table)
     assert again.count() == 0 and tree(out) == before
-    text = writers.render_log(log).first()["content"]
+    writers.append_log(log, table["log_table"])  # a repeated run adds nothing twice
+    writers.write_log(spark.read.parquet(table["log_table"]), str(out), "b")
+    text = (out / "log.md").read_text()
     assert text == ("# Change Log\n\n## 2024-01-01\n\n* **Creation**: Established [v](/tables/v.md).\n* **Creation**: Established [users](/tables/users.md).\n")
     concepts = docs.parse_concepts(readers.read_bundle(spark, str(out), "b"))
     writers.write_index(concepts, str(out), "Shop", "All tables.", "Tables")
@@ -195,3 +198,32 @@ def test_information_schema_frames(spark):
         return spark.createDataFrame([tuple(row)], ", ".join(f"{n} string" for n in names))
     frames = readers.from_information_schema(read)
     assert frames["tables"].first()["kind"] == "view" and set(frames) == {"tables", "columns", "constraints", "key_columns", "referential", "checks"}
+
+
+def test_indexes_logs_and_descriptions_have_no_bound(spark, tmp_path):
+    n = 120_000
+    names = spark.range(n).selectExpr("'b' AS bundle", "format_string('t/%06d', id) AS concept_id", "'T' AS type", "'' AS title", "'d' AS description", "id")
+    writers.write_index(names, str(tmp_path), "Shop", "All.", "Tables")
+    index = (tmp_path / "index.md").read_text().splitlines()
+    assert index[:5] == ["---", 'format_version: "0.1"', "---", "# Shop", ""] and len(index) == 9 + n and index[-1] == "- [119999](t/119999.md) - d"
+    log = names.selectExpr("bundle", "'2024-01-0' || (id % 2 + 1) AS date", "0 AS run", "concept_id", "'Creation' AS kind", "'m' AS message")
+    writers.write_log(log, str(tmp_path), "b")
+    text = (tmp_path / "log.md").read_text().splitlines()
+    assert text[:5] == ["# Change Log", "", "## 2024-01-02", "", "* **Creation**: m"] and len(text) == n + 7
+    known = names.selectExpr("concept_id AS path", "description")
+    writers.write_descriptions(known, str(tmp_path))
+    assert readers.read_descriptions(spark, str(tmp_path / ".catalog-metadata.yaml")).count() == n
+    assert writers.write_descriptions(known.limit(0), str(tmp_path)) is None
+    assert readers.read_descriptions(spark, str(tmp_path / ".catalog-metadata.yaml")).count() == 0
+
+
+def test_hidden_names_are_read_too(spark, tmp_path):
+    write(tmp_path, {"a.md": "1", ".b.md": "2", "_c.md": "3", "_d/e.md": "4", ".f/g.txt": "5"})
+    assert {(r["path"], r["content"]) for r in readers.read_bundle(spark, str(tmp_path), "b").collect()} == {("a.md", "1"), (".b.md", "2"), ("_c.md", "3"), ("_d/e.md", "4")}
+    assert {r["path"] for r in readers.file_inventory(spark, str(tmp_path)).where("NOT is_dir").collect()} == {"a.md", ".b.md", "_c.md", "_d/e.md", ".f/g.txt"}
+
+
+def test_paths_of_any_length_are_found(spark):
+    edges = spark.createDataFrame([("b", f"n{i}", f"n{i + 1}") for i in range(36)], "bundle string, source string, target string")
+    path = graph.shortest_path(edges, "b", "n0", "n36")
+    assert [r["id"] for r in path.orderBy("step").collect()] == [f"n{i}" for i in range(37)]

@@ -16,7 +16,6 @@ from mdcatalog.functions import frontmatter as fm
 from mdcatalog.functions import markdown as md
 from mdcatalog.functions import paths as pt
 from mdcatalog.functions import text as tx
-from mdcatalog.functions.rows import spread
 from mdcatalog.session import as_table
 from mdcatalog.operators import audit, catalog, cochange, docs, drift, enrich, graph, merge, profile, render, specs
 
@@ -61,15 +60,9 @@ DEGREE = """degree AS (SELECT concept_id, CAST(sum(n) AS BIGINT) AS degree FROM
     SELECT source_id AS concept_id, n FROM working UNION ALL SELECT target_id, n FROM working) e GROUP BY concept_id)"""
 
 
-_TABLES: dict[tuple, DataFrame] = {}
-
-
 def _concept_table(spark: SparkSession, sf: str, version: int) -> DataFrame:
-    """The parsed bundle, written as a table by the first query of a session that needs it."""
-    key = (spark.sparkContext.applicationId, sf, version)
-    if key not in _TABLES:
-        _TABLES[key] = as_table(docs.parse_concepts(star.bundle(spark, sf, version), yaml=False))
-    return _TABLES[key]
+    """The bundle, rendered and parsed anew and written as a table for the branches of one query."""
+    return as_table(docs.parse_concepts(star.bundle(spark, sf, version)))
 
 
 def v1(spark: SparkSession, sf: str) -> DataFrame:
@@ -118,7 +111,7 @@ def profile_sql(name: str, columns: list[str]) -> str:
 
 
 def _profile(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    out = profile.profile(spread(table(spark, sf, name)))
+    out = profile.profile(table(spark, sf, name))
     return out.withColumn("values", F.array_join("values", ","))
 
 
@@ -390,7 +383,7 @@ _PAIRS = f"""SELECT a.l_suppkey AS ka, b.l_suppkey AS kb, count(*) AS n FROM ({_
 def _changes(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as commits, suppliers as files."""
     name = F.concat(F.lit("supplier/"), F.col("l_suppkey").cast("string"))
-    return spread(table(spark, sf, "lineitem")).select(F.col("l_orderkey").alias("commit_id"), name.alias("path"))
+    return table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("commit_id"), name.alias("path"))
 
 
 @query(f"""SELECT a, b, n FROM (SELECT 'supplier/' || CAST(ka AS STRING) AS a, 'supplier/' || CAST(kb AS STRING) AS b, n FROM ({_PAIRS})) WHERE a < b AND n >= 2""")
@@ -455,7 +448,7 @@ def ignore_filter_files(spark, sf):
        "(CASE WHEN description = '' THEN 'owner=nobody;' ELSE '' END) || (CASE WHEN enriched = '' THEN 'reviewed=no;' ELSE '' END) AS extra, "
        "md5(body || CASE WHEN noted THEN chr(10) || '# Notes' || chr(10) || chr(10) || 'Key account.' || chr(10) ELSE '' END) AS body FROM v1")
 def frontmatter_parse(spark, sf):
-    c = docs.readable(docs.parse_concepts(star.bundle(spark, sf, 1), yaml=False))
+    c = docs.readable(docs.parse_concepts(star.bundle(spark, sf, 1)))
     entries = F.transform(F.array_sort(F.map_entries("extra")), lambda e: F.concat(e["key"], F.lit("="), e["value"], F.lit(";")))
     return c.select("concept_id", "type", "title", "description", "resource", flat("tags"), "content_hash", "enriched_against",
                     F.array_join(entries, "").alias("extra"), F.md5("body").alias("body"))
@@ -464,7 +457,7 @@ def frontmatter_parse(spark, sf):
 @query("SELECT 'parts/' || CAST(p_partkey AS STRING) || '.md' AS path, 'missing frontmatter boundaries' AS parse_error FROM {part} WHERE p_size = 1")
 def frontmatter_errors(spark, sf):
     """Files that are no concepts, with the general YAML step switched on."""
-    concepts = docs.parse_concepts(star.bundle(spark, sf, 1), yaml=True)
+    concepts = docs.parse_concepts(star.bundle(spark, sf, 1))
     return concepts.where("parse_error IS NOT NULL").select("path", "parse_error")
 
 
@@ -503,7 +496,7 @@ def section_extract(spark, sf):
 
 @query(r"""SELECT doc_id, sha256(rtrim(regexp_replace(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), '[ \t]+(\n|$)', '\1', 'g'), chr(10)) || chr(10)) AS hash FROM {documents}""")
 def structural_hash(spark, sf):
-    return spread(table(spark, sf, "documents")).select("doc_id", tx.structural_hash(F.col("text")).alias("hash"))
+    return table(spark, sf, "documents").select("doc_id", tx.structural_hash(F.col("text")).alias("hash"))
 
 
 @query(f"""WITH {V1} SELECT concept_id, hash FROM v1""")
@@ -870,5 +863,5 @@ def bundle_index(spark, sf):
 def render_round_trip(spark, sf):
     """Concepts written as text and read back."""
     fresh = docs.readable(v1(spark, sf)).withColumn("body", F.regexp_replace("body", r"(?s)\n# Notes\n.*", ""))
-    back = docs.parse_concepts(merge.render_concepts(fresh), yaml=False)
+    back = docs.parse_concepts(merge.render_concepts(fresh))
     return docs.readable(back).select("concept_id", F.md5("body").alias("body"), "title", "description", flat("tags"))

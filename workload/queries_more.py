@@ -420,14 +420,14 @@ _COLS3 = f"'# Columns' || {_NL} || {_NL} || '| Name | Type | Required |' || {_NL
     UNION ALL SELECT {_SPEC}, 'schemas/Customer', 'Schema', 'Customer', {_COLS3} || '| any | object | no |' || {_NL} || '| name | string | no |' || {_NL}, '' FROM {{supplier}}
     UNION ALL SELECT {_SPEC}, 'schemas/' || {_ITEM}, 'Schema', {_ITEM}, {_COLS3}, '' FROM {{supplier}}""")
 def openapi_schemas(spark, sf):
-    return specs.openapi_schemas(specs.load_specs(star.openapi_specs(spark, sf), yaml=False)).withColumn("links", F.array_join("links", ","))
+    return specs.openapi_schemas(specs.load_specs(star.openapi_specs(spark, sf))).withColumn("links", F.array_join("links", ","))
 
 
 @query(f"""SELECT {_SPEC}, k.schema, k.name, CASE WHEN k.name = 'items' THEN 'array<array<' || {_ITEM} || '>>' ELSE k.type END AS type, k.required, k.links_to FROM {{supplier}},
     (VALUES ('Order', 'id', 'integer', 'yes', ''), ('Order', 'customer', 'Customer', 'no', 'Customer'), ('Order', 'items', '', 'no', ''), ('Order', 'note', 'string|null', 'no', ''),
      ('Customer', 'name', 'string', 'no', ''), ('Customer', 'any', 'object', 'no', '')) k(schema, name, type, required, links_to)""")
 def openapi_properties(spark, sf):
-    return specs.openapi_properties(specs.load_specs(star.openapi_specs(spark, sf), yaml=False))
+    return specs.openapi_properties(specs.load_specs(star.openapi_specs(spark, sf)))
 
 
 @query(f"""SELECT {_SPEC}, 'endpoints/getorder-' || CAST(s_suppkey AS STRING) AS rel, 'API Endpoint' AS type, 'GET /orders/{{{{id}}}}' AS title, '# GET /orders/{{{{id}}}}' || {_NL} || {_NL} || 'Get one' || {_NL} || {_NL} ||
@@ -435,13 +435,13 @@ def openapi_properties(spark, sf):
       '## Responses' || {_NL} || {_NL} || '| Status | Schema |' || {_NL} || '| --- | --- |' || {_NL} || '| 200 | Order |' || {_NL} || '| 404 |  |' || {_NL} || {_NL} AS body, 'schemas/Order' AS links FROM {{supplier}}
     UNION ALL SELECT {_SPEC}, 'endpoints/post-orders-id', 'API Endpoint', 'POST /orders/{{{{id}}}}', '# POST /orders/{{{{id}}}}' || {_NL} || {_NL} || '## Responses' || {_NL} || {_NL} || '| Status | Schema |' || {_NL} || '| --- | --- |' || {_NL} || {_NL}, '' FROM {{supplier}}""")
 def openapi_endpoints(spark, sf):
-    return specs.openapi_endpoints(specs.load_specs(star.openapi_specs(spark, sf), yaml=False)).withColumn("links", F.array_join("links", ","))
+    return specs.openapi_endpoints(specs.load_specs(star.openapi_specs(spark, sf))).withColumn("links", F.array_join("links", ","))
 
 
 @query(f"""SELECT {_SPEC}, 'schemas/Order' AS source_id, 'references' AS label, '/schemas/Customer.md' AS target, 'Customer' AS text FROM {{supplier}}
     UNION ALL SELECT {_SPEC}, 'endpoints/getorder-' || CAST(s_suppkey AS STRING), 'references', '/schemas/Order.md', 'Order' FROM {{supplier}}""")
 def spec_relationships(spark, sf):
-    loaded = specs.load_specs(star.openapi_specs(spark, sf), yaml=False)
+    loaded = specs.load_specs(star.openapi_specs(spark, sf))
     return specs.spec_relationships(specs.openapi_schemas(loaded).unionByName(specs.openapi_endpoints(loaded)))
 
 

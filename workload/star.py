@@ -25,13 +25,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdcatalog.functions.rows import spread
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
-LARGE = {"customer", "supplier", "part", "orders", "lineitem", "events", "documents"}
 BUNDLE = "star"
 
 
@@ -42,7 +40,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def run_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Run SQL whose ``{name}`` placeholders are test tables."""
     used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in sql}
-    used = {t: spread(df) if t in LARGE else df for t, df in used.items()}
     return spark.sql(sql, **used)
 
 
