@@ -122,7 +122,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the session's checkpoint folder."""
     from mdcatalog import session
 
-    return f"{session._shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return f"{session.shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
 __all__ = ["as_table", "cut_lineage"]

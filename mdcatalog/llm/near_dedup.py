@@ -28,7 +28,7 @@ SEED = 11
 #: Texts of a bucket that are compared each with each where one comparison with its first has not joined them.
 PAIRED = 16
 #: Rounds of further comparisons at most; they end as soon as one brings nothing.
-ROUNDS = 8
+ROUNDS = 3
 
 _WORD = re.compile(r"\w+")
 _U = np.uint64
@@ -189,13 +189,17 @@ def _labels(tagged: Tagged, doc_id: str) -> DataFrame:
     nodes = as_table(tagged.table.where(F.col(tagged.node).isNotNull()).groupBy(F.col(tagged.node).alias("node"))
                      .agg(F.min(F.col(doc_id).cast("bigint")).alias("least"), F.count(F.lit(1)).alias("copies"), F.first(tagged.bands).alias("bands")))
     member = nodes.select("node", F.explode("bands").alias("band"))
-    crowd = member.groupBy("band").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    crowd = member.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     crowded = as_table(member.join(crowd, "band"))
-    compared = cut_lineage(crowded.where("node != a").select("a", F.col("node").alias("b")).distinct())
+    # the text that shares buckets with most others resembles most of them, as the original of many versions does
+    company = crowded.groupBy("node").agg(F.sum("n").alias("company"))
+    centre = crowded.join(company, "node").groupBy("band").agg(F.max(F.struct("company", "node"))["node"].alias("centre"))
+    star = crowded.join(centre, "band").where("node != centre")
+    compared = cut_lineage(star.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
     links = _verify(compared, tagged)
     roots = components(links, "a", "b")
     for turn in range(ROUNDS):
-        further = cut_lineage(_further(crowded.drop("a"), roots, turn).join(compared, ["a", "b"], "left_anti"))
+        further = cut_lineage(_further(crowded, roots, turn).join(compared, ["a", "b"], "left_anti"))
         if not further.limit(1).count():
             break
         compared = compared.unionByName(further)
@@ -221,10 +225,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     class: class_id is their own id and class_size 1. Null ids join a class like others but never name it.
     Repeated rows count each. Other columns are ignored; an empty table gives no rows.
 
-    In a band bucket every text is compared with the bucket's first, so a bucket costs its size, and copies
-    are expanded nowhere. Buckets whose texts then still belong to several components are compared further:
+    In a band bucket every text is compared with one, the one that shares buckets with most others, so a
+    bucket costs its size, and copies are expanded nowhere. Buckets whose texts then still belong to several components are compared further:
     up to ``PAIRED`` texts each with each, larger ones with another text of theirs in every round, until a
-    round brings no link.
+    round brings no link or ``ROUNDS`` are over.
     """
     return _labels(Tagged(docs.select(doc_id, text), text), doc_id).select("doc_id", "class_id", "class_size")
 
