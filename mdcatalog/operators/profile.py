@@ -207,9 +207,10 @@ def profile(
     if types is not None:  # one row per column
         verdicts = types.select(F.col("column").alias("_name"), F.col("type").alias("_type"))
         joined = joined.join(F.broadcast(verdicts), label == F.col("_name"), "left")
-    return joined.select(
-        label.alias("column"),
-        "ordinal",
+    # one row per column, of an empty table too
+    every = df.sparkSession.createDataFrame(list(enumerate(columns)), "ordinal int, column string")
+    found = joined.select(
+        F.col("ordinal").alias("_at"),
         "non_null",
         "nulls",
         "distinct",
@@ -218,6 +219,10 @@ def profile(
         semantic.alias("semantic"),
         F.when(small, F.coalesce("head", no_values)).otherwise(no_values).alias("values"),
     )
+    zero = F.lit(0).cast("bigint")
+    return every.join(found, F.col("ordinal").eqNullSafe(F.col("_at")), "left").select(
+        "column", "ordinal", *[F.coalesce(c, zero).alias(c) for c in ("non_null", "nulls", "distinct")],
+        "min", "max", F.coalesce("semantic", F.lit("")).alias("semantic"), F.coalesce("values", no_values).alias("values"))
 
 
 def distinct_values(df: DataFrame, column: str, limit: int = fv.LOW_CARDINALITY + 1) -> DataFrame:
@@ -248,16 +253,17 @@ def head_per_group(df: DataFrame, n: int, group: list[str], order_by: list[str])
 def infer_csv_types(
     df: DataFrame,
     order_by: list[str],
-    cap: int = fv.TYPE_INFERENCE_ROWS,
+    cap: int | None = None,
     columns: list[str] | None = None,
     group: str | None = None,
 ) -> DataFrame:
-    """Type of each text column from its first ``cap`` rows: (column, ordinal, type).
+    """Type of each text column from all rows, or from its first ``cap`` rows: (column, ordinal, type).
 
-    With ``group`` (for instance a file path) types are inferred per group.
+    A column without values, as in a file that is a header only, is ``string``. With ``group`` (for
+    instance a file path) types are inferred per group.
     """
     columns = columns or [c for c in df.columns if c != group]
-    first = df.orderBy(*order_by).limit(cap) if group is None else head_per_group(df, cap, [group], order_by)
+    first = df if cap is None else df.orderBy(*order_by).limit(cap) if group is None else head_per_group(df, cap, [group], order_by)
     keys = [] if group is None else [F.col(group)]
     cells = F.array(*[
         F.struct(F.lit(c).alias("column"), F.lit(i).alias("ordinal"), tx.blank_to_null(F.col(f"`{c}`")).alias("v"))
@@ -274,8 +280,12 @@ def infer_csv_types(
     for name in reversed(list(tests)):
         verdict = F.when(F.col(f"all_{name}"), F.lit(name)).otherwise(verdict)
     grouping = ([group] if group else []) + ["column", "ordinal"]
+    seen = first.select(*keys, F.inline(cells))
+    if group is None:  # every column has a row, even if the table has none
+        none = df.sparkSession.createDataFrame([(c, i, None) for i, c in enumerate(columns)], "column string, ordinal int, v string")
+        seen = seen.unionByName(none)
     return (
-        first.select(*keys, F.inline(cells))
+        seen
         .groupBy(*grouping)
         .agg(*[F.bool_and(F.when(v.isNotNull(), test)).alias(f"all_{name}") for name, test in tests.items()])
         .select(*grouping, verdict.alias("type"))
@@ -305,10 +315,11 @@ def json_type(value: Column) -> Column:
 def infer_fields(df: DataFrame, json_col: str, group: str | None = None) -> DataFrame:
     """Top-level fields of JSON documents: presence percentage and sorted union of types.
 
-    A field present with value null counts as present, with type ``null``.
+    A field present with value null counts as present, with type ``null``. Texts that are no JSON count
+    for nothing; ``unreadable_documents`` counts them.
     """
     docs = df.select(*([F.col(group).alias("collection")] if group else [F.lit("").alias("collection")]),
-                     F.parse_json(json_col).alias("doc"))
+                     F.try_parse_json(json_col).alias("doc")).where("doc IS NOT NULL")
     fields = df.sparkSession.sql(
         "SELECT d.collection, e.pos, e.key AS field, e.value FROM {docs} d, LATERAL variant_explode_outer(d.doc) e",
         docs=docs,
@@ -333,6 +344,13 @@ def infer_fields(df: DataFrame, json_col: str, group: str | None = None) -> Data
     return out.withColumnRenamed("collection", group) if group else out
 
 
+def unreadable_documents(df: DataFrame, json_col: str, group: str | None = None) -> DataFrame:
+    """(collection, documents, unreadable): how many texts there are and how many are no JSON."""
+    collection = F.col(group) if group else F.lit("")
+    bad = F.col(json_col).isNotNull() & F.try_parse_json(json_col).isNull()
+    return df.groupBy(collection.alias("collection")).agg(F.count(F.lit(1)).alias("documents"), F.count_if(bad).alias("unreadable"))
+
+
 def column_rows(tables: dict[str, DataFrame]) -> DataFrame:
     """(table, ordinal, name, type, nullable) rows from the schemas of some tables."""
     spark = next(iter(tables.values())).sparkSession

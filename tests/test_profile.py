@@ -55,7 +55,15 @@ def test_all_null_column_and_empty_table(spark):
     df = spark.createDataFrame([(None,), (None,)], "x string")
     r = profile.profile(df).first()
     assert (r["non_null"], r["nulls"], r["distinct"], r["min"], r["semantic"], r["values"]) == (0, 2, 0, None, "", [])
-    assert profile.profile(df.limit(0)).count() == 0
+    none = profile.profile(df.limit(0)).first()
+    assert (none["column"], none["non_null"], none["nulls"], none["distinct"], none["min"], none["semantic"], none["values"]) == ("x", 0, 0, 0, None, "", [])
+    assert [r["type"] for r in profile.infer_csv_types(df.limit(0), ["x"], columns=["x"]).collect()] == ["string"]
+
+
+def test_broken_documents_are_counted_and_left_out(spark):
+    df = spark.createDataFrame([('{"a": 1}',), ('{"a": ',), (None,), ('{"b": 2}',)], "doc string")
+    assert {(r["field"], r["presence_pct"]) for r in profile.infer_fields(df, "doc").collect()} == {("a", 50), ("b", 50)}
+    assert tuple(profile.unreadable_documents(df, "doc").first()) == ("", 4, 1)
 
 
 def test_csv_profile(spark):

@@ -162,7 +162,7 @@ def _sheet_profile_sql() -> str:
 def profile_blank_as_null(spark, sf):
     sheet = _sheet(spark, sf)
     columns = ["id", "name", "size", "price", "flag"]
-    types = profile.infer_csv_types(sheet, ["row_no"], columns=columns)
+    types = profile.infer_csv_types(sheet, ["row_no"], fv.TYPE_INFERENCE_ROWS, columns=columns)
     out = profile.profile(sheet, columns, blank_as_null=True, evidence="all", types=types)
     return out.withColumn("values", F.array_join("values", ","))
 
@@ -187,7 +187,7 @@ _TEXTS = """SELECT o_orderkey AS row_no, CAST(o_orderkey AS STRING) AS a, CASE W
     CAST(o_orderdate AS STRING) AS c, o_orderpriority AS d, CASE WHEN o_totalprice > 200000 THEN 'Yes' ELSE 'f' END AS e, ' ' AS f FROM {orders}"""
 
 
-def _types_sql() -> str:
+def _types_sql(limit: str = f"LIMIT {fv.TYPE_INFERENCE_ROWS}") -> str:
     blocks = []
     for i, c in enumerate("abcdef"):
         blocks.append(f"""SELECT '{c}' AS "column", {i} AS ordinal, CASE
@@ -195,15 +195,46 @@ def _types_sql() -> str:
           WHEN count(v) > 0 AND bool_and(v IS NULL OR try_cast(v AS DOUBLE) IS NOT NULL) THEN 'number'
           WHEN count(v) > 0 AND bool_and(lower(v) IN ('true', 'false', 'yes', 'no', 't', 'f')) THEN 'boolean'
           WHEN count(v) > 0 AND bool_and(v IS NULL OR try_cast(v AS TIMESTAMP) IS NOT NULL) THEN 'date' ELSE 'string' END AS type
-        FROM (SELECT nullif(trim({c}), '') AS v FROM ({_TEXTS}) ORDER BY row_no LIMIT {fv.TYPE_INFERENCE_ROWS})""")
+        FROM (SELECT nullif(trim({c}), '') AS v FROM ({_TEXTS}) ORDER BY row_no {limit})""")
     return " UNION ALL ".join(blocks)
 
 
 @query(_types_sql())
 def infer_csv_types(spark, sf):
+    """By the first rows only, as the cap says."""
+    return profile.infer_csv_types(star.run_sql(spark, sf, _TEXTS), ["row_no"], fv.TYPE_INFERENCE_ROWS, columns=list("abcdef"))
+
+
+@query(_types_sql(limit=""))
+def infer_csv_types_all(spark, sf):
+    """By every row."""
     return profile.infer_csv_types(star.run_sql(spark, sf, _TEXTS), ["row_no"], columns=list("abcdef"))
 
 
+@query("""SELECT "column", CAST(ordinal AS INTEGER) AS ordinal, 'string' AS type FROM (VALUES ('a', 0), ('b', 1)) t("column", ordinal)
+  UNION ALL SELECT 'rows', CAST(count(*) AS INTEGER), 'none' FROM {orders} WHERE o_totalprice < -1e300""")
+def infer_types_empty(spark, sf):
+    """A filter that keeps nothing leaves a header: every column is a string."""
+    rows = table(spark, sf, "orders").where("o_totalprice < -1e300").selectExpr("o_orderkey AS row_no", "CAST(o_orderkey AS STRING) AS a", "o_orderpriority AS b")
+    count = rows.agg(F.count("*").cast("int").alias("ordinal")).select(F.lit("rows").alias("column"), "ordinal", F.lit("none").alias("type"))
+    return profile.infer_csv_types(rows, ["row_no"], columns=["a", "b"]).unionByName(count)
+
+
+@query("""SELECT 'o_orderkey' AS "column", 0 AS ordinal, count(*) AS non_null, count(*) AS nulls, count(*) AS "distinct" FROM {orders} WHERE o_totalprice < -1e300
+  UNION ALL SELECT 'o_orderpriority', 1, count(*), count(*), count(*) FROM {orders} WHERE o_totalprice < -1e300""")
+def profile_empty(spark, sf):
+    """The profile of a filter that keeps nothing has a row per column."""
+    rows = table(spark, sf, "orders").where("o_totalprice < -1e300").select("o_orderkey", "o_orderpriority")
+    return profile.profile(rows).select("column", "ordinal", "non_null", "nulls", "distinct")
+
+
+@query("""SELECT event_type AS collection, count(*) AS documents, count(*) FILTER (WHERE event_id % 7 = 3) AS unreadable FROM {events} GROUP BY event_type""")
+def infer_json_broken(spark, sf):
+    """Texts cut off by key are counted and stop nothing."""
+    props = F.when(F.col("event_id") % 7 == 3, F.concat(F.lit("{"), "props")).otherwise(F.col("props"))
+    return profile.unreadable_documents(table(spark, sf, "events").select("event_type", props.alias("doc")), "doc", "event_type")
+
+
 @query("""WITH f AS (
     SELECT 'id' AS field, 'number' AS type, count(*) AS n FROM {events}
     UNION ALL SELECT 'user', 'string', count(*) FROM {events}
