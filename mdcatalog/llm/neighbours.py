@@ -21,9 +21,9 @@ from mdcatalog.llm.common import as_table, cut_lineage, map_batches, small_batch
 NEIGHBOURS = 20
 #: Bounds of the fit: vectors of the sample by a hash of their id, vectors that give a query its first threshold.
 SAMPLE = 16_384
-SEEDS = 1_024
+SEEDS = 4_096
 #: Vectors of a list on average, and lists at most.
-LIST = 512
+LIST = 1_024
 LISTS = 256
 #: Share of the sample's true neighbours that the number of probed lists must reach.
 RECALL = 0.97
@@ -31,7 +31,7 @@ RECALL = 0.97
 BLOCK = 16
 EPSILON = 2.5
 #: Vectors and queries of a unit of work.
-TILE_VECTORS, TILE_QUERIES = 1_024, 2_048
+TILE_VECTORS, TILE_QUERIES = 2_048, 2_048
 
 
 def products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
