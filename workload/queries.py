@@ -788,10 +788,16 @@ def subgraph(spark, sf):
     return graph.subgraph(nodes, edges, ids)[1].select("source", "target", "kind", "relation")
 
 
-@query()
+@query(f"""WITH RECURSIVE {V1},
+  walk AS (
+    SELECT concept_id AS id, lower(concept_id || ' ' || title || ' ' || type || ' star ' || tag) AS text, 0 AS k, 1 AS pos, 0 AS score, 0 AS streak, 0 AS first FROM v1
+    UNION ALL SELECT id, text, k + 1, pos + hop, score + CASE WHEN hop = 1 THEN 6 + streak ELSE 1 END, CASE WHEN hop = 1 THEN streak + 1 ELSE 0 END,
+      CASE WHEN first = 0 THEN pos + hop - 1 ELSE first END
+    FROM (SELECT *, strpos(substr(text, pos), substr('s1st', k + 1, 1)) AS hop FROM walk WHERE k < 4) WHERE hop > 0)
+  SELECT '{star.BUNDLE}' AS bundle, id, CAST(score + CASE WHEN first = 1 THEN 10 ELSE 0 END AS INTEGER) AS score FROM walk WHERE k = 4""")
 def fuzzy_search(spark, sf):
     """Ranked subsequence search over all concepts."""
-    return graph.fuzzy_search(graph.concept_nodes(v1(spark, sf)), "blue gizmo", types=["Part", "Brand"])
+    return graph.fuzzy_search(graph.concept_nodes(v1(spark, sf)), "s1st")
 
 
 _DIFF = f"""WITH {V1}, {V2} SELECT coalesce(n.concept_id, o.concept_id) AS id, coalesce(n.title, o.title) AS title,
