@@ -114,3 +114,6 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
+
+# How characters of a commit message are written inside double quotes, in this order.
+QUOTED = [("\\", "\\\\"), ('"', '\\"'), ("\a", "\\a"), ("\b", "\\b"), ("\f", "\\f"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\v", "\\v")]

@@ -63,8 +63,9 @@ def coverage(concepts: DataFrame) -> DataFrame:
     Column comments are counted inside each row, so this is a single aggregation.
     """
     placeholder = tx.is_placeholder(F.col("description"))
-    totals = docs.readable(concepts).groupBy("bundle").agg(
-        F.count("*").alias("total_concepts"), F.count_if(placeholder).alias("placeholders"))
+    readable = F.col("parse_error").isNull()  # a bundle without readable concepts has a row of zeros
+    totals = concepts.groupBy("bundle").agg(
+        F.count_if(readable).alias("total_concepts"), F.count_if(readable & placeholder).alias("placeholders"))
     columns = docs.comment_stats(concepts).groupBy("bundle").agg(
         F.sum("columns_total").alias("columns_total"), F.sum("columns_commented").alias("columns_commented"))
     zero = F.lit(0).cast("bigint")

@@ -65,11 +65,17 @@ def readable(concepts: DataFrame) -> DataFrame:
 
 
 def reserved_files(raw: DataFrame) -> DataFrame:
-    """Index and log files with their frontmatter keys."""
+    """Index and log files with their frontmatter keys; frontmatter that is no YAML mapping has none."""
     content = F.col("content")
-    has, yaml = fm.has_block(content), fm.block(content)
-    keys = F.array_sort(F.array_distinct(F.regexp_extract_all(yaml, F.lit(r"(?dm)^([A-Za-z_][^:\n]*):"), 1)))
-    return markdown_files(raw).where(pt.is_reserved(F.col("path"))).select(
+    files = markdown_files(raw).where(pt.is_reserved(F.col("path")))
+    files = evaluate_once(files, "bundle", "path", "content", fm.has_block(content).alias("_has"), fm.block(content).alias("_yaml"))
+    files = files.withColumn("_flat", F.col("_has") & fm.is_flat(fm.yaml_lines(F.col("_yaml"))))
+    files = files.withColumn("_json", fm.yaml_to_json(F.when(F.col("_has") & ~F.col("_flat"), F.col("_yaml"))))
+    has = F.col("_has")
+    plain = F.regexp_extract_all(F.col("_yaml"), F.lit(r"(?dm)^([A-Za-z_][^:\n]*):"), 1)
+    loaded = F.array_remove(F.map_keys(F.from_json("_json", "map<string,string>")), "!")
+    keys = F.array_sort(F.array_distinct(F.when(F.col("_flat"), plain).otherwise(loaded)))
+    return files.select(
         "bundle",
         "path",
         F.when(pt.base_name(F.col("path")) == "index.md", "index").otherwise("log").alias("kind"),

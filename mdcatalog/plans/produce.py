@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import fixed_values as fv
 from ..functions import markdown as md
 from ..functions import paths as pt
+from ..functions import text as tx
 from ..operators import cochange, profile, render, specs
 
 # Concept type, first tag and default description per kind of source.
@@ -109,7 +111,10 @@ def history_concepts(
     changed = cochange.with_last_change(inventory, commits)
     name = pt.base_name(F.col("path"))
     kind = F.when(F.col("is_dir"), "Directory").otherwise("File")
-    quoted = F.concat(F.lit('"'), F.replace(F.trim("message"), F.lit('"'), F.lit('\\"')), F.lit('"'))
+    quoted = tx.trim_ws(F.col("message"))
+    for plain, escaped in fv.QUOTED:
+        quoted = F.replace(quoted, F.lit(plain), F.lit(escaped))
+    quoted = F.concat(F.lit('"'), quoted, F.lit('"'))
     last = F.when(F.col("author").isNotNull(), F.concat(
         F.lit("- **Last Committer**: "), "author", F.lit("\n- **Last Commit Date**: "), _rfc3339("at"),
         F.lit("\n- **Last Commit Message**: "), quoted, F.lit("\n"))

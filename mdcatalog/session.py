@@ -51,9 +51,6 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-_shared_folder = shared_folder
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and drop its lineage."""
     shared_folder(df.sparkSession)

@@ -62,6 +62,12 @@ def test_conformance(raw):
     found = audit.findings(docs.parse_concepts(files), docs.reserved_files(files))
     assert sorted((r["rule"], r["path"]) for r in found.collect()) == [
         ("concept-unparseable", "plain.md"), ("root-index-extra-keys", "index.md"), ("subdir-index-frontmatter", "sub/index.md")]
+    quoted = raw({"index.md": '---\n"format_version": 1\n---\n# R'})
+    assert audit.findings(docs.parse_concepts(quoted), docs.reserved_files(quoted)).count() == 0
+    broken = raw({"index.md": "---\nformat_version: [1\n---\n# R"})
+    assert [r["detail"] for r in audit.findings(docs.parse_concepts(broken), docs.reserved_files(broken)).collect()] == ["root index.md frontmatter is missing format_version"]
+    empty = audit.coverage(docs.parse_concepts(raw({"plain.md": "nothing"}))).first()
+    assert (empty["total_concepts"], empty["placeholders"], empty["columns_total"]) == (0, 0, 0)
     other = raw({"index.md": "# R"})
     rules = [r["rule"] for r in audit.findings(docs.parse_concepts(other), docs.reserved_files(other), "spec_version").collect()]
     assert rules == ["root-index-spec-version"]
