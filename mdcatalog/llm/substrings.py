@@ -12,6 +12,7 @@ value. At ``LENGTH`` the expansion stops, and suffixes that are still together s
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -128,24 +129,34 @@ def shared_prefixes(data: np.ndarray, ends: np.ndarray, length: int = LENGTH) ->
     n = len(order)
     transform = data[order - 1]  # the byte before each suffix; the last mark before the first
     by_byte = np.argsort(transform, kind="stable")  # where extension by a byte takes the places, in order of targets
+    target = np.empty(n, np.int64)
+    target[by_byte] = np.arange(n)
     same = np.r_[False, transform[by_byte][1:] == transform[by_byte][:-1]] & (transform[by_byte] != 0)
+    beside = same & np.r_[False, np.diff(by_byte) == 1]  # a border at the place itself parts them
+    apart = np.flatnonzero(same & ~beside)  # so does any border between the two places
+    low, high = by_byte[apart - 1], by_byte[apart]
     border = ~same  # targets whose first byte differs from their neighbour's: parted at level 0
-    new, undecided = border.copy(), np.flatnonzero(same)
+    new = np.flatnonzero(border)
     for _ in range(1, length):
-        if not len(undecided):
-            break
-        count = np.cumsum(new)
-        parted = count[by_byte[undecided]] != count[by_byte[undecided - 1]]
-        new = np.zeros(n, bool)
-        new[undecided[parted]] = True
-        border |= new
-        undecided = undecided[~parted]
-        if not parted.any():
+        reached = target[new]
+        reached = reached[beside[reached] & ~border[reached]]
+        if len(apart) > n // 16:
+            count = np.zeros(n, np.int32)
+            count[new] = 1
+            np.cumsum(count, out=count)
+            cut = count[high] != count[low]
+        else:
+            cut = np.searchsorted(new, high, "right") != np.searchsorted(new, low, "right")
+        new = np.sort(np.concatenate([reached, apart[cut]]))
+        if not len(new):
             break
+        border[new] = True
+        if cut.any():
+            apart, low, high = apart[~cut], low[~cut], high[~cut]
     return order, border
 
 
-def repeated(pieces: list[bytes], counts: list[int]) -> np.ndarray:
+def repeated(pieces: list[bytes], counts: list[int] | np.ndarray) -> np.ndarray:
     """For every string start of every piece, in order, the number of the earliest equal one.
 
     Pieces are in document order; the first ``counts[i]`` starts of piece i are strings to judge.
@@ -177,7 +188,7 @@ def _places(batch: pa.RecordBatch) -> pa.RecordBatch | None:
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["gram", "key", "first", "last", "times"])
 
 
-_CUT = pa.schema([("deal", pa.int64()), ("split", pa.bool_()), ("doc_id", pa.int64()), ("key", pa.int64()), ("first", pa.int64()), ("piece", pa.binary())])
+_CUT = pa.schema([("deal", pa.int64()), ("split", pa.bool_()), ("doc_id", pa.int64()), ("key", pa.int64()), ("first", pa.int64()), ("piece", pa.binary()), ("once", pa.bool_())])
 
 
 def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -186,7 +197,7 @@ def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
     for key, doc, text, found in zip(*(c.to_pylist() for c in batch.columns)):
         data = text.encode()
         for p in found:
-            for column, value in zip(columns, (p["deal"], p["split"], doc, key, p["first"], data[p["first"]:p["last"] + LENGTH])):
+            for column, value in zip(columns, (p["deal"], p["split"], doc, key, p["first"], data[p["first"]:p["last"] + LENGTH], p["times"] == 1)):
                 column.append(value)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _CUT)], schema=_CUT)
 
@@ -197,30 +208,38 @@ _JUDGED = "key bigint, start bigint, end bigint, string binary, doc_id bigint"
 def _judge(rows: list[tuple]) -> tuple[list, list]:
     """(ranges of repeated strings, first strings of dealt-out grams) of one batch of whole groups.
 
-    A row is (deal, split, doc_id, key, first, piece). Equal pieces count once: all but the first are repeated whole.
+    A row is (deal, split, doc_id, key, first, piece, once). Equal pieces count once: all but the first are repeated whole.
     """
     import xxhash
 
     rows.sort(key=lambda r: (r[2] is None, r[2] or 0, r[3], r[4]))
-    ranges, kept, seen = [], [], set()
+    ranges, kept, seen, contents = [], [], set(), Counter()
     for row in rows:
         if (row[0], row[5]) in seen:
             ranges.append((row[3], row[4], row[4] + len(row[5])))
         else:
             seen.add((row[0], row[5]))
+            contents[row[0]] += 1
             kept.append(row)
-    heads = []
-    pieces, counts = [r[5] for r in kept], [len(r[5]) - LENGTH + 1 for r in kept]
+    # a piece that is the only one of its gram, and holds it once, repeats nothing
+    kept = [r for r in kept if r[1] or not r[6] or contents[r[0]] > 1]
+    if not kept:
+        return ranges, []
+    pieces, counts = [r[5] for r in kept], np.array([len(r[5]) - LENGTH + 1 for r in kept])
     first = repeated(pieces, counts)
     again = first < np.arange(len(first))
-    at = 0
-    for (_, split, doc, key, start, piece), count in zip(kept, counts):
-        flags = again[at:at + count]
-        at += count
-        edges = np.flatnonzero(np.diff(np.r_[False, flags, False]))
-        ranges += [(key, start + a, start + b - 1 + LENGTH) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist())]
+    owner, before = np.repeat(np.arange(len(kept)), counts), np.cumsum(counts) - counts
+    head = np.r_[True, owner[1:] != owner[:-1]]
+    starts = np.flatnonzero(again & (head | ~np.r_[False, again[:-1]]))
+    stops = np.flatnonzero(again & (np.r_[head[1:], True] | ~np.r_[again[1:], False]))
+    keys, offsets = np.array([r[3] for r in kept]), np.array([r[4] for r in kept]) - before
+    of = owner[starts]
+    ranges += zip(keys[of].tolist(), (starts + offsets[of]).tolist(), (stops + offsets[of] + LENGTH).tolist())
+    heads = []
+    for i, (_, split, doc, key, start, piece, _) in enumerate(kept):
         if split:
-            heads += [(key, start + i, xxhash.xxh3_128_digest(piece[i:i + LENGTH]), doc) for i in np.flatnonzero(~flags).tolist()]
+            flags = again[before[i]:before[i] + counts[i]]
+            heads += [(key, start + j, xxhash.xxh3_128_digest(piece[j:j + LENGTH]), doc) for j in np.flatnonzero(~flags).tolist()]
     return ranges, heads
 
 
@@ -300,9 +319,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     found = map_batches(whole, _places, "gram bigint, key bigint, first bigint, last bigint, times tinyint")
     often = found.groupBy("gram").agg(F.sum("times").alias("n")).where("n > 1")
     deal = F.xxhash64("gram", F.pmod(F.xxhash64("key", "first"), F.ceil(F.col("n") / PLACES)))
-    kept = found.join(often, "gram").select("key", F.struct(deal.alias("deal"), (F.col("n") > PLACES).alias("split"), "first", "last").alias("place"))
+    kept = found.join(often, "gram").select("key", F.struct(deal.alias("deal"), (F.col("n") > PLACES).alias("split"), "first", "last", "times").alias("place"))
     listed = kept.groupBy("key").agg(F.collect_list("place").alias("places"))  # at most one place a byte of the document
-    schema = "deal bigint, split boolean, doc_id bigint, key bigint, first bigint, piece binary"
+    schema = "deal bigint, split boolean, doc_id bigint, key bigint, first bigint, piece binary, once boolean"
     pieces = map_batches(whole.join(listed, "key").select("key", "doc_id", "text", "places"), _cut, schema)
     judged = pieces.repartition("deal").sortWithinPartitions("deal").mapInArrow(_search, _JUDGED)
     judged = as_table(judged)
