@@ -270,7 +270,8 @@ def _stats_sql(name: str, column: str | None) -> str:
 
 
 _FRESH = {"region": None, "nation": None, "customer": None, "supplier": None, "part": None, "orders": "o_orderdate",
-          "lineitem": "l_shipdate", "events": "ts", "labels": None, "conversations": None}
+          "lineitem": "l_shipdate", "events": "ts", "documents": None, "embeddings": None, "pages": None, "benchmark": None,
+          "labels": None, "conversations": None}
 
 
 @query("SELECT * FROM (" + " UNION ALL ".join(_stats_sql(t, c) for t, c in _FRESH.items()) +
@@ -393,15 +394,18 @@ def entity_comments(spark, sf):
     return catalog.entity_comments(classes, spaces, texts)
 
 
-@query(" UNION ALL ".join(f"SELECT '{t}' AS \"table\", {i} AS ordinal, '{c}' AS name, '{k}' AS type, '{m}' AS mode" for t, cols in {
+@query(" UNION ALL ".join(f"SELECT '{t}' AS \"table\", {i} AS ordinal, '{c}' AS name, '{k}' AS type, '{m}' AS mode, count({c}) AS filled FROM {t}" for t, cols in {
     "embeddings": [("vec_id", "bigint", "Nullable"), ("embedding", "array<float>", "Repeated"), ("label", "int", "Nullable")],
     "orders": [("o_orderkey", "bigint", "Nullable"), ("o_custkey", "bigint", "Nullable"), ("o_orderstatus", "string", "Nullable"),
                ("o_totalprice", "double", "Nullable"), ("o_orderdate", "timestamp_ntz", "Nullable"), ("o_orderpriority", "string", "Nullable")],
 }.items() for i, (c, k, m) in enumerate(cols)))
 def column_catalog(spark, sf):
-    """Columns of stored tables as rows."""
-    rows = profile.column_rows({t: table(spark, sf, t) for t in ("embeddings", "orders")})
-    return rows.select("table", "ordinal", "name", "type", "mode")
+    """Columns of stored tables as rows, with how many of the table's rows fill each."""
+    tables, counts = {t: table(spark, sf, t) for t in ("embeddings", "orders")}, None
+    for t, df in tables.items():
+        one = df.agg(*[F.count(c).alias(c) for c in df.columns]).unpivot([], df.columns, "name", "filled").withColumn("table", F.lit(t))
+        counts = one if counts is None else counts.unionByName(one)
+    return profile.column_rows(tables).join(counts, ["table", "name"]).select("table", "ordinal", "name", "type", "mode", "filled")
 
 
 # ============================================================== change history
