@@ -37,18 +37,18 @@ _BASE = _U(0x9E3779B97F4A7C15)
 
 
 def gram_hashes(data: np.ndarray, length: int) -> np.ndarray:
-    """A hash of every run of ``length`` bytes, put together from runs of powers of two."""
+    """A hash of every run of ``length`` bytes: a polynomial put together from runs of powers of two, and scrambled."""
     with np.errstate(over="ignore"):
-        run, size, offset = mix(data.astype(np.uint64) + _U(1)), 1, 0
-        out = np.zeros(len(data) - length + 1, np.uint64)
+        run, size, offset = mix(np.arange(1, 257, dtype=np.uint64))[data], 1, 0
+        out, power = np.zeros(len(data) - length + 1, np.uint64), _BASE  # the base to the power of size
         while size <= length:
             if length & size:
-                out = mix(out * _BASE + run[offset:offset + len(out)])
+                out = out * power + run[offset:offset + len(out)]
                 offset += size
             if 2 * size <= length:
-                run = mix(run[:-size] * _BASE + run[size:])
-            size *= 2
-    return out
+                run = run[:-size] * power + run[size:]
+            size, power = 2 * size, power * power
+        return mix(out)
 
 
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
