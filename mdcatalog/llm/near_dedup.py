@@ -25,10 +25,12 @@ SIMILARITY = 0.8
 BANDS, ROWS = 32, 6
 K = BANDS * ROWS
 SEED = 11
-#: Texts of a bucket that are compared each with each where one comparison with its first has not joined them.
+#: Texts of a bucket whose pairs become rows; the pairs of larger buckets are formed inside blocks.
 PAIRED = 16
-#: Rounds of further comparisons at most; they end as soon as one brings nothing.
-ROUNDS = 3
+#: Texts and shingles of one side of a block.
+BLOCK, BLOCK_MASS = 512, 2_000_000
+#: Bags whose numbers of shingles lie in classes of this ratio that are not neighbours cannot be similar enough (1 / SIMILARITY, rounded up).
+STEP = 1.26
 
 _WORD = re.compile(r"\w+")
 _U = np.uint64
@@ -166,29 +168,90 @@ def _verify(pairs: DataFrame, tagged: Tagged) -> DataFrame:
     return cut_lineage(map_batches(both, _compare, "a bigint, b bigint", WordHashes))
 
 
-def _further(crowded: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+def _further(crowded: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs of one bucket and different components that may still be compared.
 
     In a bucket of up to ``PAIRED`` texts each with each; in larger ones all with another text of the bucket.
     """
-    placed = crowded.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("band")
-    placed = as_table(placed.join(mixed, "band"))
+    placed = _mixed(crowded, roots)
     small, large = placed.where(F.col("n") <= PAIRED), placed.where(F.col("n") > PAIRED)
     each = (small.select("band", F.col("node").alias("a"), F.col("root").alias("root_a"))
             .join(small.select("band", F.col("node").alias("b"), F.col("root").alias("root_b")), "band").where("a < b AND root_a != root_b"))
-    place = F.xxhash64("node", "band", F.lit(turn))
+    place = F.xxhash64("node", "band")
     first = large.groupBy("band").agg(F.min(place).alias("place"))
     centre = large.withColumn("place", place).join(first, ["band", "place"]).select("band", F.col("node").alias("a"), F.col("root").alias("root_a"))
     star = large.join(centre, "band").where("root != root_a").select("a", F.col("node").alias("b"))
     return each.select("a", "b").unionByName(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
 
 
+def _mixed(crowded: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members of the buckets that hold several components, with their roots."""
+    placed = crowded.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("band")
+    return as_table(placed.join(mixed, "band"))
+
+
+def _compare_block(block: pa.Table) -> pa.Table:
+    """Links of the outer texts of a block with its inner ones, one for each outer text and inner component."""
+    hashes = WordHashes()
+    node, root, outer = (block.column(c).to_numpy() for c in ("node", "root", "outer"))
+    texts, a, b = block.column("text"), [], []
+    inner = np.flatnonzero(~outer)
+    bags = [bag(texts[int(i)].as_py(), hashes) for i in inner]
+    if bags:
+        known, codes = np.unique(np.concatenate([e for e, _ in bags]), return_inverse=True)
+        weights = np.concatenate([w for _, w in bags])
+        begins = np.cumsum([0] + [len(e) for e, _ in bags[:-1]])
+        masses, looked = np.add.reduceat(weights, begins), np.zeros(len(known), weights.dtype)
+        for i in np.flatnonzero(outer):
+            elements, own = bag(texts[int(i)].as_py(), hashes)
+            at = np.minimum(np.searchsorted(known, elements), len(known) - 1)
+            held = known[at] == elements
+            looked[at[held]] = own[held]
+            common = np.add.reduceat(np.minimum(looked[codes], weights), begins)
+            looked[at[held]] = 0
+            hit = np.flatnonzero((common / (own.sum() + masses - common) >= SIMILARITY) & (root[inner] != root[i]))
+            for k in np.unique(root[inner[hit]], return_index=True)[1]:
+                a.append(int(node[i]))
+                b.append(int(node[inner[hit[k]]]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _remaining(crowded: DataFrame, roots: DataFrame, tagged: Tagged) -> DataFrame:
+    """Links of all pairs of one large bucket and different components.
+
+    The texts outside a bucket's largest component meet all its texts of a neighbouring number of shingles,
+    both sides dealt into blocks. Pairs are formed inside blocks, rows are links only.
+    """
+    large = _mixed(crowded.where(F.col("n") > PAIRED), roots)
+    most = as_table(large.groupBy("band", "root").agg(F.count(F.lit(1)).alias("members"))
+                    .groupBy("band").agg(F.max(F.struct("members", "root"))["root"].alias("most")))
+    level = F.floor(F.log("mass") / float(np.log(STEP))).cast("int")
+    placed = as_table(sized_join(large, most, ["band"]).select("band", "node", "root", level.alias("level"), (F.col("root") != F.col("most")).alias("outer")))
+    side = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(BLOCK_MASS / F.pow(F.lit(STEP), F.col("level") + 1)).cast("int")))
+    sizes = as_table(placed.groupBy("band", "level").agg(F.ceil(F.count(F.lit(1)) / side).alias("inner_parts"), F.ceil(F.count_if("outer") / side).alias("outer_parts")))
+    near = sizes.withColumn("outer_level", F.explode(F.array(*[F.col("level") + d for d in (-1, 0, 1)]))).select("band", "level", "outer_level", "inner_parts")
+    parts = near.join(sizes.select("band", F.col("level").alias("outer_level"), "outer_parts"), ["band", "outer_level"]).where("outer_parts > 0")
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    blocks = as_table(parts.withColumn("inner_part", each("inner_parts")).withColumn("outer_part", each("outer_parts"))
+                      .withColumn("block", F.xxhash64("band", "level", "outer_level", "inner_part", "outer_part")))
+    part = lambda n: F.pmod(F.xxhash64("node", "band"), F.col(n))
+    dealt = sized_join(placed, sizes, ["band", "level"])
+    inner = sized_join(dealt.withColumn("inner_part", part("inner_parts")).drop("inner_parts", "outer_parts", "outer"),
+                       blocks.select("band", "level", "inner_part", "block"), ["band", "level", "inner_part"])
+    outer = sized_join(dealt.where("outer").withColumn("outer_part", part("outer_parts")).select("band", F.col("level").alias("outer_level"), "outer_part", "node", "root"),
+                       blocks.select("band", "outer_level", "outer_part", "block"), ["band", "outer_level", "outer_part"])
+    rows = as_table(inner.select("block", "node", "root", F.lit(False).alias("outer")).unionByName(outer.select("block", "node", "root", F.lit(True).alias("outer"))))
+    texts = tagged.texts(rows.select(F.col("node").alias("a"), F.col("node").alias("b"))).select("node", "text")
+    return cut_lineage(rows.join(texts, "node").groupBy("block").applyInArrow(_compare_block, "a bigint, b bigint"))
+
+
 def _labels(tagged: Tagged, doc_id: str) -> DataFrame:
     """(row, doc_id, root, class_id, class_size) per row; a row without words has no root."""
     nodes = as_table(tagged.table.where(F.col(tagged.node).isNotNull()).groupBy(F.col(tagged.node).alias("node"))
-                     .agg(F.min(F.col(doc_id).cast("bigint")).alias("least"), F.count(F.lit(1)).alias("copies"), F.first(tagged.bands).alias("bands")))
-    member = nodes.select("node", F.explode("bands").alias("band"))
+                     .agg(F.min(F.col(doc_id).cast("bigint")).alias("least"), F.count(F.lit(1)).alias("copies"), F.first(tagged.bands).alias("bands"),
+                          F.first(tagged.mass).alias("mass")))
+    member = nodes.select("node", "mass", F.explode("bands").alias("band"))
     crowd = member.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     crowded = as_table(member.join(crowd, "band"))
     # the text that shares buckets with most others resembles most of them, as the original of many versions does
@@ -198,17 +261,12 @@ def _labels(tagged: Tagged, doc_id: str) -> DataFrame:
     compared = cut_lineage(star.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
     links = _verify(compared, tagged)
     roots = components(links, "a", "b")
-    for turn in range(ROUNDS):
-        further = cut_lineage(_further(crowded, roots, turn).join(compared, ["a", "b"], "left_anti"))
-        if not further.limit(1).count():
-            break
-        compared = compared.unionByName(further)
-        found = _verify(further, tagged)
+    further = cut_lineage(_further(crowded, roots).join(compared, ["a", "b"], "left_anti"))
+    for more in (lambda: _verify(further, tagged), lambda: _remaining(crowded, roots, tagged)):
+        found = more()
         if found.limit(1).count():
             links = links.unionByName(found)
             roots = components(links, "a", "b")
-        elif turn:
-            break
     named = as_table(nodes.select("node", "least", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     total = named.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
     return (tagged.rows(doc_id).join(named.select("node", "root").join(total, "root"), "node", "left")
@@ -225,10 +283,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     class: class_id is their own id and class_size 1. Null ids join a class like others but never name it.
     Repeated rows count each. Other columns are ignored; an empty table gives no rows.
 
-    In a band bucket every text is compared with one, the one that shares buckets with most others, so a
-    bucket costs its size, and copies are expanded nowhere. Buckets whose texts then still belong to several components are compared further:
-    up to ``PAIRED`` texts each with each, larger ones with another text of theirs in every round, until a
-    round brings no link or ``ROUNDS`` are over.
+    In a band bucket every text is compared with one, the one that shares buckets with most others, and
+    copies are expanded nowhere. Buckets whose texts then still belong to several components are compared
+    further until no pair of different components is left: up to ``PAIRED`` texts each with each; in larger
+    ones all with one more text, then every text outside the largest component with all of about its size.
     """
     return _labels(Tagged(docs.select(doc_id, text), text), doc_id).select("doc_id", "class_id", "class_size")
 

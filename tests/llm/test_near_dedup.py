@@ -81,6 +81,27 @@ def test_a_group_whose_members_resemble_neighbours_only(spark):
     assert got == brute(rows)
 
 
+def test_a_large_family_without_its_original(spark):
+    rng, words, rows = random.Random(4), [f"w{i}" for i in range(200)], []
+    for i in range(1200):  # versions of four edits each; those that share two are similar enough, few do
+        version = list(words)
+        for _ in range(4):
+            version[rng.randrange(200)] = f"e{rng.randrange(80)}"
+        rows.append((i, " ".join(version)))
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(documents(spark, rows)).collect()}
+    sets = [set(bag(t)) for _, t in rows]
+    place = {x: k for k, x in enumerate(set().union(*sets))}
+    held = np.zeros((len(rows), len(place)), np.float32)
+    for i, own in enumerate(sets):
+        held[i, [place[x] for x in own]] = 1
+    common, label = held @ held.T, np.arange(len(rows))
+    alike = common / (held.sum(1)[:, None] + held.sum(1) - common) >= 0.8
+    while (lower := np.where(alike, label, len(rows)).min(1)).tolist() != label.tolist():
+        label = lower
+    assert 1 < len(set(label.tolist())) < len(rows)
+    assert [got[i] for i in range(len(rows))] == label.tolist()
+
+
 ODD = [(5, "One two three, four five six."), (4, "one two three four five six"), (None, "ONE two three four five six"), (7, None), (8, ""), (9, "?!"), (7, None),
        (4, "one two three four five six"), (6, "short"), (3, "Short!"), (2, "z " * 60_000)]
 
