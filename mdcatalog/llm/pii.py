@@ -2,7 +2,7 @@
 
 Kinds: ``email``, ``ip``, ``card`` (Luhn), ``phone`` and ``iban`` (mod 97). Each expression is read
 leftmost and without overlap within its kind; a proposal that its validator rejects is dropped and
-not retried inside. Offsets count code points, ends are exclusive.
+not retried inside, but every country code outside a confirmed account begins one of its own. Offsets count code points, ends are exclusive.
 """
 
 from __future__ import annotations
@@ -40,7 +40,9 @@ _DIGIT = re.compile(r"[0-9]")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+_GROUP = re.compile(r"\x20?[A-Z0-9]+")
+_LOWER = re.compile(r"[a-z]")
 _WORD = re.compile(r"[a-z]+")
 _DOUBLED = [0, 2, 4, 6, 8, 1, 3, 5, 7, 9]
 
@@ -89,13 +91,23 @@ def phones(text: str) -> list[tuple[int, int]]:
 
 
 def accounts(text: str) -> list[tuple[int, int]]:
-    """Groups after the account number may look like more of it: the longest prefix of groups that checks counts."""
-    out = []
+    """Groups after the account number may look like more of it: the longest run of 15 to 34 characters that ends with a group and checks counts."""
+    out, done = [], 0
     for m in _IBAN.finditer(text):
-        groups = m[0].split(" ")
-        for n in range(len(groups), 0, -1):
-            if 15 <= len(whole := "".join(groups[:n])) <= 34 and mod97(whole):
-                out.append((m.start(), m.start() + len(" ".join(groups[:n]))))
+        if m.start() < done:
+            continue
+        whole, at, ends = m[0], m.end(), []
+        while group := _GROUP.match(text, at):
+            at = group.end()
+            whole += group[0].lstrip(" ")
+            if len(whole) > 34:
+                break
+            if len(whole) >= 15 and not _LOWER.match(text, at):
+                ends.append((at, whole))
+        for end, account in reversed(ends):
+            if mod97(account):
+                done = end
+                out.append((m.start(), end))
                 break
     return out
 

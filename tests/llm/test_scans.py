@@ -70,6 +70,16 @@ def test_long_texts_take_linear_time():
         secrets.find(text, AUTOMATON)
 
 
+def test_iban_before_capitals():
+    for account in ("GB82 WEST 1234 5698 7654 32", "GB82WEST12345698765432"):
+        for after in (" Please pay", " I pay", " IS MY ACCOUNT NUMBER", " A", ".", "", " 7 DE89 AND SO ON AND ON AND ON AND ON"):
+            for before in ("", "to ", "DE12 "):
+                text = before + account + after
+                assert [text[s:e] for s, e, k in pii.find(text) if k == "iban"] == [account]
+        for text in (f"x{account}", f"{account}x", account[:-1]):
+            assert not [s for s in pii.find(text) if s[2] == "iban"]
+
+
 def test_iban_and_context_words():
     text = "my bank account IBAN GB82 WEST 1234 5698 7654 32 OK and GB82 WEST 1234 5698 7654 33"
     spans = [s for s in pii.find(text) if s[2] == "iban"]
