@@ -2,9 +2,9 @@
 
 Items are partitioned by size, in powers of two. For the items of a class a document is cut into
 overlapping windows twice as long as the longest item of the class, so that the window and the item are of
-comparable size wherever the item stands. A window is sketched by its smallest shingle hashes (bottom-k
-MinHash); if a share c of an item stands in a window of about twice its size, each sketched value is one of
-the item's with a probability of about c / 2. Items that share a sketched value with a document are
+comparable size wherever the item stands. A window is sketched by its smallest distinct shingle hashes
+(bottom-k MinHash); a window has less than four times the shingles of the smallest item of the class, so if a
+share c of an item stands in it, each sketched value is one of the item's with a probability above c / 4. Items that share a sketched value with a document are
 candidates, and candidates are verified by the exact containment of their shingles in the whole document.
 
 Everything is a DataFrame operation: no Python runs on the executors.
@@ -20,9 +20,9 @@ from mdcatalog.llm.common import BROADCAST_ROWS, as_table, cut_lineage, fresh, s
 
 WORDS = 5
 CONTAINMENT = 0.8
-#: Values of a sketch: an item that stands whole in a window is missed with a probability below 2^-24,
-#: one of which four fifths do below 10^-6.
-SKETCH = 24
+#: Values of a sketch: an item that stands whole in a window is missed with a probability below 0.75^64 < 2^-26,
+#: one of which four fifths do below 0.8^64 < 10^-6.
+SKETCH = 64
 
 
 def words(text: Column) -> Column:
@@ -42,9 +42,9 @@ def size_class(count: Column) -> Column:
 
 
 def sketches(hashes: Column, longest: int, k: int = SKETCH) -> Column:
-    """The ``k`` smallest hashes of each window of ``2 * longest`` shingles; windows begin every ``longest``."""
+    """The ``k`` smallest distinct hashes of each window of ``2 * longest`` shingles; windows begin every ``longest``."""
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(hashes) - longest), F.lit(longest))
-    return F.flatten(F.transform(starts, lambda i: F.slice(F.sort_array(F.slice(hashes, i, 2 * longest)), 1, k)))
+    return F.flatten(F.transform(starts, lambda i: F.slice(F.sort_array(F.array_distinct(F.slice(hashes, i, 2 * longest))), 1, k)))
 
 
 def items(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:

@@ -43,6 +43,18 @@ def test_leaks_equal_the_loop(spark):
     assert values(found, "doc_id", "item_id", "found", "n") == loop(docs, items)
 
 
+def test_items_between_repeated_short_lines(spark):
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(100_000)}"
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([21, 37, 37, 133] * 10)]
+    docs = []
+    for d in range(160):  # a whole item between lines that repeat
+        line = " ".join(word() for _ in range((1, 4, 12)[d % 3])) + " "
+        docs.append((d, line * 100 + items[d % 40][1] + " " + line * 100))
+    found = decontamination.find_leaks(documents(spark, docs), spark.createDataFrame([(*x, 1, 2) for x in items], ITEMS))
+    assert values(found, "doc_id", "item_id") == sorted([(d, d % 40) for d in range(160)], key=repr)
+
+
 def test_odd_rows(spark):
     item = "one two three four five six seven"
     docs = [(1, None), (2, ""), (3, "x one, two. THREE four five six seven y"), (3, "x one, two. THREE four five six seven y"), (None, item), (4, "one two"), (5, "z " * 100_000 + item)]
