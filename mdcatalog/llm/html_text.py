@@ -1,9 +1,10 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped to lines, one per block. Lines inside menus, headers, footers, sidebars, notices,
-adverts, forms and reader comments, and lines outside a declared article, weigh nothing. The weights of
-the lines (text outside links) are summed over a sliding window; the text starts at a surge of that
-sum, ends where it dives to nothing, and everything between a surge and its dive is kept.
+adverts, forms and reader comments, lines outside a declared article, and without one lines that are mostly
+links weigh nothing. The weights of the lines (text outside links) are summed over a sliding window; the text
+starts at a surge of that sum, ends where it dives to nothing, and everything between a surge and its dive is
+kept, however short.
 """
 
 from __future__ import annotations
@@ -19,10 +20,8 @@ from mdcatalog.llm.common import map_batches, text_or_empty
 
 #: Lines of a window; a gap of as many lines without weight ends a text.
 WINDOW = 3
-#: Without a declared article a surge must reach this many characters ...
-SURGE = 80
-#: ... and a text this part of the longest one.
-PART = 0.2
+#: Without a declared article a line of which more than this part is links begins and extends no text.
+LINKED = 0.5
 
 # Element names and the words in class, id and role attributes that mark what is not main text.
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
@@ -152,16 +151,16 @@ def main_text(page: str) -> str:
     """The main text of one page: its blocks joined by line breaks."""
     rows = lines(page)
     declared = any(inside and not out for _, _, out, inside in rows)
-    weight = [0 if out or declared and not inside else len(text) if declared else plain for text, plain, out, inside in rows]
+    plain_only = lambda text, plain: plain if plain >= (1 - LINKED) * len(text) else 0
+    weight = [0 if out or declared and not inside else len(text) if declared else plain_only(text, plain) for text, plain, out, inside in rows]
     n = len(rows)
     sums, run = [0] * n, 0
     for i in range(n - 1, -1, -1):  # the window that starts at line i
         run += weight[i] - (weight[i + WINDOW] if i + WINDOW < n else 0)
         sums[i] = run
-    least = 1 if declared else SURGE
     texts, i = [], 0
     while i < n:
-        if not (weight[i] and sums[i] >= least):
+        if not weight[i]:
             i += 1
             continue
         end = i
@@ -169,9 +168,7 @@ def main_text(page: str) -> str:
             end += 1
         texts.append((i, end))
         i = end
-    longest = max((sum(weight[a:b]) for a, b in texts), default=0)
-    kept = [rows[k][0] for a, b in texts if declared or sum(weight[a:b]) >= PART * longest
-            for k in range(a, b) if not rows[k][2] and (rows[k][3] or not declared)]
+    kept = [rows[k][0] for a, b in texts for k in range(a, b) if not rows[k][2] and (rows[k][3] or not declared)]
     return "\n".join(kept)
 
 

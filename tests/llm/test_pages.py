@@ -21,6 +21,13 @@ def test_without_article_the_surge_is_found():
     assert html_text.main_text(page).split("\n")[:3] == [PROSE.strip(), PROSE.strip(), "So."]
 
 
+def test_without_article_short_texts_are_kept():
+    assert html_text.main_text("<body><ul><li><a href=a>Home</a> | <a href=b>About us</a></ul><p>Closed today.</p></body>") == "Closed today."
+    links = "".join(f"<div><a href={i}>An offer</a></div>" for i in range(3))
+    page = f"<body>{f'<p>{PROSE}</p>' * 30}{links}<div class=ad>Buy!</div><p>{PROSE}</p><p>The end.</p>{links}</body>"
+    assert html_text.main_text(page).split("\n") == [PROSE.strip()] * 31 + ["The end."]
+
+
 def test_odd_markup():
     for page in ("", "<", "<<>", "<p", "</p>", "<script>", "<!--", "&", "&#xZZ;", "<a b='>", "<article>" * 50_000, "<p>" * 50_000):
         html_text.main_text(page)
