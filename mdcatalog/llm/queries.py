@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mdcatalog.llm import decontamination, html_text, mixing, near_dedup, neighbours, pii, secrets, substrings, toxicity, warc
+from mdcatalog.llm import decontamination, html_text, mixing, near_dedup, neighbours, packing, pii, secrets, substrings, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +92,9 @@ FROM f
 def op10_warc(spark, sf_dir):
     """Every page written to dictionary-compressed archives and read back."""
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
+@query()
+def op13_pack(spark, sf_dir):
+    """Every document's tokens placed in sequences of 2048."""
+    return packing.pack(table(spark, sf_dir, "documents"))
