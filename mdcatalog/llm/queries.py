@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mdcatalog.llm import decontamination, html_text, mixing, near_dedup, neighbours, packing, pii, secrets, substrings, toxicity, warc
+from mdcatalog.llm import decontamination, html_text, merkle, mixing, near_dedup, neighbours, packing, pii, secrets, substrings, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,6 +94,12 @@ def op10_warc(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
 
 
+@query(merkle.oracle())
+def op11_manifest(spark, sf_dir):
+    """Every document in a Merkle manifest, with its proof, verified after some texts were changed."""
+    return merkle.audit_documents(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op13_pack(spark, sf_dir):
     """Every document's tokens placed in sequences of 2048."""
