@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mdcatalog.llm import decontamination, html_text, merkle, mixing, near_dedup, neighbours, packing, pii, secrets, substrings, toxicity, warc
+from mdcatalog.llm import decontamination, html_text, merkle, mixing, near_dedup, negatives, neighbours, packing, pii, secrets, substrings, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,6 +101,12 @@ def op11_manifest(spark, sf_dir):
     return merkle.audit_documents(table(spark, sf_dir, "documents"))
 
 
+@query(negatives.ORACLE_SQL)
+def op12_hard_negatives(spark, sf_dir):
+    """Hard negatives of every hundredth vector, one label in seven shifted."""
+    return negatives.mine(table(spark, sf_dir, "embeddings"), "id % 100 = 0", F.expr(negatives.SHIFTED_LABEL))
+
+
 @query()
 def op13_pack(spark, sf_dir):
     """Every document's tokens placed in sequences of 2048."""
