@@ -8,6 +8,9 @@ and packed again, so that the groups' last sequences do not stay behind half emp
 
 from __future__ import annotations
 
+import os
+import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -26,41 +29,68 @@ VOCABULARY = "word_bpe_49k.json"
 GROUP = 16_384
 #: Sequences with more room than this part of their length are packed again.
 LOOSE = 0.01
-#: Words of which a worker remembers the ids before it starts anew, and their longest.
-WORDS, WORD_LENGTH = 200_000, 64
+#: Words of which a worker remembers the ids.
+WORDS = 200_000
 
 _PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
-class WordIds(dict):
-    """word → its ids as little-endian unsigned 32-bit numbers, remembered while the memory stays small.
+def _plain_characters() -> list[str]:
+    """Characters that neither combine nor decompose and whose lower case is one of them: Latin, Cyrillic, general punctuation."""
+    ranges = [(0x00, 0x24F), (0x400, 0x481), (0x48A, 0x52F), (0x2010, 0x2027), (0x2030, 0x205E), (0x20A0, 0x20BF)]
+    all_ = {chr(c) for a, b in ranges for c in range(a, b + 1)}
+    return sorted(c for c in all_ if c.lower() in all_)
+
+
+def _class(characters: list[str]) -> str:
+    return "".join(re.escape(c) for c in characters)
+
+
+_PLAIN = _plain_characters()
+_LETTERS = [c for c in _PLAIN if unicodedata.category(c)[0] == "L"]
+_NUMBERS = [c for c in _PLAIN if unicodedata.category(c)[0] == "N"]
+_SPACES = "\t\n\x0b\x0c\r \x85\xa0"
+_OTHERS = [c for c in _PLAIN if c not in _SPACES and unicodedata.category(c)[0] not in "LN"]
+_IS_PLAIN = re.compile(f"[{_class(_PLAIN)}]*")
+# How the vocabulary cuts normalised text into words.
+_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_class(_LETTERS)}]+|[{_class(_NUMBERS)}]|[{_class(_OTHERS)}]+")
+
+
+class WordIds:
+    """Ids of texts as little-endian unsigned 32-bit numbers; those of words are remembered while the memory stays small.
 
     The vocabulary's words end at white space at the latest and nothing is normalised across it, so the ids
-    of a text are those of its words.
+    of a text are those of its words. Plain texts are cut as the vocabulary cuts them, which gives fewer
+    different words; others, and those with what may be a special token, at white space.
     """
 
     def __init__(self, path: str | None = None):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are taken by other tasks
         from tokenizers import Tokenizer
 
         if path is None:
             import public_tokenizers
 
             path = public_tokenizers.path(VOCABULARY)
-        super().__init__({"": b""})
+        self.known: dict[str, bytes] = {"": b""}
         self.tokenizer = Tokenizer.from_file(path)
 
-    def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= WORD_LENGTH:
-            if len(self) >= WORDS:
-                self.clear()
-                self[""] = b""
-            self[word] = ids
-        return ids
+    def words(self, text: str) -> list[str]:
+        if _IS_PLAIN.fullmatch(text) and "<|" not in text:
+            return _WORDS.findall(text.lower())
+        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
     def encode(self, text: str) -> bytes:
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        return b"".join([self[word] for word in words])
+        words, known = self.words(text), self.known
+        new = [word for word in set(words) if word not in known]
+        if new:
+            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+            ids = {word: np.array(x.ids, "<u4").tobytes() for word, x in zip(new, found)}
+            if len(known) + len(new) > WORDS:  # the commonest words came first
+                known = {word: ids[word] if word in ids else known[word] for word in set(words)}
+            else:
+                known.update(ids)
+        return b"".join(map(known.__getitem__, words))
 
 
 def tokenize(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vocabulary: str | None = None,

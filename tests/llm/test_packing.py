@@ -43,7 +43,7 @@ def check_places(rows, capacity=packing.CAPACITY):
 
 
 remembered = functools.cache(packing.WordIds)
-ODD = ["", " ", "Hello wörld, it's 12\t3\r\n", "é ́x ΑΣ ΑΣΑ ß İ", "a\x1cb\x85c\xa0d e", "<|endoftext|> x<|startoftext|>y", "中文 字符" * 50,
+ODD = ["".join(map(chr, range(1, 0x300))), "".join(f"{chr(i)}{chr(i + 1)} " for i in range(0x3ff, 0x531)), "'S 'tis rock'n'roll's “it’s” – £3.50½ ª²", "É̈e\u0301 <|EndOfText|>", "", " ", "Hello wörld, it's 12\t3\r\n", "é ́x ΑΣ ΑΣΑ ß İ", "a\x1cb\x85c\xa0d e", "<|endoftext|> x<|startoftext|>y", "中文 字符" * 50,
        "don't we'll I'M", "﻿​z", "a\x00b", "x" * 500, "𝒳🙂 👩‍👩‍👧", " \n a \n "]
 
 
@@ -59,11 +59,18 @@ def test_ids_of_any_text(text):
     assert np.frombuffer(words.encode(text), "<u4").tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
 
 
-def test_memory_of_words_is_bounded(words, monkeypatch, plain):
+def test_memory_of_words_is_bounded(monkeypatch, plain):
+    held = packing.WordIds()
     monkeypatch.setattr(packing, "WORDS", 5)
-    text = " ".join(f"w{i}" for i in range(40))
-    assert np.frombuffer(words.encode(text), "<u4").tolist() == ids_of(plain, text)[:-1]
-    assert len(words) <= 6
+    text = " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(40))
+    assert np.frombuffer(held.encode("a b " + text)[8:], "<u4").tolist() == ids_of(plain, text)[:-1]
+    assert len(held.known) <= 5
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from(packing._PLAIN + list("'sStTreREvelldmMD ")), max_size=80))
+def test_ids_of_plain_text(text):
+    test_ids_of_any_text.hypothesis.inner_test(text)
 
 
 @settings(max_examples=60, deadline=None)
