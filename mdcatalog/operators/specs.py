@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixed_values as fv
+from ..functions import json_refs as refs
 from ..functions import markdown as md
 from ..functions import text as tx
 from ..functions.rows import evaluate_once
@@ -57,31 +58,32 @@ def load_specs(raw: DataFrame) -> DataFrame:
 
 _SCHEMA = "struct<`$ref`:string,type:string,required:array<string>,properties:map<string,string>>"
 _PROPERTY = "struct<`$ref`:string,type:string,items:string>"
-_OPERATION = (
-    "struct<operationId:string,summary:string,parameters:array<string>,"
-    "requestBody:struct<content:map<string,struct<schema:string>>>,"
-    "responses:map<string,struct<schema:string,content:map<string,struct<schema:string>>>>>"
-)
+_OPERATION = "struct<operationId:string,summary:string,parameters:array<string>,requestBody:string,responses:map<string,string>>"
+_BODY = "struct<content:map<string,struct<schema:string>>>"
+_RESPONSE = "struct<schema:string,content:map<string,struct<schema:string>>>"
 _PARAMETER = "struct<name:string,`in`:string,required:boolean,schema:string,type:string,items:string>"
-_DOCUMENT = (
-    "struct<swagger:string,info:struct<title:string>,"
-    f"components:struct<schemas:map<string,{_SCHEMA}>>,definitions:map<string,{_SCHEMA}>,"
-    "paths:map<string,map<string,string>>>"
-)
+_DOCUMENT = "struct<components:string,definitions:string,parameters:string,responses:string,paths:string>"
+_TEXTS = "map<string,string>"
 
 
 def _document(specs: DataFrame) -> DataFrame:
-    doc = F.from_json("json", _DOCUMENT)
-    return evaluate_once(specs, "spec", doc.alias("doc")).select(
-        "spec",
-        F.coalesce(F.col("doc.components.schemas"), F.col("doc.definitions")).alias("schemas"),
-        F.col("doc.paths").alias("paths"))
+    """(spec, schemas, paths, nodes, depth): members as text, everything a reference can name, the longest chain of references."""
+    doc = evaluate_once(specs, "spec", F.from_json("json", _DOCUMENT).alias("doc"))
+    sections = [refs.grandchildren(F.col("doc.components"), "components")] + [
+        refs.children(F.col(f"doc.{name}"), name) for name in ("definitions", "parameters", "responses", "paths")]
+    members = F.coalesce(F.from_json(F.get_json_object("doc.components", "$.schemas"), _TEXTS), F.from_json("doc.definitions", _TEXTS))
+    listed = evaluate_once(doc, "spec", F.from_json("doc.paths", _TEXTS).alias("paths"), members.alias("schemas"), F.concat(*sections).alias("nodes"))
+    return evaluate_once(listed, "*", refs.aliases(F.col("nodes")).alias("depth"))
+
 
+def _resolved(node: Column) -> Column:
+    return refs.resolve(node, F.col("nodes"), F.col("depth"))
 
-def _by_key(column: str) -> Column:
-    """Entries of a map in key order."""
-    entries = F.map_entries(column)
-    return F.transform(F.array_sort(F.map_keys(column)), lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), 1))
+
+def _schemas(specs: DataFrame) -> DataFrame:
+    """(spec, schema, def) of every component schema; one that is a reference has the definition it leads to."""
+    entries = F.transform(F.map_entries("schemas"), lambda e: F.struct(e["key"].alias("schema"), F.from_json(_resolved(e["value"]), _SCHEMA).alias("def")))
+    return evaluate_once(_document(specs), "spec", entries.alias("_schemas")).select("spec", F.inline("_schemas"))
 
 
 def _field(node: Column, name: str) -> Column:
@@ -125,8 +127,7 @@ def _linked_schema(node: Column) -> Column:
 
 def openapi_properties(specs: DataFrame) -> DataFrame:
     """Properties of every component schema: (spec, schema, name, type, required, links_to)."""
-    schemas = _document(specs).select("spec", F.explode("schemas").alias("schema", "def"))
-    properties = schemas.select("spec", "schema", F.col("def.required").alias("_required"),
+    properties = _schemas(specs).select("spec", "schema", F.col("def.required").alias("_required"),
                                 F.explode("def.properties").alias("name", "_node"))
     return properties.select(
         "spec", "schema", "name", type_text(F.col("_node")).alias("type"),
@@ -137,7 +138,6 @@ def openapi_properties(specs: DataFrame) -> DataFrame:
 def openapi_schemas(specs: DataFrame) -> DataFrame:
     """One concept per component schema: (spec, rel, type, title, body, links)."""
     head = "# Columns\n\n" + md.table_head("Name", "Type", "Required")
-    schemas = _document(specs).select("spec", F.explode("schemas").alias("schema", "def"))
     entries = F.array_sort(F.map_entries(F.coalesce("def.properties", F.create_map().cast("map<string,string>"))))
     required = F.coalesce("def.required", _empty())
 
@@ -146,7 +146,7 @@ def openapi_schemas(specs: DataFrame) -> DataFrame:
         return md.table_row(e["key"], type_text(e["value"]), needed)
 
     names = F.filter(F.transform("_entries", lambda e: _linked_schema(e["value"])), lambda n: n != "")
-    return schemas.select("spec", "schema", entries.alias("_entries"), required.alias("_required")).select(
+    return _schemas(specs).select("spec", "schema", entries.alias("_entries"), required.alias("_required")).select(
         "spec",
         F.concat(F.lit("schemas/"), "schema").alias("rel"),
         F.lit("Schema").alias("type"),
@@ -155,46 +155,74 @@ def openapi_schemas(specs: DataFrame) -> DataFrame:
         F.transform(F.array_sort(F.array_distinct(names)), lambda n: F.concat(F.lit("schemas/"), n)).alias("links"))
 
 
+def _path_operations(specs: DataFrame) -> DataFrame:
+    """(spec, known, path, method, op) per operation, with parameters, body and responses where references lead.
+
+    References are followed in the document's row, before it becomes one row per operation.
+    """
+    def operations(item: Column) -> Column:
+        return F.filter(F.map_entries(F.from_json(item, _TEXTS)), lambda m: m["key"].isin(fv.HTTP_METHODS))
+
+    def of_path(e: Column) -> Column:
+        # a path that is a reference has the operations it leads to, unless it has its own
+        own = operations(e["value"])
+        there = F.when(F.size(own) > 0, own).otherwise(operations(_resolved(e["value"])))
+        return F.transform(there, lambda m: F.struct(e["key"].alias("path"), m["key"].alias("method"), F.from_json(m["value"], _OPERATION).alias("op")))
+
+    def followed(o: Column) -> Column:
+        op = o["op"]
+        parameters = F.filter(F.transform(F.coalesce(op["parameters"], _empty()), _resolved), lambda p: p.isNotNull())
+        responses = F.transform(F.array_sort(F.map_entries(op["responses"])), lambda r: F.struct(
+            r["key"].alias("status"), F.from_json(_resolved(r["value"]), _RESPONSE).alias("of")))
+        return F.struct(o["path"], o["method"], op["operationId"].alias("operationId"), op["summary"].alias("summary"), parameters.alias("parameters"),
+                        F.from_json(_resolved(op["requestBody"]), _BODY).alias("body"), responses.alias("responses"))
+
+    found = evaluate_once(_document(specs), "spec", "nodes", "depth", F.coalesce(F.map_keys("schemas"), _empty()).alias("known"),
+                          F.flatten(F.transform(F.map_entries("paths"), of_path)).alias("_ops"))
+    return evaluate_once(found, "spec", "known", F.transform("_ops", followed).alias("_ops")).select("spec", "known", F.explode("_ops").alias("op"))
+
+
 def openapi_operations(specs: DataFrame) -> DataFrame:
-    """Operations with their parts: (spec, method, path, slug, summary, parameters, body_schemas, responses, known)."""
-    known = F.coalesce(F.map_keys("schemas"), _empty())
-    methods = F.map_filter("item", lambda m, _: m.isin(fv.HTTP_METHODS))
-    found = (
-        _document(specs)
-        .select("spec", known.alias("known"), F.explode("paths").alias("path", "item"))
-        .select("spec", "known", "path", F.explode(methods).alias("method", "_op"))
-    )
-    rows = evaluate_once(found, "spec", "known", "path", "method", F.from_json("_op", _OPERATION).alias("op"))
-    parsed = F.transform(F.coalesce("op.parameters", _empty()), lambda p: F.from_json(p, _PARAMETER))
+    """Operations with their parts: (spec, method, path, slug, summary, parameters, body_schemas, responses, known).
+
+    References to parameters, bodies, responses and paths are followed; a parameter whose reference is missing or a cycle
+    is left out, a body or response of that kind has no schema.
+    """
+    parsed = F.transform("op.parameters", lambda p: F.from_json(p, _PARAMETER))
     # A parameter's type stands in its schema, or, in older documents, in the parameter itself.
-    pairs = F.zip_with(parsed, F.coalesce("op.parameters", _empty()), lambda p, raw: F.struct(
+    pairs = F.zip_with(parsed, F.col("op.parameters"), lambda p, raw: F.struct(
         p["name"].alias("name"), p["in"].alias("in"), F.coalesce(p["required"], F.lit(False)).alias("required"),
         F.coalesce(p["schema"], raw).alias("schema")))
-    rows = evaluate_once(rows, "spec", "known", "path", "method", "op", pairs.alias("_pairs"))
+    rows = evaluate_once(_path_operations(specs), "spec", "known", "op", pairs.alias("_pairs"))
     pairs = F.col("_pairs")
     in_body = F.transform(F.filter(pairs, lambda p: p["in"] == "body"), lambda p: p["schema"])
-    body = F.concat(
-        F.transform(F.map_values(F.col("op.requestBody.content")), lambda m: m["schema"]), _empty())
+    body = F.transform(F.map_values(F.col("op.body.content")), lambda m: m["schema"])
     body_schemas = F.concat(F.coalesce(body, _empty()), in_body)
 
     def response(e: Column) -> Column:
         candidates = F.concat(
-            F.coalesce(F.transform(F.map_values(e["value"]["content"]), lambda m: m["schema"]), _empty()),
-            F.array(e["value"]["schema"]))
-        refs = F.filter(F.transform(candidates, _own_ref), lambda n: n != "")
-        return F.struct(e["key"].alias("status"), F.coalesce(F.get(refs, F.lit(0)), F.lit("")).alias("schema"))
+            F.coalesce(F.transform(F.map_values(e["of"]["content"]), lambda m: m["schema"]), _empty()),
+            F.array(e["of"]["schema"]))
+        names = F.filter(F.transform(candidates, _own_ref), lambda n: n != "")
+        return F.struct(e["status"].alias("status"), F.coalesce(F.get(names, F.lit(0)), F.lit("")).alias("schema"))
 
-    responses = F.transform(_by_key("op.responses"), response)
     by_id = tx.slugify(F.coalesce("op.operationId", F.lit("")))
-    slug = F.when(by_id != "", by_id).otherwise(tx.slugify(F.concat_ws("-", "method", "path")))
+    slug = F.when(by_id != "", by_id).otherwise(tx.slugify(F.concat_ws("-", "op.method", "op.path")))
     return evaluate_once(
-        rows, "spec", "known", F.upper("method").alias("method"), "path", slug.alias("slug"),
+        rows, "spec", "known", F.upper("op.method").alias("method"), F.col("op.path").alias("path"), slug.alias("slug"),
         F.coalesce("op.summary", F.lit("")).alias("summary"),
-        F.filter(pairs, lambda p: p["in"] != "body").alias("parameters"),
-        body_schemas.alias("body_schemas"), F.coalesce(responses, _empty("array<struct<status:string,schema:string>>")).alias("responses"),
+        # what older documents send in the body or as a form is the request body, no parameter
+        F.filter(pairs, lambda p: ~F.coalesce(p["in"], F.lit("")).isin("body", "formData")).alias("parameters"),
+        body_schemas.alias("body_schemas"),
+        F.coalesce(F.transform("op.responses", response), _empty("array<struct<status:string,schema:string>>")).alias("responses"),
         F.col("op.responses").isNotNull().alias("_has_responses"))
 
 
+def duplicate_concepts(concepts: DataFrame) -> DataFrame:
+    """(spec, rel, n) of concepts that would share one file: two operations of one slug, for example."""
+    return concepts.groupBy("spec", "rel").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
 def openapi_endpoints(specs: DataFrame) -> DataFrame:
     """One concept per path and method: (spec, rel, type, title, body, links)."""
     title = F.concat_ws(" ", "method", "path")

@@ -417,15 +417,19 @@ _COLS3 = f"'# Columns' || {_NL} || {_NL} || '| Name | Type | Required |' || {_NL
 
 @query(f"""SELECT {_SPEC}, 'schemas/Order' AS rel, 'Schema' AS type, 'Order' AS title, {_COLS3} || '| customer | Customer | no |' || {_NL} || '| id | integer | yes |' || {_NL} ||
       '| items | array<array<' || {_ITEM} || '>> | no |' || {_NL} || '| note | string' || chr(92) || '|null | no |' || {_NL} AS body, 'schemas/Customer' AS links FROM {{supplier}}
+    UNION ALL SELECT {_SPEC}, 'schemas/' || k.name, 'Schema', k.name, {_COLS3} || '| customer | Customer | no |' || {_NL} || '| id | integer | yes |' || {_NL} ||
+      '| items | array<array<' || {_ITEM} || '>> | no |' || {_NL} || '| note | string' || chr(92) || '|null | no |' || {_NL}, 'schemas/Customer' FROM {{supplier}}, (VALUES ('Purchase'), ('Buying')) k(name)
+    UNION ALL SELECT {_SPEC}, 'schemas/' || k.name, 'Schema', k.name, {_COLS3}, '' FROM {{supplier}}, (VALUES ('Loop'), ('Pool'), ('Lost')) k(name)
     UNION ALL SELECT {_SPEC}, 'schemas/Customer', 'Schema', 'Customer', {_COLS3} || '| any | object | no |' || {_NL} || '| name | string | no |' || {_NL}, '' FROM {{supplier}}
     UNION ALL SELECT {_SPEC}, 'schemas/' || {_ITEM}, 'Schema', {_ITEM}, {_COLS3}, '' FROM {{supplier}}""")
 def openapi_schemas(spark, sf):
     return specs.openapi_schemas(specs.load_specs(star.openapi_specs(spark, sf))).withColumn("links", F.array_join("links", ","))
 
 
-@query(f"""SELECT {_SPEC}, k.schema, k.name, CASE WHEN k.name = 'items' THEN 'array<array<' || {_ITEM} || '>>' ELSE k.type END AS type, k.required, k.links_to FROM {{supplier}},
+@query(f"""SELECT {_SPEC}, s.schema, k.name, CASE WHEN k.name = 'items' THEN 'array<array<' || {_ITEM} || '>>' ELSE k.type END AS type, k.required, k.links_to FROM {{supplier}},
     (VALUES ('Order', 'id', 'integer', 'yes', ''), ('Order', 'customer', 'Customer', 'no', 'Customer'), ('Order', 'items', '', 'no', ''), ('Order', 'note', 'string|null', 'no', ''),
-     ('Customer', 'name', 'string', 'no', ''), ('Customer', 'any', 'object', 'no', '')) k(schema, name, type, required, links_to)""")
+     ('Customer', 'name', 'string', 'no', ''), ('Customer', 'any', 'object', 'no', '')) k(schema, name, type, required, links_to),
+    (VALUES ('Order', 'Order'), ('Customer', 'Customer'), ('Purchase', 'Order'), ('Buying', 'Order')) s(schema, of) WHERE s.of = k.schema""")
 def openapi_properties(spark, sf):
     return specs.openapi_properties(specs.load_specs(star.openapi_specs(spark, sf)))
 
@@ -433,13 +437,23 @@ def openapi_properties(spark, sf):
 @query(f"""SELECT {_SPEC}, 'endpoints/getorder-' || CAST(s_suppkey AS STRING) AS rel, 'API Endpoint' AS type, 'GET /orders/{{{{id}}}}' AS title, '# GET /orders/{{{{id}}}}' || {_NL} || {_NL} || 'Get one' || {_NL} || {_NL} ||
       '## Parameters' || {_NL} || {_NL} || '| Name | In | Type | Required |' || {_NL} || '| --- | --- | --- | --- |' || {_NL} || '| id | path | integer | yes |' || {_NL} || {_NL} ||
       '## Responses' || {_NL} || {_NL} || '| Status | Schema |' || {_NL} || '| --- | --- |' || {_NL} || '| 200 | Order |' || {_NL} || '| 404 |  |' || {_NL} || {_NL} AS body, 'schemas/Order' AS links FROM {{supplier}}
-    UNION ALL SELECT {_SPEC}, 'endpoints/post-orders-id', 'API Endpoint', 'POST /orders/{{{{id}}}}', '# POST /orders/{{{{id}}}}' || {_NL} || {_NL} || '## Responses' || {_NL} || {_NL} || '| Status | Schema |' || {_NL} || '| --- | --- |' || {_NL} || {_NL}, '' FROM {{supplier}}""")
+    UNION ALL SELECT {_SPEC}, 'endpoints/post-orders-id', 'API Endpoint', 'POST /orders/{{{{id}}}}', '# POST /orders/{{{{id}}}}' || {_NL} || {_NL} || '## Responses' || {_NL} || {_NL} || '| Status | Schema |' || {_NL} || '| --- | --- |' || {_NL} || {_NL}, '' FROM {{supplier}}
+    UNION ALL SELECT {_SPEC}, 'endpoints/post-items', 'API Endpoint', 'POST /items', '# POST /items' || {_NL} || {_NL} ||
+      '## Parameters' || {_NL} || {_NL} || '| Name | In | Type | Required |' || {_NL} || '| --- | --- | --- | --- |' || {_NL} || '| limit | query | integer | no |' || {_NL} || {_NL} ||
+      '## Responses' || {_NL} || {_NL} || '| Status | Schema |' || {_NL} || '| --- | --- |' || {_NL} || '| 201 | ' || {_ITEM} || ' |' || {_NL} || '| default |  |' || {_NL} || {_NL},
+      'schemas/' || {_ITEM} || ',schemas/Order' FROM {{supplier}}
+    UNION ALL SELECT {_SPEC}, 'endpoints/get-' || k.name, 'API Endpoint', 'GET /' || k.name, '# GET /' || k.name || {_NL} || {_NL} || '## Responses' || {_NL} || {_NL} || '| Status | Schema |' || {_NL} ||
+      '| --- | --- |' || {_NL} || '| 200 | Order |' || {_NL} || {_NL}, 'schemas/Order' FROM {{supplier}}, (VALUES ('customers'), ('clients')) k(name) WHERE k.name = 'customers' OR s_acctbal < 0""")
 def openapi_endpoints(spark, sf):
     return specs.openapi_endpoints(specs.load_specs(star.openapi_specs(spark, sf))).withColumn("links", F.array_join("links", ","))
 
 
 @query(f"""SELECT {_SPEC}, 'schemas/Order' AS source_id, 'references' AS label, '/schemas/Customer.md' AS target, 'Customer' AS text FROM {{supplier}}
-    UNION ALL SELECT {_SPEC}, 'endpoints/getorder-' || CAST(s_suppkey AS STRING), 'references', '/schemas/Order.md', 'Order' FROM {{supplier}}""")
+    UNION ALL SELECT {_SPEC}, k.source, 'references', '/schemas/Customer.md', 'Customer' FROM {{supplier}}, (VALUES ('schemas/Purchase'), ('schemas/Buying')) k(source)
+    UNION ALL SELECT {_SPEC}, 'endpoints/getorder-' || CAST(s_suppkey AS STRING), 'references', '/schemas/Order.md', 'Order' FROM {{supplier}}
+    UNION ALL SELECT {_SPEC}, k.source, 'references', '/schemas/Order.md', 'Order' FROM {{supplier}},
+      (VALUES ('endpoints/post-items'), ('endpoints/get-customers'), ('endpoints/get-clients')) k(source) WHERE k.source != 'endpoints/get-clients' OR s_acctbal < 0
+    UNION ALL SELECT {_SPEC}, 'endpoints/post-items', 'references', '/schemas/' || {_ITEM} || '.md', {_ITEM} FROM {{supplier}}""")
 def spec_relationships(spark, sf):
     loaded = specs.load_specs(star.openapi_specs(spark, sf))
     return specs.spec_relationships(specs.openapi_schemas(loaded).unionByName(specs.openapi_endpoints(loaded)))

@@ -22,6 +22,8 @@ customers of segment FURNITURE one more column.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -302,19 +304,49 @@ def ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- API specifications: one document per supplier -----------------------------------
 
-OPENAPI_SQL = """
+def _openapi(old: bool) -> str:
+    """A document with every kind of reference: chains, a cycle, missing ones, into other paths; older documents keep parts elsewhere."""
+    schema = "#/definitions/" if old else "#/components/schemas/"
+    part = lambda section, name: f"#/{section}/{name}" if old else f"#/components/{section}/{name}"
+    ref = lambda to: {"$ref": to}
+    content = lambda of: {"schema": of} if old else {"content": {"application/json": {"schema": of}}}
+    schemas = {
+        "Order": {"type": "object", "required": ["id"], "properties": {
+            "id": {"type": "integer"}, "customer": ref("#/components/schemas/Customer"),
+            "items": {"type": "array", "items": {"type": "array", "items": ref(schema + "Item@NATION")}}, "note": {"type": ["string", "null"]}}},
+        "Customer": {"properties": {"name": {"type": "string"}, "any": {}}}, "Item@NATION": {"type": "object"},
+        "Purchase": ref(schema + "Buying"), "Buying": ref(schema + "Order"), "Loop": ref(schema + "Pool"), "Pool": ref(schema + "Loop"), "Lost": ref(schema + "Nowhere")}
+    limit = {"name": "limit", "in": "query", **({"type": "integer"} if old else {"schema": {"type": "integer"}})}
+    parameters = {"Limit": ref(part("parameters", "Page")), "Page": ref(part("parameters", "a~1b%20c")), "a/b c": limit, "Self": ref(part("parameters", "Self"))}
+    responses = {"Made": ref(part("responses", "Item")), "Item": content(ref(schema + "Item@NATION"))}
+    bodies = {"NewItem": content(ref(schema + "Order"))}
+    if old:
+        parameters["Body"] = {"name": "b", "in": "body", "schema": ref(schema + "Order")}
+        parameters["Form"] = {"name": "f", "in": "formData", "type": "string"}
+    used = ["Limit", "Self", "Gone"] + (["Body", "Form"] if old else [])
+    post = {"parameters": [ref(part("parameters", p)) for p in used], "responses": {"default": ref(part("responses", "Gone")), "201": ref(part("responses", "Made"))}}
+    if not old:
+        post["requestBody"] = ref("#/components/requestBodies/NewItem")
+    id_type = {"type": "integer"} if old else {"schema": {"type": "integer"}}
+    paths = {
+        "/orders/{id}": {"parameters": [], "get": {
+            "operationId": "getOrder @KEY", "summary": "Get one", "parameters": [{"name": "id", "in": "path", "required": True, **id_type}],
+            "responses": {"404": {"description": "none"}, "200": content(ref(schema + "Order"))}}, "post": {"responses": {}}},
+        "/items": {"post": post}, "/customers": ref("#/paths/~1clients") if old else ref("#/components/pathItems/Customers")}
+    customers = {"get": {"responses": {"200": ref("#/paths/~1orders~1%7Bid%7D/get/responses/200")}}}
+    if old:
+        paths["/clients"] = customers
+        doc = {"swagger": "2.0", "definitions": schemas, "parameters": parameters, "responses": responses, "paths": paths}
+    else:
+        doc = {"openapi": "3.1.0", "components": {"schemas": schemas, "parameters": parameters, "responses": responses, "requestBodies": bodies,
+                                                  "pathItems": {"Customers": customers}}, "paths": paths}
+    return json.dumps(doc).replace("{", "{{").replace("}", "}}")
+
+
+OPENAPI_SQL = f"""
     SELECT 'spec_' || CAST(s_suppkey AS STRING) AS spec,
-      CASE WHEN s_acctbal < 0 THEN '{{"swagger": "2.0", "definitions": ' ELSE '{{"openapi": "3.0.0", "components": {{"schemas": ' END ||
-      '{{"Order": {{"type": "object", "required": ["id"], "properties": {{"id": {{"type": "integer"}}, "customer": {{"$ref": "#/components/schemas/Customer"}}, ' ||
-      '"items": {{"type": "array", "items": {{"type": "array", "items": {{"$ref": "#/components/schemas/Item' || CAST(s_nationkey AS STRING) || '"}}}}}}, "note": {{"type": ["string", "null"]}}}}}}, ' ||
-      '"Customer": {{"properties": {{"name": {{"type": "string"}}, "any": {{}}}}}}, "Item' || CAST(s_nationkey AS STRING) || '": {{"type": "object"}}}}' ||
-      CASE WHEN s_acctbal < 0 THEN '' ELSE '}}' END ||
-      ', "paths": {{"/orders/{{id}}": {{"parameters": [], "get": {{"operationId": "getOrder ' || CAST(s_suppkey AS STRING) || '", "summary": "Get one", ' ||
-      '"parameters": [{{"name": "id", "in": "path", "required": true, "schema": {{"type": "integer"}}}}], ' ||
-      '"responses": {{"404": {{"description": "none"}}, "200": ' ||
-      CASE WHEN s_acctbal < 0 THEN '{{"schema": {{"$ref": "#/definitions/Order"}}}}' ELSE '{{"content": {{"application/json": {{"schema": {{"$ref": "#/components/schemas/Order"}}}}}}}}' END ||
-      '}}}}, "post": {{"responses": {{}}}}}}}}}}' AS content
-    FROM {supplier}
+      REPLACE(REPLACE(CASE WHEN s_acctbal < 0 THEN '{_openapi(True)}' ELSE '{_openapi(False)}' END, '@KEY', CAST(s_suppkey AS STRING)), '@NATION', CAST(s_nationkey AS STRING)) AS content
+    FROM {{supplier}}
 """
 
 GRAPHQL_SQL = '''
