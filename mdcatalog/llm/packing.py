@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import unicodedata
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ GROUP = 16_384
 #: Sequences with more room than this part of their length are packed again.
 LOOSE = 0.01
 #: Words of which a worker remembers the ids.
-WORDS = 200_000
+WORDS = 300_000
 
 _PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -55,6 +57,10 @@ _IS_PLAIN = re.compile(f"[{_class(_PLAIN)}]*")
 # How the vocabulary cuts normalised text into words.
 _WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_class(_LETTERS)}]+|[{_class(_NUMBERS)}]|[{_class(_OTHERS)}]+")
 
+# The character that stands for each byte; printable ones stand for themselves, the rest follow from 256 on.
+_OWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTES = dict(zip((b for b in range(256) if b not in _OWN), range(256, 512)))
+
 
 class WordIds:
     """Ids of texts as little-endian unsigned 32-bit numbers; those of words are remembered while the memory stays small.
@@ -74,20 +80,24 @@ class WordIds:
             path = public_tokenizers.path(VOCABULARY)
         self.known: dict[str, bytes] = {"": b""}
         self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
 
-    def words(self, text: str) -> list[str]:
-        if _IS_PLAIN.fullmatch(text) and "<|" not in text:
-            return _WORDS.findall(text.lower())
-        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+    def _ids(self, words: list[str], plain: bool) -> Iterator[list[int]]:
+        if not plain:
+            return (x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False))
+        # words as the vocabulary cuts them need only its merges, over a character a byte
+        return ([t.id for t in self.merge(w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(_BYTES))] for w in words)
 
     def encode(self, text: str) -> bytes:
-        words, known = self.words(text), self.known
-        new = [word for word in set(words) if word not in known]
+        plain = _IS_PLAIN.fullmatch(text) and "<|" not in text
+        words = _WORDS.findall(text.lower()) if plain else text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        known = self.known
+        different = set(words)
+        new = [word for word in different if word not in known]
         if new:
-            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            ids = {word: np.array(x.ids, "<u4").tobytes() for word, x in zip(new, found)}
+            ids = {word: struct.pack(f"<{len(x)}I", *x) for word, x in zip(new, self._ids(new, plain))}
             if len(known) + len(new) > WORDS:  # the commonest words came first
-                known = {word: ids[word] if word in ids else known[word] for word in set(words)}
+                known = {word: ids[word] if word in ids else known[word] for word in different}
             else:
                 known.update(ids)
         return b"".join(map(known.__getitem__, words))
