@@ -107,6 +107,7 @@ HTTP_METHODS = ["connect", "delete", "get", "head", "options", "patch", "post",
 
 # --- GraphQL ----------------------------------------------------------------
 GRAPHQL_SCALARS = ["String", "Int", "Float", "Boolean", "ID"]
+GRAPHQL_KEYWORDS = ["schema", "scalar", "type", "interface", "union", "enum", "input", "directive", "extend"]
 
 # White space as Unicode defines it (what trimming removes at both ends).
 WHITESPACE = (

@@ -248,21 +248,58 @@ def openapi_endpoints(specs: DataFrame) -> DataFrame:
 
 
 # --- GraphQL --------------------------------------------------------------------
-# Blocks are found by pattern: no ``extend``, no default values with braces or brackets.
+# A document becomes tokens, and these, in one pass, definitions without what may hold anything:
+# descriptions, comments, directives with their arguments, default values.
 
-_BLOCK = r"\b(type|input|interface|enum)\s+(\w+)[^{}]*\{([^{}]*)\}"
-_UNION = r"\bunion\s+(\w+)\s*=\s*(\|?\s*\w+(?:\s*\|\s*\w+)*)"
-_FIELD = r"(\w+)\s*(\([^()]*\))?\s*:\s*([\[]*\w+[\]!]*)"
-_ARGUMENT = r"(\w+)\s*:\s*([\[]*\w+[\]!]*)"
+_TOKEN = (r'(?s)""".*?(?<!\\)"""|"[^"\\\n\r]*+(?:\\.[^"\\\n\r]*+)*+"|#[^\n\r]*+|[_A-Za-z][_0-9A-Za-z]*+|-?[0-9][-+.0-9A-Za-z]*+|\.\.\.|[!$&()=@\[\]{}|:]')
+_TYPE = r"((?:\[ )*\w+(?: [!\]])*)"
+_FIELD = rf"(\w+) (\( [^()]*\) )?: {_TYPE}"
+_ARGUMENT = rf"(\w+) : {_TYPE}"
+_STATE = "struct<depth:int,skip:int,until:int,open:array<string>,done:array<string>>"
+#: What the next token is, if it is to be skipped: the value of a default, the name of a directive, its arguments if it has some.
+_NOTHING, _VALUE, _DIRECTIVE, _ARGUMENTS = 0, 1, 2, 3
 
 
-def _clean_sdl(sdl: Column) -> Column:
-    """SDL without descriptions, comments and directives, list brackets closed up."""
-    text = F.regexp_replace(sdl, r'(?s)""".*?"""', " ")
-    text = F.regexp_replace(text, r'"[^"\n]*"', " ")
-    text = F.regexp_replace(text, r"#[^\n]*", " ")
-    text = F.regexp_replace(text, r"@\w+(\s*\([^()]*\))?", " ")
-    return F.regexp_replace(F.regexp_replace(text, r"\[\s+", "["), r"\s+([\]!])", "$1")
+def _tokens(sdl: Column) -> Column:
+    """Tokens without comments; a string of either kind is a lone quote."""
+    found = F.filter(F.regexp_extract_all(sdl, F.lit(_TOKEN), 0), lambda t: ~t.startswith("#"))
+    return F.transform(found, lambda t: F.when(t.startswith('"'), F.lit('"')).otherwise(t))
+
+
+def _definitions(tokens: Column) -> Column:
+    """Each top-level definition as its tokens between blanks.
+
+    ``depth`` counts brackets of all kinds. A skipped value or argument list that begins with a bracket is
+    skipped ``until`` the depth is what it was before. A definition ends with its closing brace, or, having none, before the
+    next keyword that cannot belong to it.
+    """
+    start = F.struct(F.lit(0).alias("depth"), F.lit(_NOTHING).alias("skip"), F.lit(-1).alias("until"), _empty().alias("open"), _empty().alias("done")).cast(_STATE)
+
+    def step(s: Column, t: Column) -> Column:
+        opens, closes = t.isin("(", "[", "{"), t.isin(")", "]", "}")
+        depth = F.when(opens, s["depth"] + 1).when(closes, F.greatest(s["depth"] - 1, F.lit(0))).otherwise(s["depth"])
+        inside = s["until"] >= 0
+        skipped = inside | s["skip"].isin(_VALUE, _DIRECTIVE) | ((s["skip"] == _ARGUMENTS) & (t == "("))
+        until = (F.when(inside, F.when(depth <= s["until"], -1).otherwise(s["until"]))
+                 .when(skipped & (s["skip"] != _DIRECTIVE) & opens, s["depth"]).otherwise(-1))
+        default = (t == "=") & (s["depth"] > 0)
+        skip = (F.when(inside, _NOTHING).when(s["skip"] == _DIRECTIVE, _ARGUMENTS).when(skipped, _NOTHING)
+                .when(default, _VALUE).when(t == "@", _DIRECTIVE).otherwise(_NOTHING))
+        kept = ~skipped & ~default & ~t.isin("@", '"')
+        last = F.coalesce(F.try_element_at(s["open"], F.lit(-1)), F.lit(""))
+        first, size = F.coalesce(F.get(s["open"], F.lit(0)), F.lit("")), F.size(s["open"])
+        # a name is due at the beginning, after the keyword of the definition, and after what joins names
+        due = ((size == 0) | last.isin("=", "|", "&", "implements") | (last == "on") & (first == "directive") | (size == 1) & (last != "schema") & last.isin(*fv.GRAPHQL_KEYWORDS)
+               | (size == 2) & (first == "extend"))
+        begins = kept & (s["depth"] == 0) & t.isin(*fv.GRAPHQL_KEYWORDS) & ~due
+        ends = kept & (t == "}") & (depth == 0)
+        whole = F.array_join(s["open"], " ")
+        done = (F.when(begins, F.array_append(s["done"], whole)).when(ends, F.array_append(s["done"], F.concat(whole, F.lit(" }"))))
+                .otherwise(s["done"]))
+        open_ = F.when(begins, F.array(t)).when(ends, _empty()).when(kept, F.array_append(s["open"], t)).otherwise(s["open"])
+        return F.struct(depth.alias("depth"), skip.alias("skip"), until.alias("until"), open_.alias("open"), done.alias("done")).cast(_STATE)
+
+    return F.aggregate(tokens, start, step, lambda s: F.filter(F.array_append(s["done"], F.array_join(s["open"], " ")), lambda d: d != ""))
 
 
 def _groups(text: Column, pattern: str, count: int) -> Column:
@@ -272,41 +309,65 @@ def _groups(text: Column, pattern: str, count: int) -> Column:
         F.regexp_extract(m, pattern, i).alias(f"g{i}") for i in range(1, count + 1)]))
 
 
+def _close(type_text: Column) -> Column:
+    return F.replace(type_text, F.lit(" "), F.lit(""))
+
+
 def _underlying(type_text: Column) -> Column:
     return F.regexp_replace(type_text, r"[\[\]!]", "")
 
 
 def _sdl_blocks(sdl: DataFrame) -> DataFrame:
-    """(spec, roots, kind, name, text, emitted): definitions of every document."""
-    text = F.col("_text")
-    blocks = F.transform(_groups(text, _BLOCK, 3), lambda g: F.struct(
-        g["g1"].alias("kind"), g["g2"].alias("name"), g["g3"].alias("text")))
-    unions = F.transform(_groups(text, _UNION, 2), lambda g: F.struct(
-        F.lit("union").alias("kind"), g["g1"].alias("name"), g["g2"].alias("text")))
-    schema = F.regexp_extract(text, r"\bschema\s*\{([^{}]*)\}", 1)
+    """(spec, roots, kind, name, text, emitted): one row per type name of every document.
+
+    What extends a type, or defines it again, adds to the definition, in the order of the document; an extension of a
+    type that is not defined defines it.
+    """
+    lexed = evaluate_once(sdl, "spec", _tokens(F.col("content")).alias("_tokens"))
+    defined = evaluate_once(lexed, "spec", _definitions(F.col("_tokens")).alias("_texts"))
+    head = r"^(extend )?(type|input|interface|enum|union) (\w+)"
+    parts = F.transform(F.filter("_texts", lambda d: d.rlike(head)), lambda d: F.struct(
+        (F.regexp_extract(d, head, 1) != "").alias("extends"), F.regexp_extract(d, head, 2).alias("kind"), F.regexp_extract(d, head, 3).alias("name"),
+        F.when(F.regexp_extract(d, head, 2) == "union", F.regexp_extract(d, r"= (.*)$", 1)).otherwise(F.regexp_extract(d, r"\{ (.*)\}$", 1)).alias("text")))
+    schema = F.filter("_texts", lambda d: d.rlike(r"^(extend )?schema\b"))
+    operations = F.array_join(F.transform(schema, lambda d: F.regexp_extract(d, r"\{ (.*)\}$", 1)), " ")
+    named = evaluate_once(defined, "spec", parts.alias("_parts"), operations.alias("_operations"), F.exists("_texts", lambda d: d.startswith("schema ")).alias("_declared"))
 
     def root(operation: str) -> Column:
-        named = F.regexp_extract(schema, rf"\b{operation}\s*:\s*(\w+)", 1)
-        default = F.lit(operation.capitalize())
-        return F.when(schema == "", default).otherwise(named).alias(operation)
+        declared = F.regexp_extract("_operations", rf"\b{operation} : (\w+)", 1)
+        return F.when((declared != "") | F.col("_declared"), declared).otherwise(operation.capitalize()).alias(operation)
 
     roots = F.struct(root("query"), root("mutation"), root("subscription"))
-    cleaned = evaluate_once(sdl, "spec", _clean_sdl(F.col("content")).alias("_text"))
-    found = evaluate_once(cleaned, "spec", roots.alias("roots"), F.concat(blocks, unions).alias("_defs"))
+    ordered = F.concat(F.filter("_parts", lambda d: ~d["extends"]), F.filter("_parts", lambda d: d["extends"]))
+    found = evaluate_once(named, "spec", roots.alias("roots"), ordered.alias("_parts"))
+    names = F.array_distinct(F.transform("_parts", lambda d: d["name"]))
     root_names = F.array(F.col("roots.query"), F.col("roots.mutation"), F.col("roots.subscription"))
-    names = F.transform("_defs", lambda d: d["name"])
     hidden = F.array_union(root_names, F.array(*[F.lit(s) for s in fv.GRAPHQL_SCALARS]))
     emitted = F.filter(F.array_except(names, hidden), lambda n: ~n.startswith("__"))
-    return evaluate_once(found, "spec", "roots", emitted.alias("emitted"), "_defs").select("spec", "roots", "emitted", F.inline("_defs"))
+
+    def whole(name: Column) -> Column:
+        own = F.filter("_parts", lambda d: d["name"] == name)
+        return F.struct(F.get(own, F.lit(0))["kind"].alias("kind"), name.alias("name"),
+                        F.array_join(F.transform(own, lambda d: F.rtrim(d["text"])), " ").alias("text"))
+
+    merged = evaluate_once(found, "spec", "roots", emitted.alias("emitted"), F.transform(names, whole).alias("_defs"))
+    return merged.select("spec", "roots", "emitted", F.inline("_defs"))
+
+
+def _fields(text: Column, pattern: str) -> Column:
+    """Fields or arguments as array<struct<name, arguments, type>>."""
+    count = 3 if pattern == _FIELD else 2
+    return F.transform(_groups(text, pattern, count), lambda g: F.struct(
+        g["g1"].alias("name"), (g["g2"] if count == 3 else F.lit("")).alias("arguments"), _close(g[f"g{count}"]).alias("type")))
 
 
 def graphql_types(sdl: DataFrame) -> DataFrame:
     """One concept per object, input, interface, enum and union: (spec, rel, type, title, body, links)."""
     words = F.regexp_extract_all("text", F.lit(r"\w+"), 0)
-    fields = F.filter(_groups(F.col("text"), _FIELD, 3), lambda f: ~f["g1"].startswith("__"))
+    fields = F.filter(_fields(F.col("text"), _FIELD), lambda f: ~f["name"].startswith("__"))
 
     def row(f: Column) -> Column:
-        return md.table_row(f["g1"], f["g3"], F.when(f["g3"].endswith("!"), "yes").otherwise("no"))
+        return md.table_row(f["name"], f["type"], F.when(f["type"].endswith("!"), "yes").otherwise("no"))
 
     listed = F.array_join(F.transform(words, lambda w: F.concat(F.lit("- "), w, F.lit("\n"))), "")
     table = F.concat(F.lit("# Columns\n\n" + md.table_head("Name", "Type", "Required")), F.array_join(F.transform(fields, row), ""))
@@ -316,7 +377,7 @@ def graphql_types(sdl: DataFrame) -> DataFrame:
         .otherwise(table))
     referred = (
         F.when(F.col("kind") == "enum", _empty()).when(F.col("kind") == "union", words)
-        .otherwise(F.transform(fields, lambda f: _underlying(f["g3"]))))
+        .otherwise(F.transform(fields, lambda f: _underlying(f["type"]))))
     links = F.array_sort(F.array_intersect(F.array_distinct(referred), F.col("emitted")))
     return _sdl_blocks(sdl).where(F.array_contains("emitted", F.col("name"))).select(
         "spec", F.concat(F.lit("types/"), "name").alias("rel"), F.lit("GraphQL Type").alias("type"),
@@ -333,16 +394,16 @@ def graphql_operations(sdl: DataFrame) -> DataFrame:
     folder = F.when(F.col("_op") == "Query", "queries").when(F.col("_op") == "Mutation", "mutations").otherwise("subscriptions")
     fields = _sdl_blocks(sdl).withColumn("_op", kind).where("_op IS NOT NULL").select(
         "spec", "emitted", "_op", folder.alias("_folder"),
-        F.inline(_groups(F.col("text"), _FIELD, 3)).alias("name", "_args", "returns"),
+        F.inline(_fields(F.col("text"), _FIELD)).alias("name", "_args", "returns"),
     ).where(~name.startswith("__"))
-    arguments = _groups(F.col("_args"), _ARGUMENT, 2)
+    arguments = _fields(F.col("_args"), _ARGUMENT)
     rows = F.array_join(F.transform(arguments, lambda a: md.table_row(
-        a["g1"], a["g2"], F.when(a["g2"].endswith("!"), "yes").otherwise("no"))), "")
+        a["name"], a["type"], F.when(a["type"].endswith("!"), "yes").otherwise("no"))), "")
     body = F.concat(
         F.lit("# "), "name", F.lit("\n\nReturns `"), "returns", F.lit("`.\n"),
         F.when(F.size(arguments) > 0, F.concat(
             F.lit("\n## Arguments\n\n" + md.table_head("Name", "Type", "Required")), rows)).otherwise(""))
-    referred = F.concat(F.array(_underlying(F.col("returns"))), F.transform(arguments, lambda a: _underlying(a["g2"])))
+    referred = F.concat(F.array(_underlying(F.col("returns"))), F.transform(arguments, lambda a: _underlying(a["type"])))
     links = F.array_sort(F.array_intersect(F.array_distinct(referred), F.col("emitted")))
     return fields.select(
         "spec", F.concat_ws("/", "_folder", tx.slugify(F.col("name"))).alias("rel"),

@@ -469,12 +469,15 @@ def _sdl_type(name: str, body: str, links: str) -> str:
 @query(" UNION ALL ".join([
     f"SELECT {_SDL}, 'types/Order' AS rel, 'GraphQL Type' AS type, 'Order' AS title, {_COLS3} || '| id | ID! | yes |' || {_NL} || '| buyer | Customer | no |' || {_NL} || '| lines | [' || {_ITEM} || '!]! | yes |' || {_NL} AS body, "
     f"'types/Customer,types/' || {_ITEM} AS links FROM {{supplier}}",
-    _sdl_type("'Customer'", f"{_COLS3} || '| name | String | no |' || {_NL} || '| orders | [Order] | no |' || {_NL}", "types/Order"),
+    _sdl_type("'Customer'", f"{_COLS3} || '| name | String | no |' || {_NL} || '| orders | [Order] | no |' || {_NL} || '| type | Kind! | yes |' || {_NL} || '| note | String | no |' || {_NL}", "types/Kind,types/Order"),
     _sdl_type(_ITEM, f"{_COLS3} || '| sku | String! | yes |' || {_NL}", ""),
     _sdl_type("'OrderInput'", f"{_COLS3} || '| status | Status | no |' || {_NL}", "types/Status"),
     _sdl_type("'Node'", f"{_COLS3} || '| id | ID! | yes |' || {_NL}", ""),
-    _sdl_type("'Status'", f"'# Values' || {_NL} || {_NL} || '- OPEN' || {_NL} || '- CLOSED' || {_NL}", ""),
-    _sdl_type("'Thing'", f"'# Members' || {_NL} || {_NL} || '- Order' || {_NL} || '- Customer' || {_NL}", "types/Customer,types/Order"),
+    _sdl_type("'Status'", f"'# Values' || {_NL} || {_NL} || '- OPEN' || {_NL} || '- CLOSED' || {_NL} || '- HELD' || {_NL}", ""),
+    _sdl_type("'Kind'", f"'# Values' || {_NL} || {_NL} || '- type' || {_NL} || '- input' || {_NL} || '- extend' || {_NL}", ""),
+    _sdl_type("'Range'", f"{_COLS3} || '| low | [Int!] | no |' || {_NL} || '| high | Range | no |' || {_NL} || '| day | Day | no |' || {_NL}", "types/Range"),
+    _sdl_type("'Late'", f"{_COLS3} || '| a | Int | no |' || {_NL}", ""),
+    _sdl_type("'Thing'", f"'# Members' || {_NL} || {_NL} || '- Order' || {_NL} || '- Customer' || {_NL} || '- ' || {_ITEM} || {_NL}", "types/Customer,types/' || " + _ITEM + " || ',types/Order"),
 ]))
 def graphql_types(spark, sf):
     return specs.graphql_types(star.graphql_specs(spark, sf)).withColumn("links", F.array_join("links", ","))
@@ -485,6 +488,8 @@ _ARGS = f"{_NL} || '## Arguments' || {_NL} || {_NL} || '| Name | Type | Required
 
 @query(f"""SELECT {_SDL}, 'queries/order' AS rel, 'GraphQL Query' AS type, 'order' AS title, '# order' || {_NL} || {_NL} || 'Returns `Order`.' || {_NL} || {_ARGS} || '| id | ID! | yes |' || {_NL} AS body, 'types/Order' AS links FROM {{supplier}}
     UNION ALL SELECT {_SDL}, 'queries/orders', 'GraphQL Query', 'orders', '# orders' || {_NL} || {_NL} || 'Returns `[Order!]!`.' || {_NL} || {_ARGS} || '| first | Int | no |' || {_NL}, 'types/Order' FROM {{supplier}}
+    UNION ALL SELECT {_SDL}, 'queries/find', 'GraphQL Query', 'find', '# find' || {_NL} || {_NL} || 'Returns `[Thing!]`.' || {_NL} || {_ARGS} || '| in | Range | no |' || {_NL} || '| text | String | no |' || {_NL} ||
+      '| all | [[Int!]!]! | yes |' || {_NL}, 'types/Range,types/Thing' FROM {{supplier}}
     UNION ALL SELECT {_SDL}, 'mutations/addorder', 'GraphQL Mutation', 'addOrder', '# addOrder' || {_NL} || {_NL} || 'Returns `Order!`.' || {_NL} || {_ARGS} || '| input | OrderInput! | yes |' || {_NL}, 'types/Order,types/OrderInput' FROM {{supplier}} WHERE s_acctbal < 0""")
 def graphql_operations(spark, sf):
     return specs.graphql_operations(star.graphql_specs(spark, sf)).withColumn("links", F.array_join("links", ","))

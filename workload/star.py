@@ -357,7 +357,11 @@ GRAPHQL_SQL = '''
       '  lines: [Item' || CAST(s_nationkey AS STRING) || '!]! @deprecated(reason: "x")' || chr(10) || '}}' || chr(10) ||
       'type Customer {{ name: String, orders(first: Int): [Order] }}' || chr(10) || 'type Item' || CAST(s_nationkey AS STRING) || ' {{ sku: String! }}' || chr(10) ||
       'input OrderInput {{ status: Status = OPEN }}' || chr(10) || 'enum Status {{ OPEN CLOSED }}' || chr(10) || 'union Thing = Order | Customer' || chr(10) ||
-      'interface Node {{ id: ID! }}' AS content
+      'interface Node {{ id: ID! }}' || chr(10) || 'directive @limit(max: Int = 3 @deprecated(reason: "no {{"), of: Range = {{low: [1]}}) on FIELD_DEFINITION | OBJECT' || chr(10) ||
+      'scalar Day' || chr(10) || 'input Range {{ low: [Int!] = [1, 2], "up to }}" high: Range = {{low: [3], high: {{low: []}}}} @limit(max: 1, of: {{low: [2]}}), day: Day }}' || chr(10) ||
+      'extend type Query {{ # none {{' || chr(10) || ' find(in: Range = {{low: [{{a: "]"}}]}}, text: String = "(:" @limit(max: 2), all: [[Int!]!]! = [[1]]): [Thing!] @limit(of: {{low: [1]}})' || chr(10) || '}}' || chr(10) ||
+      'extend type Customer @limit {{ type: Kind!, note(in: Range): String }}' || chr(10) || 'enum Kind {{ type input' || chr(10) || '"union X = {{" extend }}' || chr(10) ||
+      'extend enum Status {{ HELD }} extend union Thing = Item' || CAST(s_nationkey AS STRING) || ' extend input Late {{ a: Int }}' AS content
     FROM {supplier}
 '''
 
