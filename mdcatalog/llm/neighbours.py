@@ -20,11 +20,13 @@ from mdcatalog.llm.common import as_table, cut_lineage, map_batches, small_batch
 
 NEIGHBOURS = 20
 #: Bounds of the fit: vectors of the sample by a hash of their id, vectors that give a query its first threshold.
-SAMPLE = 16_384
+SAMPLE, MOST_SAMPLE = 16_384, 131_072
 SEEDS = 4_096
-#: Vectors of a list on average, and lists at most.
+#: Vectors of a list on average while there are at most ``LISTS`` lists; beyond, the lists are the square root of the
+#: vectors, of ``PER_LIST`` sampled vectors each at least.
 LIST = 1_024
 LISTS = 256
+PER_LIST = 16
 #: Share of the sample's true neighbours that the number of probed lists must reach.
 RECALL = 0.97
 #: Columns of a block; standard errors that a partial distance may be above the threshold's share.
@@ -79,6 +81,16 @@ def cluster(rows: np.ndarray, k: int, rounds: int = 12, seed: int = 5) -> np.nda
     return centres
 
 
+def list_count(count: int) -> int:
+    """How many lists ``count`` vectors get: work per query then grows as the square root of the vectors, not in proportion."""
+    return int(np.clip(count // LIST, 1, max(LISTS, int(np.sqrt(count)))))
+
+
+def sample_size(count: int) -> int:
+    """Vectors the fit sees: more as the lists become more, up to ``MOST_SAMPLE``."""
+    return int(np.clip(PER_LIST * list_count(count), SAMPLE, max(SAMPLE, MOST_SAMPLE)))
+
+
 def fit(ids: np.ndarray, vectors: np.ndarray, count: int, norm: float, k: int = NEIGHBOURS, seed: int = 3) -> Index:
     """An index from a sample of ``count`` vectors; the number of probes is the least that finds ``RECALL`` of the sample's neighbours."""
     rng = np.random.default_rng(seed)
@@ -86,7 +98,7 @@ def fit(ids: np.ndarray, vectors: np.ndarray, count: int, norm: float, k: int =
     rotation = np.linalg.qr(rng.standard_normal((width, width)))[0]
     index = Index(np.zeros((1, width)), rotation, norm, 1, ids[:SEEDS], vectors[:SEEDS])
     lifted = index.lift(vectors)
-    index.centres = cluster(lifted, int(np.clip(count // LIST, 1, min(LISTS, len(lifted)))))
+    index.centres = cluster(lifted, min(list_count(count), max(1, len(lifted) // PER_LIST)))
     home = index.lists(lifted, 1)[:, 0]
     asking = rng.choice(len(vectors), min(200, len(vectors)), replace=False)
     near = vectors[asking] @ vectors.T
@@ -142,13 +154,13 @@ def nearest(vectors: DataFrame, asks, k: int = NEIGHBOURS, vec_id: str = "vec_id
     Rows of one id count as one candidate with its best score, and never as neighbours of each other. Ties go
     to the smaller id; with fewer candidates all are returned; an empty table gives no rows.
 
-    The fit sees a bounded sample, every row is indexed. Lists of any size and any number of queries are cut
+    The fit sees a bounded sample, every row is indexed and every result comes from the scan of its list. Lists of any size and any number of queries are cut
     into units of bounded size, so a list that holds a third of all rows is many units.
     """
     spark = vectors.sparkSession
     none = "query_id bigint, rank int, vec_id bigint, score double"
     rows = valid(vectors, vec_id, embedding)
-    sample = rows.orderBy(F.xxhash64("id", F.lit(29)), "id").limit(SAMPLE).collect()
+    sample = rows.orderBy(F.xxhash64("id", F.lit(29)), "id").limit(sample_size(rows.count())).collect()
     if not sample:
         return spark.createDataFrame([], none)
     lengths = np.array([len(r["vector"]) for r in sample])
@@ -165,30 +177,25 @@ def nearest(vectors: DataFrame, asks, k: int = NEIGHBOURS, vec_id: str = "vec_id
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(at.astype(np.int32))], names=["id", "vector", "list"])
 
     def ask(batch: pa.RecordBatch, held: Index) -> pa.RecordBatch:
-        """For each query its lists, a distance within which ``k`` vectors lie, and those vectors."""
+        """For each query its lists and a distance within which ``k`` vectors lie."""
         matrix, own = _matrix(batch.column(1), width), batch.column(0).to_numpy()
         lists = held.lists(held.lift(matrix, True), held.probes).astype(np.int32) if len(matrix) else np.zeros((0, 1), np.int32)
-        limits, ids, scores = [], [], []
+        limits = []
         for query, own_id in zip(matrix, own):
             found = products(held.seeds, query)
             found[held.seed_ids == own_id] = -np.inf
             top = [i for i in best(found, held.seed_ids, k) if found[i] > -np.inf]
             far = held.norm ** 2 + (query ** 2).sum() - 2 * found[top[-1]] if len(top) == k else np.inf
             limits.append(far * (1 + 1e-9) + 1e-9)
-            ids.append(held.seed_ids[top])
-            scores.append(found[top])
-        return pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(lists.tolist(), pa.list_(pa.int32())), pa.array(limits, pa.float64()),
-             pa.array(ids, pa.list_(pa.int64())), pa.array(scores, pa.list_(pa.float64()))],
-            names=["id", "vector", "lists", "distance", "ids", "scores"])
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists.tolist(), pa.list_(pa.int32())), pa.array(limits, pa.float64())],
+                                          names=["id", "vector", "lists", "distance"])
 
     take = lambda: shared.value
     placed = as_table(map_batches(rows, home, "id bigint, vector array<double>, list int", take))
-    queries = as_table(map_batches(rows.where(asks), ask, "id bigint, vector array<double>, lists array<int>, distance double, ids array<bigint>, scores array<double>", take))
-    first = queries.select(F.col("id").alias("query_id"), F.inline(F.arrays_zip(F.col("ids").alias("vec_id"), F.col("scores").alias("score"))))
+    queries = as_table(map_batches(rows.where(asks), ask, "id bigint, vector array<double>, lists array<int>, distance double", take))
     asked = queries.select("id", "vector", "distance", F.explode("lists").alias("list"))
 
-    # at most LISTS rows
+    # a row per list
     sizes = placed.groupBy("list").agg(F.count(F.lit(1)).alias("vectors"))
     loads = asked.groupBy("list").agg(F.count(F.lit(1)).alias("queries"))
     tiles = cut_lineage(sizes.join(loads, "list").select("list", F.ceil(F.col("vectors") / TILE_VECTORS).cast("int").alias("chunks"),
@@ -240,7 +247,7 @@ def nearest(vectors: DataFrame, asks, k: int = NEIGHBOURS, vec_id: str = "vec_id
 
     found = (both.repartition(F.col("tile")).sortWithinPartitions("tile", "kind")
              .mapInArrow(search, "query_id bigint, vec_id bigint, score double"))
-    once = found.unionByName(first).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -48,6 +48,19 @@ def test_recall_and_scores(spark, monkeypatch, scaled):
     assert hits / (20 * len(found)) >= 0.9
 
 
+def test_every_row_comes_from_the_scan(spark, monkeypatch):
+    """Seeds give thresholds only: with a scan that finds nothing there is no result."""
+    rows = frame(spark, [(i, [float(i % 7) + 1, float(i % 11), 1.0]) for i in range(100)])
+    assert neighbours.nearest(rows, "id % 20 = 0").count() == 100
+    monkeypatch.setattr(neighbours, "scan", lambda blocks, query, limit, width: np.empty(0, int))
+    assert neighbours.nearest(rows, "id % 20 = 0").count() == 0
+
+
+def test_lists_grow_with_the_square_root():
+    assert [neighbours.list_count(n) for n in (0, 5_000, 200_000, 10 ** 6, 10 ** 8, 10 ** 10)] == [1, 4, 195, 976, 10_000, 100_000]
+    assert neighbours.sample_size(10 ** 5) == neighbours.SAMPLE and neighbours.sample_size(10 ** 10) == neighbours.MOST_SAMPLE
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [nan, 1.0]), (7, [inf, 1.0]), (8, [1.0]), (None, [9.0, 9.0]),
