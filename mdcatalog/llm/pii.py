@@ -146,7 +146,7 @@ def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 
 def digest(found: DataFrame, base: list[str] = BASE) -> DataFrame:
-    """Counts per base kind, a hash over the base spans and all spans as text."""
+    """Counts per base kind, a hash over the base spans, all spans as text, and, if spans have scores, those in the same order."""
     line = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
     of = lambda kind: lambda s: s["kind"] == kind
     base_spans = F.filter("spans", lambda s: s["kind"].isin(base))
@@ -154,4 +154,5 @@ def digest(found: DataFrame, base: list[str] = BASE) -> DataFrame:
         "doc_id",
         *[F.size(F.filter("spans", of(k))).cast("bigint").alias(f"n_{k}") for k in base],
         F.sha2(F.concat_ws(",", F.transform(base_spans, line)), 256).alias("base_sha256"),
-        F.concat_ws(",", F.transform("spans", line)).alias("spans"))
+        F.concat_ws(",", F.transform("spans", line)).alias("spans"),
+        *([F.concat_ws(",", F.transform("spans", lambda s: F.format_number(s["score"], 2))).alias("scores")] if "score:" in found.schema["spans"].dataType.simpleString() else []))
