@@ -32,16 +32,16 @@ RECALL = 0.97
 #: Columns of a block; standard errors that a partial distance may be above the threshold's share.
 BLOCK = 16
 EPSILON = 2.5
+#: Queries whose distances are summed together while more than this part of the vectors is alive, and what rounding may
+#: change, as part of the squared norms.
+TOGETHER, DENSE, ROUNDING = 256, 0.2, 1e-9
 #: Vectors and queries of a unit of work.
 TILE_VECTORS, TILE_QUERIES = 2_048, 2_048
 
 
 def products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     """Inner products in double precision, summed in the order of the components."""
-    total = np.zeros(len(vectors))
-    for component in range(vectors.shape[1]):
-        total += vectors[:, component] * query[component]
-    return total
+    return np.cumsum(vectors * query, axis=1)[:, -1] if vectors.shape[1] else np.zeros(len(vectors))
 
 
 @dataclass
@@ -111,15 +111,25 @@ def fit(ids: np.ndarray, vectors: np.ndarray, count: int, norm: float, k: int =
     return index
 
 
-def scan(blocks: list[np.ndarray], query: np.ndarray, limit: float, width: int) -> np.ndarray:
-    """Places of the vectors whose squared distance to ``query`` stays below ``limit``, as far as the tests say."""
-    alive, partial, seen = np.arange(len(blocks[0])), np.zeros(len(blocks[0])), 0
-    for block in blocks:
+def allowed(limit: float | np.ndarray, seen: int, width: int) -> float | np.ndarray:
+    """The partial distance over ``seen`` of ``width`` columns up to which the test does not reject a whole one of ``limit``."""
+    return limit if seen == width else limit * seen / width * (1 + EPSILON / np.sqrt(seen)) ** 2
+
+
+def scan(blocks: list[np.ndarray], query: np.ndarray, limit: float, width: int, start: int = 0, alive: np.ndarray | None = None,
+         partial: np.ndarray | None = None) -> np.ndarray:
+    """Places of the vectors whose squared distance to ``query`` stays below ``limit``, as far as the tests say.
+
+    From block ``start`` on, for the vectors still ``alive`` with the distances they have so far.
+    """
+    if alive is None:
+        alive, partial = np.arange(len(blocks[0])), np.zeros(len(blocks[0]))
+    seen = sum(block.shape[1] for block in blocks[:start])
+    for block in blocks[start:]:
         part = (block if len(alive) == len(block) else block[alive]) - query[seen:seen + block.shape[1]]
         partial = partial + np.einsum("ij,ij->i", part, part)
         seen += block.shape[1]
-        bound = limit if seen == width else limit * seen / width * (1 + EPSILON / np.sqrt(seen)) ** 2
-        keep = partial <= bound
+        keep = partial <= allowed(limit, seen, width)
         if not keep.all():
             alive, partial = alive[keep], partial[keep]
             if not len(alive):
@@ -127,6 +137,24 @@ def scan(blocks: list[np.ndarray], query: np.ndarray, limit: float, width: int)
     return alive
 
 
+def scan_many(blocks: list[np.ndarray], queries: np.ndarray, limits: np.ndarray, width: int) -> Iterator[np.ndarray]:
+    """``scan`` of many queries: while most vectors are alive, a block's distances to all queries are one matrix product."""
+    norms = [np.einsum("ij,ij->i", block, block) for block in blocks]
+    slack = ROUNDING * (sum(norms).max() + np.einsum("ij,ij->i", queries, queries))[:, None]
+    for begin in range(0, len(queries), TOGETHER):
+        part, bound = queries[begin:begin + TOGETHER], limits[begin:begin + TOGETHER, None]
+        partial, alive, seen, number = np.zeros((len(part), len(blocks[0]))), np.ones((len(part), len(blocks[0])), bool), 0, 0
+        while number < len(blocks) and alive.mean() > DENSE:
+            of = part[:, seen:seen + blocks[number].shape[1]]
+            partial += norms[number] - 2 * of @ blocks[number].T + np.einsum("ij,ij->i", of, of)[:, None]
+            seen += blocks[number].shape[1]
+            number += 1
+            alive &= partial <= allowed(bound, seen, width) + slack[begin:begin + TOGETHER]
+        for i in range(len(part)):
+            left = np.flatnonzero(alive[i])
+            yield scan(blocks, part[i], limits[begin + i], width, number, left, partial[i, left]) if len(left) and number < len(blocks) else left
+
+
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the ``k`` best of different ids, ties to the smaller id."""
     order = np.lexsort((ids, -scores))
@@ -135,6 +163,14 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return order[:k]
 
 
+def leading(scores: np.ndarray, ids: np.ndarray, k: int, slack: float) -> np.ndarray:
+    """Places of all scores that may be among the ``k`` best of different ids once they are summed in order."""
+    if len(scores) <= 2 * k or len(np.unique(ids)) < len(ids):
+        return np.arange(len(scores))
+    least = np.partition(scores, len(scores) - k)[len(scores) - k]
+    return np.flatnonzero(scores >= least - slack)
+
+
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
@@ -235,10 +271,10 @@ def nearest(vectors: DataFrame, asks, k: int = NEIGHBOURS, vec_id: str = "vec_id
                     blocks = [np.ascontiguousarray(lifted[:, i:i + BLOCK]) for i in range(0, width + 1, BLOCK)]
                 own, original = ids[0], matrix[0]
                 turned = held.lift(rows_[start:end], True)
-                for i in range(end - start):
-                    alive = scan(blocks, turned[i], limits[start + i], width + 1)
+                for i, alive in enumerate(scan_many(blocks, turned, limits[start:end], width + 1)):
                     alive = alive[own[alive] != numbers[start + i]]
                     if len(alive):
+                        alive = alive[leading(original[alive] @ rows_[start + i], own[alive], k, ROUNDING * held.norm * np.linalg.norm(rows_[start + i]))]
                         scores = products(original[alive], rows_[start + i])
                         top = best(scores, own[alive], k)
                         out.append((np.full(len(top), numbers[start + i]), own[alive][top], scores[top]))

@@ -22,6 +22,27 @@ def test_adaptive_scan_keeps_what_is_near():
     assert set(alive) <= set(np.flatnonzero(distance <= limit)) and len(alive) >= 36
 
 
+@pytest.mark.parametrize("spread", [0.05, 1.0])
+def test_scan_of_many_queries_is_the_scan_of_each(spread):
+    rng = np.random.default_rng(4)
+    rows = rng.standard_normal((300, 65)) * np.r_[np.ones(20), np.full(45, spread)]
+    queries = rows[:300] + 0.1
+    limits = np.sort(((rows[None] - queries[:, None]) ** 2).sum(axis=2), axis=1)[:, 10]
+    blocks = [rows[:, i:i + 16] for i in range(0, 65, 16)]
+    for query, limit, alive in zip(queries, limits, neighbours.scan_many(blocks, queries, limits + 1e-6, 65)):
+        assert alive.tolist() == neighbours.scan(blocks, query, limit + 1e-6, 65).tolist()
+
+
+def test_products_are_summed_in_order():
+    rng = np.random.default_rng(5)
+    rows, query = rng.standard_normal((50, 64)), rng.standard_normal(64)
+    for row, found in zip(rows, neighbours.products(rows, query)):
+        total = 0.0
+        for x, y in zip(row.tolist(), query.tolist()):
+            total += x * y
+        assert total == found
+
+
 @pytest.mark.parametrize("scaled", [False, True])
 def test_recall_and_scores(spark, monkeypatch, scaled):
     monkeypatch.setattr(neighbours, "SAMPLE", 1500)
@@ -52,7 +73,7 @@ def test_every_row_comes_from_the_scan(spark, monkeypatch):
     """Seeds give thresholds only: with a scan that finds nothing there is no result."""
     rows = frame(spark, [(i, [float(i % 7) + 1, float(i % 11), 1.0]) for i in range(100)])
     assert neighbours.nearest(rows, "id % 20 = 0").count() == 100
-    monkeypatch.setattr(neighbours, "scan", lambda blocks, query, limit, width: np.empty(0, int))
+    monkeypatch.setattr(neighbours, "scan_many", lambda blocks, queries, limits, width: (np.empty(0, int) for _ in queries))
     assert neighbours.nearest(rows, "id % 20 = 0").count() == 0
 
 
