@@ -85,8 +85,8 @@ def _value_tests(value: Column) -> dict[str, Column]:
     }
 
 
-def _evidence(value: Column, weight: Column) -> list[Column]:
-    """Aggregates that ``_verdict`` reads: weighted matches per semantic type, and the total."""
+def evidence_of(value: Column, weight: Column) -> list[Column]:
+    """Aggregates that ``verdict_of`` reads: weighted matches per semantic type, and the total."""
     trimmed = tx.trim_ws(value)
     shown = value.isNotNull() & (trimmed != "")
     sums = [F.sum(F.when(shown, weight).otherwise(0)).alias("_shown")]
@@ -95,7 +95,7 @@ def _evidence(value: Column, weight: Column) -> list[Column]:
     return sums
 
 
-def _verdict() -> Column:
+def verdict_of() -> Column:
     """First semantic type that a strong majority of the evidence matches, else ""."""
     verdict = F.lit("")
     for name in reversed(list(_value_tests(F.lit("")))):
@@ -107,7 +107,7 @@ def _verdict() -> Column:
 def semantic_type(counts: DataFrame, key: str, value: str = "value", weight: str | None = None) -> DataFrame:
     """Semantic type per key from (key, value) rows; each row counts once or ``weight`` times."""
     times = F.col(weight) if weight else F.lit(1)
-    return counts.groupBy(key).agg(*_evidence(F.col(value), times)).select(key, _verdict().alias("semantic"))
+    return counts.groupBy(key).agg(*evidence_of(F.col(value), times)).select(key, verdict_of().alias("semantic"))
 
 
 def classify_columns(values: DataFrame) -> DataFrame:
@@ -119,7 +119,7 @@ def classify_columns(values: DataFrame) -> DataFrame:
     value = tx.trim_ws(F.col("value"))
     shown = F.col("value").isNotNull() & (value != "")
     scored = values.groupBy("column").agg(
-        *_evidence(F.col("value"), F.lit(1)),
+        *evidence_of(F.col("value"), F.lit(1)),
         F.bool_and(F.when(shown, value.rlike(fv.INTEGER))).alias("_integers"),
         F.max("distinct").alias("distinct"),
     )
@@ -127,7 +127,7 @@ def classify_columns(values: DataFrame) -> DataFrame:
 
 
 def _classified(name: Column, distinct: Column, low_cardinality: int = fv.LOW_CARDINALITY) -> Column:
-    by_value = _verdict()
+    by_value = verdict_of()
     return (
         F.when(by_value != "", by_value)
         .when((distinct > 0) & (distinct <= low_cardinality), F.lit("enum"))
@@ -168,7 +168,7 @@ def profile(
         as_number = text.try_cast("double")
         measures += [F.min(as_number).alias("min_number"), F.max(as_number).alias("max_number")]
     if evidence == "all":
-        measures += _evidence(text, n)
+        measures += evidence_of(text, n)
     stats = freq.groupBy("ordinal").agg(*measures)
 
     # First values per column. Nulls sort last and are dropped after the ranking, so that this
@@ -185,7 +185,7 @@ def profile(
         F.bool_and(F.when(trimmed != "", trimmed.rlike(fv.INTEGER))).alias("_integers"),
     ]
     if evidence == "head":
-        first += _evidence(F.col("value"), F.lit(1))
+        first += evidence_of(F.col("value"), F.lit(1))
     head = ranked.groupBy("ordinal").agg(*first)
 
     # A null-safe join: an ordinary one would push "ordinal is not null" below one of the two
@@ -195,7 +195,7 @@ def profile(
     label = _lookup(dict(enumerate(columns)), F.col("ordinal"))
     distinct, no_values = F.col("distinct"), F.array().cast("array<string>")
     small = (distinct > 0) & (distinct <= low_cardinality)
-    semantic = _verdict() if evidence == "all" else _classified(label, distinct, low_cardinality)
+    semantic = verdict_of() if evidence == "all" else _classified(label, distinct, low_cardinality)
 
     def bound(side: str) -> Column:
         found = F.coalesce(*[F.col(f"{side}_{v}").cast("string") for v in names])
@@ -250,6 +250,22 @@ def head_per_group(df: DataFrame, n: int, group: list[str], order_by: list[str])
     return df.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= n).drop("_rank")
 
 
+def types_of(cells: DataFrame, key: list[str]) -> DataFrame:
+    """(key, type) from (key, v) rows: the type that all values of a key have; nulls count for nothing."""
+    v = F.col("v")
+    tests = {
+        "integer": tx.is_int64(v),
+        "number": tx.is_float64(v),
+        "boolean": F.lower(v).isin(fv.CSV_BOOLEAN_WORDS),
+        "date": tx.is_iso_date(v),
+    }
+    verdict = F.lit("string")
+    for name in reversed(list(tests)):
+        verdict = F.when(F.col(f"all_{name}"), F.lit(name)).otherwise(verdict)
+    judged = cells.groupBy(*key).agg(*[F.bool_and(F.when(v.isNotNull(), test)).alias(f"all_{name}") for name, test in tests.items()])
+    return judged.select(*key, verdict.alias("type"))
+
+
 def infer_csv_types(
     df: DataFrame,
     order_by: list[str],
@@ -269,27 +285,12 @@ def infer_csv_types(
         F.struct(F.lit(c).alias("column"), F.lit(i).alias("ordinal"), tx.blank_to_null(F.col(f"`{c}`")).alias("v"))
         for i, c in enumerate(columns)
     ])
-    v = F.col("v")
-    tests = {
-        "integer": tx.is_int64(v),
-        "number": tx.is_float64(v),
-        "boolean": F.lower(v).isin(fv.CSV_BOOLEAN_WORDS),
-        "date": tx.is_iso_date(v),
-    }
-    verdict = F.lit("string")
-    for name in reversed(list(tests)):
-        verdict = F.when(F.col(f"all_{name}"), F.lit(name)).otherwise(verdict)
     grouping = ([group] if group else []) + ["column", "ordinal"]
     seen = first.select(*keys, F.inline(cells))
     if group is None:  # every column has a row, even if the table has none
         none = df.sparkSession.createDataFrame([(c, i, None) for i, c in enumerate(columns)], "column string, ordinal int, v string")
         seen = seen.unionByName(none)
-    return (
-        seen
-        .groupBy(*grouping)
-        .agg(*[F.bool_and(F.when(v.isNotNull(), test)).alias(f"all_{name}") for name, test in tests.items()])
-        .select(*grouping, verdict.alias("type"))
-    )
+    return types_of(seen, grouping)
 
 
 _VARIANT_NAMES = {

@@ -110,6 +110,14 @@ def render_sample(rows: DataFrame, columns: list[str], order_by: list[str], key:
     return rows.groupBy(*keys).agg(F.concat(head, _sorted_text(names, "_line")).alias("text"))
 
 
+def render_listed_sample(rows: DataFrame, key: str = "path") -> DataFrame:
+    """``Sample`` tables of rows held as lists: (key, at, names, cells), names the same for all rows of a key."""
+    line = lambda cells: F.concat(F.lit("| "), F.array_join(F.transform(cells, tx.sanitize_cell), " | "), F.lit(" |\n"))
+    head = F.concat(line(F.col("names")), F.lit("| "), F.array_join(F.transform("names", lambda _: F.lit("---")), " | "), F.lit(" |\n"))
+    made = rows.select(key, "at", head.alias("_head"), line(F.col("cells")).alias("_line"))
+    return made.groupBy(key).agg(F.concat(F.first("_head"), _sorted_text(["at"], "_line")).alias("text"))
+
+
 def with_sections(bodies: DataFrame, sections: dict[str, DataFrame], key: str = "concept_id") -> DataFrame:
     """Bodies with level-2 sections put in, in the given order: {heading: DF[key, text]}."""
     out = bodies

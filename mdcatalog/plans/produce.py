@@ -10,6 +10,7 @@ from ..functions import markdown as md
 from ..functions import paths as pt
 from ..functions import text as tx
 from ..operators import cochange, profile, render, specs
+from ..sources import csv_corpus
 
 # Concept type, first tag and default description per kind of source.
 SQL_NAMES = {"sqlite": "SQLite", "mysql": "MySQL", "postgresql": "PostgreSQL", "bigquery": "BigQuery"}
@@ -148,6 +149,14 @@ def csv_concepts(types: DataFrame, root: str, timestamp: str, descriptions: Data
         tags=F.array(F.lit("csv"), F.lit("table")), timestamp=F.lit(timestamp), body=F.col("body"))
 
 
+def csv_sections(found: DataFrame, names: DataFrame, types: DataFrame, sample: int = 0) -> dict[str, DataFrame]:
+    """Data Profile and Sample texts per file of ``sources.readers.read_csv_files``: one plan each for all files, whatever their headers."""
+    out = {"Data Profile": render.render_profile(csv_corpus.profile_files(found, names, types), key="path")}
+    if sample:
+        out["Sample"] = render.render_listed_sample(csv_corpus.sample_texts(found, names, sample).join(names, "path"), key="path")
+    return out
+
+
 def collection_concepts(fields: DataFrame, uri: str, timestamp: str, bundle: str = "bundle") -> DataFrame:
     """Document collections: ``fields(collection, field, type, presence_pct)``."""
     rows = fields.select("collection", F.col("field").alias("ordinal"), F.col("field").alias("name"), "type", F.col("presence_pct").alias("presence"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +36,11 @@ def qualified(spark: SparkSession, path: str) -> str:
     return re.sub(r"^file:/+", "file:///", uri)
 
 
+def as_uri(spark: SparkSession, path: str) -> str:
+    """``qualified`` with everything escaped that a URI may not hold, for readers that parse it."""
+    return quote(qualified(spark, path), safe=":/@")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder of the session, or, for a local session without one, its own.
 
@@ -51,6 +57,11 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def new_folder(spark: SparkSession) -> str:
+    """The name of a new folder that driver and executors share."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and drop its lineage."""
     shared_folder(df.sparkSession)
@@ -63,6 +74,6 @@ def as_table(df: DataFrame) -> DataFrame:
     For results that several branches of a plan use, each with other columns: every branch
     scans only what it needs, and lost executors cost a re-read, not a recomputation.
     """
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,11 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import frontmatter as fm
-from ..functions import paths as pt
 from ..functions.rows import evaluate_once
 from ..operators import cochange
 from ..operators.profile import head_per_group
-from ..session import qualified
+from ..session import as_table, as_uri, qualified
+from . import csv_corpus, listing
+
 
 def _below(full: Column, folder: str) -> Column:
     """Part of a file URI below a folder."""
@@ -48,31 +49,14 @@ def _file_step(system_of: str):
     return F.pandas_udf(read, "string")
 
 
-def _hidden(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
-    """(uri, size, modified) of files that Spark's own listing leaves out: a name on their way starts with . or _.
-
-    Like Spark's own listing, this one passes through the driver, which keeps the hidden files only.
-    """
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(qualified(spark, folder))
-    found, out = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True), []
-    base = re.sub(r"^file:/+", "file:///", root.toString()).rstrip("/")
-    while found.hasNext():
-        status = found.next()
-        uri = re.sub(r"^file:/+", "file:///", status.getPath().toString())
-        if re.search(r"/[._]", uri[len(base):]):
-            out.append((uri, status.getLen(), status.getModificationTime()))
-    return out
-
-
 def _whole_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
+    """(path, content); names that Spark's own listing leaves out (one on their way starts with . or _) are listed and read by tasks."""
     files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
     seen = files.select(relative_path(folder).alias("path"), F.col("value").alias("content"))
-    hidden = [(uri,) for uri, _, _ in _hidden(spark, folder) if fnmatch.fnmatchcase(uri.rsplit("/", 1)[1], glob)]
-    if not hidden:
-        return seen
-    rows = spark.createDataFrame(hidden, "uri string")
-    read = _file_step(hidden[0][0])
-    return seen.unionByName(evaluate_once(rows, _below(F.col("uri"), folder).alias("path"), read(F.col("uri")).alias("content")))
+    wanted = F.substring_index("path", "/", -1).rlike("^" + fnmatch.translate(glob))
+    hidden = listing.tree(spark, folder).where(~F.col("is_dir") & F.col("path").rlike("(^|/)[._]") & wanted)
+    read = _file_step(as_uri(spark, folder))
+    return seen.unionByName(evaluate_once(hidden, "path", read(F.col("uri")).alias("content")))
 
 
 def read_bundle(spark: SparkSession, folder: str, bundle: str) -> DataFrame:
@@ -85,40 +69,44 @@ def read_specs(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     return _whole_files(spark, folder, glob).select(F.col("path").alias("spec"), "content")
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Untyped CSV with RFC 4180 quoting; short rows get NULL for their missing cells."""
-    return spark.read.csv(path, header=True, inferSchema=False, multiLine=True, quote='"', escape='"', mode="PERMISSIVE")
+def read_csv(spark: SparkSession, path: str, range_bytes: int = csv_corpus.RANGE_BYTES) -> DataFrame:
+    """Untyped CSV with RFC 4180 quoting, a file or a folder of files of one layout; short rows get NULL for their missing cells.
 
+    Large files are cut into ranges that tasks read, line breaks inside quotes or not.
+    """
+    return csv_corpus.wide(spark, csv_corpus.records(_files(spark, path), range_bytes))
 
-def file_inventory(spark: SparkSession, folder: str, patterns: list[str] | None = None, **ignore) -> DataFrame:
-    """(path, is_dir, size, modified): files below a folder and the directories that hold them.
 
-    Only listings are read: the content column is never touched.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    # The path column comes with the listing, so nothing is opened.
-    listed = files.select(
-        _below(F.col("path"), folder).alias("path"),
-        F.lit(False).alias("is_dir"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
-    hidden = spark.createDataFrame(_hidden(spark, folder), "uri string, size bigint, modified bigint")
-    listed = listed.unionByName(hidden.select(_below(F.col("uri"), folder).alias("path"), F.lit(False).alias("is_dir"), "size",
-                                              F.timestamp_millis("modified").alias("modified")))
-    if patterns is not None:
-        listed = cochange.drop_ignored(listed, patterns, **ignore)
-    dirs = listed.select(F.explode(pt.ancestors(F.col("path"))).alias("path")).distinct().select(
-        "path", F.lit(True).alias("is_dir"), F.lit(None).cast("bigint").alias("size"), F.lit(None).cast("timestamp").alias("modified"))
-    return listed.unionByName(dirs)
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, uri, size) of one file, or of the CSV files below a folder."""
+    uri = qualified(spark, path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    status = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(target)
+    if status.isDirectory():
+        return csv_files(spark, path)
+    return spark.createDataFrame([(target.getName(), as_uri(spark, path), status.getLen())], "path string, uri string, size bigint")
+
+
+def read_csv_files(spark: SparkSession, folder: str, patterns: list[str] | None = None, range_bytes: int = csv_corpus.RANGE_BYTES, **ignore) -> tuple[DataFrame, DataFrame]:
+    """(records, headers) of all CSV files below a folder, each with its own header, for the functions of ``csv_corpus``."""
+    found = as_table(csv_corpus.records(csv_files(spark, folder, patterns, **ignore), range_bytes))
+    return found, csv_corpus.headers(found)
+
+
+def file_inventory(spark: SparkSession, folder: str, patterns: list[str] | None = None, **ignore) -> DataFrame:
+    """(path, is_dir, size, modified) of files and directories below a folder, hidden and empty ones too; nothing is opened."""
+    return listing.tree(spark, folder, patterns, **ignore).select("path", "is_dir", "size", "modified")
 
 
 def csv_files(spark: SparkSession, folder: str, patterns: list[str] | None = None, **ignore) -> DataFrame:
-    """CSV files below a folder (any case of the extension), in path order."""
-    found = file_inventory(spark, folder, patterns, **ignore).where("NOT is_dir")
+    """(path, uri, size, modified) of CSV files below a folder (any case of the extension), in path order."""
+    found = listing.tree(spark, folder, patterns, **ignore).where("NOT is_dir").select("path", "uri", "size", "modified")
     return found.where(F.lower("path").endswith(".csv")).orderBy("path")
 
 
 def _config_text(spark: SparkSession, path: str) -> DataFrame:
     """(value): the text of one configuration file of any size, read by a task; no row when it does not exist."""
-    uri = qualified(spark, path)
+    uri = as_uri(spark, path)
     rows = spark.createDataFrame([(uri,)], "uri string")
     return evaluate_once(rows, _file_step(uri)(F.col("uri")).alias("value")).where("value IS NOT NULL")
 

@@ -15,7 +15,8 @@ from workload import check, star  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 FAST = ["profile_customer", "infer_csv_types", "fk_edges", "cochange_pairs", "ignore_filter", "frontmatter_parse", "parse_columns",
-        "broken_links", "graph_degree", "merge_concepts", "drift_columns", "openapi_endpoints", "graphql_types", "upsert_section"]
+        "broken_links", "graph_degree", "merge_concepts", "drift_columns", "openapi_endpoints", "graphql_types", "upsert_section",
+        "csv_file_profiles", "csv_range_cells", "file_tree"]
 NAMES = [n for n in entry.queries() if n in entry.oracle_sql()] if os.environ.get("MDCATALOG_ALL_QUERIES") else FAST
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")

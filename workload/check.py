@@ -61,7 +61,7 @@ def main() -> int:
     from mdcatalog.session import build_session
 
     from . import star
-    from . import queries_more  # noqa: F401  (registers its queries)
+    from . import queries_files, queries_more  # noqa: F401  (register their queries)
     from .queries import ORACLES, QUERIES
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.001"
