@@ -1,10 +1,14 @@
-"""Session settings and lineage cutting."""
+"""Session settings, and intermediate tables that go when they are no longer needed."""
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
+from contextvars import ContextVar
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,23 +61,78 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Where tables are written: the innermost scratch folder, or a folder of this process.
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+_process: dict[str, str] = {}
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder with all that is in it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _process_folder(spark: SparkSession) -> str:
+    """A folder of this process, deleted when it ends."""
+    base = shared_folder(spark)
+    if base not in _process:
+        folder = _process[base] = f"{base}/{uuid.uuid4().hex}"
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+        def clean() -> None:
+            with suppress(Exception):  # the session's process may be gone already
+                system.delete(target, True)
+
+        atexit.register(clean)
+    return _process[base]
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A folder for all intermediate tables made inside, deleted on leaving.
+
+    A result is computed inside, too: written by its user, or by the given function, which writes a table that
+    stays and belongs to what is around.
+    """
+    outer = _scratch.get()
+    folder = f"{outer or _process_folder(spark)}/{uuid.uuid4().hex}"
+    token = _scratch.set(folder)
+    try:
+        yield lambda df: _written(df, f"{outer or _process_folder(spark)}/{uuid.uuid4().hex}")
+    finally:
+        _scratch.reset(token)
+        delete(spark, folder)
+
+
 def new_folder(spark: SparkSession) -> str:
     """The name of a new folder that driver and executors share."""
-    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    return f"{_scratch.get() or _process_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and drop its lineage."""
+    """Materialise ``df`` and drop its lineage: as a checkpoint, or, inside of a scratch folder, as a table there."""
+    if _scratch.get():
+        return as_table(df)
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def as_table(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     For results that several branches of a plan use, each with other columns: every branch
     scans only what it needs, and lost executors cost a re-read, not a recomputation.
     """
-    path = new_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _written(df, new_folder(df.sparkSession))
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a table that ``as_table`` or a scratch folder's function wrote."""
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        delete(df.sparkSession, folder)

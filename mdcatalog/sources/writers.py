@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.frontmatter import render_scalar
 from ..operators import docs, graph, merge
-from ..session import qualified, shared_folder
+from ..session import delete, new_folder, qualified
 
 def write_files(files: DataFrame, folder: str) -> int:
     """Write (path, content) rows below ``folder``; returns how many were written."""
@@ -54,7 +54,7 @@ def _write_lines(lines: DataFrame, order: list[Column], folder: str, name: str,
     their names, into the file under a temporary name, and moves it.
     """
     spark = lines.sparkSession
-    parts, folder = f"{qualified(spark, shared_folder(spark))}/{uuid.uuid4().hex}", qualified(spark, folder)
+    parts, folder = qualified(spark, new_folder(spark)), qualified(spark, folder)
     lines.orderBy(*order).select("line").write.text(parts)
 
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -76,6 +76,7 @@ def _write_lines(lines: DataFrame, order: list[Column], folder: str, name: str,
             yield pd.DataFrame({"n": [len(batch)]})
 
     spark.range(1, numPartitions=1).mapInPandas(join, "n bigint").collect()
+    delete(spark, parts)
     return f"{folder.rstrip('/')}/{name}"
 
 
