@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdcatalog.session import as_table, cut_lineage
+from mdcatalog.session import as_table, cut_lineage, new_folder
 
 #: A side of a join is broadcast only if its counted rows stay below this.
 BROADCAST_ROWS = 200_000
@@ -29,8 +28,11 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches by bytes, so that long texts do not pile up in a worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    """Bound the Arrow batches by bytes, so that long texts do not pile up in a worker; a lower bound of the session stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(key, None)
+    if held is None or not held.isdigit() or int(held) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def map_batches(df: DataFrame, step: Callable, schema, prepare: Callable | None = None) -> DataFrame:
@@ -119,10 +121,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the session's checkpoint folder."""
-    from mdcatalog import session
-
-    return f"{session.shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    """A new folder that driver and executors share."""
+    return f"{new_folder(spark)}-{purpose}"
 
 
 __all__ = ["as_table", "cut_lineage"]

@@ -40,8 +40,8 @@ def test_one_document_of_each_class_stays(steps):
 
 
 def test_leaks_and_secrets_go_and_the_rest_stays(spark, steps):
-    items = [grams(r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
-    leaks = lambda r: any(g and len(g & grams(r["text"])) >= 0.8 * len(g) for g in items)
+    items = [grams(r["text"], 5) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    leaks = lambda r: any(g and len(g & grams(r["text"], 5)) >= 0.8 * len(g) for g in items)
     assert ids(steps["decontamination"]) == {r["doc_id"] for r in steps["near_duplicates"] if not leaks(r)}
     holds = lambda r: any(k in secrets.REJECT for _, _, k, _ in secrets.find(r["text"], SCAN))
     assert ids(steps["secrets"]) == {r["doc_id"] for r in steps["decontamination"] if not holds(r)}
