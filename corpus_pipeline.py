@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mdcatalog.llm import decontamination, mixing, near_dedup, secrets, toxicity
-from mdcatalog.llm.common import as_table, fresh
+from mdcatalog.llm.common import fresh
+from mdcatalog.session import drop_table, scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +19,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the threshold, by a model learnt from the labels that are not held out."""
+    """Documents that score below the threshold, by a model learnt from the labels that are not held out.
+
+    Null texts are scored as empty ones, repeated rows alike; without labels of toxic texts every score is 0 and all rows stay; an
+    empty table stays empty.
+    """
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"), ~toxicity.held_out())
     score = fresh(docs, "toxicity_score")
     return toxicity.score_texts(docs, model, into=score).where(F.col(score) < toxicity.THRESHOLD).drop(score)
@@ -30,17 +35,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; null and empty texts hold none, repeated rows go or stay together, an empty table stays empty."""
     return decontamination.without_leaks(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a credential; bare runs of hexadecimal digits do not count as one."""
+    """Documents without a credential; bare runs of hexadecimal digits do not count as one.
+
+    Null and empty texts stay, repeated rows go or stay together, an empty table stays empty.
+    """
     return secrets.without_secrets(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of every document the mix takes."""
+    """How many words of every document the mix takes: one row per row, also of null and empty texts (0 words) and repeated ids; none of an empty table."""
     mixed = mixing.mix(docs, mixing.label_weights(_table(spark, sf_dir, "labels")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
@@ -58,8 +66,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to documents."""
-    docs = _table(spark, sf_dir, "documents")
+    """Apply all stages to documents; what a stage wrote is deleted once the next has read it."""
+    docs, last = _table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
-        docs = as_table(stage(spark, docs, sf_dir))
+        with scratch(spark) as keep:
+            docs = keep(stage(spark, docs, sf_dir))
+        if last is not None:
+            drop_table(last)
+        last = docs
     return docs
