@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mdcatalog.plans import produce
-from mdcatalog.sources import csv_corpus, listing, readers
+from mdcatalog.sources import csv_corpus, history, listing, readers
 
 
 def made_up(rng, rows):
@@ -111,3 +111,51 @@ def test_tree_by_levels(spark, tmp_path):
     assert listing.tree(spark, str(tmp_path / "nowhere")).count() == 0
     found = listing.tree(spark, str(tmp_path)).where("path = 'top.txt'").select("uri", F.unix_timestamp("modified").alias("at")).first()
     assert found["uri"].endswith("/top.txt") and abs(found["at"] - os.path.getmtime(tmp_path / "top.txt")) < 2
+
+
+LOG = """warning: something printed before
+commit 1111111111111111111111111111111111111111 (HEAD -> main, tag: v1)
+Merge: 2222222 3333333
+Author: A B <a@b.c>
+Date:   2024-01-02T03:04:05+02:00
+
+    Merge branch
+
+commit 2222222222222222222222222222222222222222
+Author: Ünal <u@x>
+Date:   2024-01-01T00:00:00Z
+
+    Subject
+
+    commit 3333333
+    Author: somebody else
+    \x20
+a b.txt
+"t\\303\\244b\\t\\"q\\".txt"
+dir/c.txt
+
+commit 4444444444444444444444444444444444444444
+Author: A B <a@b.c>
+Date:   someday
+
+    Only this
+"""
+
+
+@pytest.mark.parametrize("size", [20, 64, 10_000])
+def test_history_in_ranges(spark, tmp_path, size):
+    text = LOG.replace("\\x20", " ").replace("\\\\", "\\")
+    (tmp_path / "a.log").write_text(text, encoding="utf-8")
+    (tmp_path / "b.log").write_text(text.replace("2222222222222222222222222222222222222222", "5" * 40) + "\nlast.txt", encoding="utf-8")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        blocks = history.lines(spark, str(tmp_path)).select("file", "block").distinct().count()
+        rows = [tuple(r) for r in history.read_history(spark, str(tmp_path)).selectExpr("commit_id", "author", "unix_timestamp(at)", "message", "path").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert blocks == 2 if size == 10_000 else blocks > 10
+    message = "Subject\n\ncommit 3333333\nAuthor: somebody else"
+    expected = [(c * 40, "Ünal", 1704067200, message, p) for c in "25" for p in ("a b.txt", 'täb\t"q".txt', "dir/c.txt")]
+    expected.append(("4" * 40, "A B", None, "Only this", "last.txt"))
+    assert sorted(map(repr, rows)) == sorted(map(repr, expected))

@@ -1,4 +1,4 @@
-"""Queries over files: the tables are written as CSV files to the shared folder, then listed and read back.
+"""Queries over files: the tables are written as CSV files and text logs to the shared folder, then listed and read back.
 
 Every eight customers make a file, in one of six layouts with headers of their own; some cells hold quotes and line
 breaks, some rows are short.
@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mdcatalog.operators import cochange
 from mdcatalog.session import new_folder
-from mdcatalog.sources import csv_corpus, listing, readers, writers
+from mdcatalog.sources import csv_corpus, history, listing, readers, writers
 
 from . import star
 from .queries import _SEMANTIC, _evidence_sql, query
@@ -94,3 +95,45 @@ def csv_range_cells(spark, sf) -> DataFrame:
     UNION ALL SELECT DISTINCT split_part(path, '/', 1), true, CAST(NULL AS BIGINT) FROM ({LINES}) WHERE path NOT LIKE 'set3/%'""")
 def file_tree(spark, sf) -> DataFrame:
     return listing.tree(spark, _write(spark, sf), ["/set3/", "*.CSV"]).select("path", "is_dir", "size")
+
+
+# --- history: an order is a commit, the suppliers of its lines are the files ------------------------
+
+_COMMIT = "md5(CAST(o_orderkey AS STRING))"
+_MESSAGE = f"'Order ' || CAST(o_orderkey AS STRING) || {_BREAK} || {_BREAK} || '  commit deadbeef' || {_BREAK} || 'Author: ' || o_orderstatus"
+COMMITS = f"""SELECT DISTINCT {_COMMIT} AS commit_id, 'Clerk ' || CAST(o_custkey AS STRING) AS author, o_orderdate AS made, {_MESSAGE} AS message,
+    'supplier/' || CASE WHEN l_suppkey % 9 = 0 THEN 'ä "' || CAST(l_suppkey AS STRING) || '"' ELSE CAST(l_suppkey AS STRING) END AS path FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey"""
+
+
+def _write_log(spark: SparkSession, sf: str) -> str:
+    """Folder of logs of a thousand orders each, as the version control tool prints them."""
+    rows = star.run_sql(spark, sf, COMMITS.replace("SELECT DISTINCT", "SELECT DISTINCT o_orderkey AS row,"))
+    octal = F.replace(F.replace(F.replace("path", F.lit('"'), F.lit('\\"')), F.lit("ä"), F.lit("\\303\\244")), F.lit("\t"), F.lit("\\t"))
+    named = rows.withColumn("path", F.when(F.col("path").contains('"'), F.concat(F.lit('"'), octal, F.lit('"'))).otherwise(F.col("path")))
+    message = F.array_join(F.transform(F.split("message", "\n"), lambda m: F.concat(F.lit("    "), m, F.lit("\n"))), "")
+    text = F.concat(F.lit("commit "), "commit_id", F.lit("\nAuthor: "), "author", F.lit(" <a@b.c>\nDate:   "), F.date_format("made", "yyyy-MM-dd'T'HH:mm:ss'+00:00'"),
+                    F.lit("\n\n"), message, F.lit("\n"), F.array_join(F.array_sort("paths"), "\n"), F.lit("\n\n"))
+    one = named.groupBy("row", "commit_id", "author", "made", "message").agg(F.collect_list("path").alias("paths")).select("row", text.alias("text"))
+    files = one.groupBy(F.floor(F.col("row") / 1000).alias("file")).agg(F.array_sort(F.collect_list(F.struct("row", "text"))).alias("texts"))
+    folder = new_folder(spark)
+    writers.write_files(files.select(F.concat(F.lit("log"), F.col("file").cast("string"), F.lit(".txt")).alias("path"),
+                                     F.array_join(F.transform("texts", lambda t: t["text"]), "").alias("content")), folder)
+    return folder
+
+
+@query(f"""SELECT path, commit_id, author, CAST(made AS STRING) AS "at", message FROM (
+    SELECT *, row_number() OVER (PARTITION BY path ORDER BY made DESC, commit_id DESC) AS r FROM ({COMMITS})) x WHERE r = 1""")
+def history_last_change(spark, sf) -> DataFrame:
+    last = cochange.latest_change(history.read_history(spark, _write_log(spark, sf)))
+    return last.select("path", "commit_id", "author", F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("at"), "message")
+
+
+@query(f"""SELECT commit_id, count(*) AS paths, min(path) AS first, max(author) AS author FROM ({COMMITS}) GROUP BY commit_id""")
+def history_commits(spark, sf) -> DataFrame:
+    found = history.read_history(spark, _write_log(spark, sf))
+    return found.groupBy("commit_id").agg(F.count(F.lit(1)).alias("paths"), F.min("path").alias("first"), F.max("author").alias("author"))
+
+
+@query(f"""SELECT a.path AS a, b.path AS b, count(*) AS n FROM ({COMMITS}) a JOIN ({COMMITS}) b ON a.commit_id = b.commit_id AND a.path < b.path GROUP BY 1, 2 HAVING count(*) >= 2""")
+def history_cochange(spark, sf) -> DataFrame:
+    return cochange.cochange_pairs(cochange.change_sets(history.read_history(spark, _write_log(spark, sf))))
