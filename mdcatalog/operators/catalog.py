@@ -13,10 +13,8 @@ them from schemas), for any number of databases at once; ``schema`` is part of e
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import text as tx
 
@@ -114,41 +112,28 @@ def unique_from_indexes(index_columns: DataFrame) -> DataFrame:
                         F.array_join("columns", ", ").alias("definition"))
 
 
-def _check_step():
-    """DDL text -> balanced expressions that follow the word CHECK, by value for the workers."""
-    def scan(ddl: str) -> list[str]:
-        import re
+def _check_expressions(ddl: Column) -> Column:
+    """The balanced expressions that follow the word CHECK, in order; an expression that never closes ends the search.
 
-        found, at = [], 0
-        word, paren = re.compile(r"check[ \t\n]*\(", re.IGNORECASE), re.compile(r"[()]")
-        while match := word.search(ddl, at):
-            depth, end = 1, None
-            for p in paren.finditer(ddl, match.end()):
-                depth += 1 if p.group() == "(" else -1
-                if depth == 0:
-                    end = p.start()
-                    break
-            if end is None:
-                break
-            found.append(ddl[match.end():end].strip())
-            at = end + 1
-        return found
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def check_expressions(ddl: pd.Series) -> pd.Series:
-        return ddl.map(scan, na_action="ignore")
-
-    return check_expressions
+    The text is cut behind every parenthesis; one pass over the pieces keeps the nesting depth, 0 outside of a check.
+    """
+    state = "struct<depth:int,open:string,done:array<string>>"
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("open"), F.array().cast("array<string>").alias("done")).cast(state)
 
+    def step(s: Column, piece: Column) -> Column:
+        inside = s["depth"] > 0
+        begins = ~inside & piece.rlike(r"(?i)check[ \t\n]*\($")
+        depth = F.when(begins, 1).when(~inside, 0).when(piece.endswith("("), s["depth"] + 1).otherwise(s["depth"] - 1)
+        ends = inside & (depth == 0)
+        whole = F.concat(s["open"], F.substring(piece, F.lit(1), F.length(piece) - 1))
+        return F.struct(depth.alias("depth"), F.when(inside & ~ends, F.concat(s["open"], piece)).otherwise("").alias("open"),
+                        F.when(ends, F.array_append(s["done"], tx.trim_ws(whole))).otherwise(s["done"]).alias("done")).cast(state)
 
-_check_expressions = _check_step()
+    return F.aggregate(F.regexp_extract_all(ddl, F.lit(r"[^()]*+[()]"), 0), start, step, lambda s: s["done"])
 
 
 def ddl_checks(ddl: DataFrame) -> DataFrame:
-    """Check constraints from CREATE TABLE text: (schema, table, ddl) -> check_1 ... check_n.
-
-    Parentheses nest, so a small vectorised scan is used; only DDL that says CHECK is sent.
-    """
+    """Check constraints from CREATE TABLE text: (schema, table, ddl) -> check_1 ... check_n."""
     saying = ddl.where(F.lower("ddl").contains("check"))
-    return saying.select("schema", "table", F.posexplode(_check_expressions("ddl")).alias("_no", "definition")).select(
+    return saying.select("schema", "table", F.posexplode(_check_expressions(F.col("ddl"))).alias("_no", "definition")).select(
         "schema", "table", F.concat(F.lit("check_"), F.col("_no") + 1).alias("name"), F.lit("CHECK").alias("type"), "definition")

@@ -1,6 +1,7 @@
 import itertools
 import os
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -92,6 +93,33 @@ def test_ddl_checks(spark):
     assert [(r["name"], r["definition"]) for r in rows] == [("check_1", "a > (1)"), ("check_2", "fn_check(b)")]
 
 
+def scanned(ddl):
+    """Check expressions by counting parentheses."""
+    found, at = [], 0
+    while match := re.compile(r"check[ \t\n]*\(", re.I).search(ddl, at):
+        depth, end = 1, match.end()
+        while end < len(ddl) and depth:
+            depth += {"(": 1, ")": -1}.get(ddl[end], 0)
+            end += 1
+        if depth:
+            break
+        found.append(ddl[match.end():end - 1].strip())
+        at = end
+    return found
+
+
+def test_ddl_checks_equal_a_scan(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice(["check", "CHECK ", "(", ")", "a", " ", "\n", "b > 1", "uncheck"]) for _ in range(rng.randrange(60))) for _ in range(300)]
+    df = spark.createDataFrame([("s", str(i), t) for i, t in enumerate(texts)], "schema string, table string, ddl string")
+    got: dict = {}
+    found = catalog.ddl_checks(df)
+    for r in found.collect():
+        got.setdefault(int(r["table"]), {})[r["name"]] = r["definition"]
+    assert got == {i: {f"check_{k + 1}": e for k, e in enumerate(scanned(t))} for i, t in enumerate(texts) if scanned(t)}
+    assert "Python" not in found._jdf.queryExecution().toString()
+
+
 OPENAPI = """
 openapi: 3.0.0
 info: {title: Shop, version: "1"}
