@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from mdcatalog.llm.common import cut_lineage, map_batches, text_or_empty
+from mdcatalog.llm.common import as_table, cut_lineage, map_batches, text_or_empty
 
 #: Bounds of the training sample: rows by a hash of their id, whatever the size of the corpus.
 POSITIVES = 5_000
@@ -170,8 +170,25 @@ def _fit_one(pos: list[np.ndarray], unl: list[np.ndarray], active: np.ndarray, p
 
 
 def _features_of(batch: pa.RecordBatch, hashes: FeatureHashes) -> pa.RecordBatch:
-    found = [features(t, hashes).tobytes() for t in batch.column(2).to_pylist()]
-    return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["doc_id", "positive", "features"])
+    found = [features(t, hashes) for t in batch.column(2).to_pylist()]
+    return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "positive", "features"])
+
+
+def telling(found: DataFrame) -> np.ndarray:
+    """The features that tell positives from unlabelled texts, in order: counted and chosen by tasks, 2^BITS numbers at most.
+
+    Borderline ones take part; ``fit`` chooses among them in the same way.
+    """
+    sizes = found.agg(F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("unl")).first()
+    if not sizes["pos"] or not sizes["unl"]:
+        return np.zeros(0, np.int32)
+    n_pos, n_unl = F.lit(float(sizes["pos"])), F.lit(float(sizes["unl"]))
+    seen = found.select("positive", F.explode("features").alias("feature")).groupBy("feature").agg(
+        F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("unl"))
+    share = (F.col("pos") + F.col("unl") + 1) / (n_pos + n_unl + 2)
+    distance = (F.col("pos") / n_pos - F.col("unl") / n_unl) / F.sqrt(share * (1 - share) * (1 / n_pos + 1 / n_unl))
+    chosen = seen.where((F.abs(distance) >= SELECT - 1e-6) & (F.col("pos") + F.col("unl") >= 3)).select("feature").collect()
+    return np.sort(np.array([r["feature"] for r in chosen], np.int32))
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, prior: float | None = None,
@@ -179,7 +196,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, prior
     """Fit a model from (doc_id, text) and (doc_id, toxic).
 
     ``learn`` (over ``doc_id``) says from which rows to learn. At most ``positives`` confirmed texts and
-    ``unlabelled`` of all texts are taken, by a hash of the id; the driver gets their feature numbers only.
+    ``unlabelled`` of all texts are taken, by a hash of the id; the driver gets the numbers of those
+    features only that tell the two apart.
     Without ``prior``, it is the share of toxic rows among all labels that may be learnt from. Labels with
     null ids or values are left out; of several labels of a text the toxic one counts. Without positives
     or unlabelled texts the model scores 0.
@@ -199,8 +217,14 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, prior
     # both lists have a fixed bound
     chosen = cut_lineage(toxic.unionByName(other).distinct())
     sample = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "positive", "text")
-    found = map_batches(sample, _features_of, "doc_id bigint, positive boolean, features binary", FeatureHashes)
-    vectors = [(r["doc_id"], r["positive"], r["features"]) for r in found.collect()]
+    found = as_table(map_batches(sample, _features_of, "doc_id bigint, positive boolean, features array<int>", FeatureHashes))
+    parts = telling(found)
+
+    def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
+        held = [(row := np.asarray(x, np.int32))[np.isin(row, parts, assume_unique=True)].tobytes() for x in batch.column(2).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(held, pa.binary())], names=["doc_id", "positive", "features"])
+
+    vectors = [(r["doc_id"], r["positive"], r["features"]) for r in map_batches(found, keep, "doc_id bigint, positive boolean, features binary").collect()]
     vectors.sort()
     pick = lambda positive: [np.frombuffer(f, np.int32) for _, p, f in vectors if p == positive]
     return fit(pick(True), pick(False), prior)

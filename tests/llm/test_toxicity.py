@@ -42,6 +42,21 @@ def test_held_out_rows_are_not_learnt_from_and_accuracy(spark):
     assert values(toxicity.score_documents(docs, turned)) == values(toxicity.score_documents(docs, labels))
 
 
+def test_features_chosen_by_tasks_give_the_model_of_all_features(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    held = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    known: dict = {}
+    for r in labels.collect():
+        if not held(r["doc_id"]):
+            known[r["doc_id"]] = max(known.get(r["doc_id"], 0), r["toxic"])
+    hashes = toxicity.FeatureHashes()
+    found = [(r["doc_id"], toxicity.features(r["text"] or "", hashes)) for r in docs.orderBy("doc_id").collect() if not held(r["doc_id"])]
+    expected = toxicity.fit([f for i, f in found if known.get(i) == 1], [f for _, f in found], sum(known.values()) / len(known))
+    model = toxicity.train(docs, labels, ~toxicity.held_out())
+    assert np.array_equal(model.weights, expected.weights) and np.array_equal(model.bias, expected.bias) and np.abs(model.weights).max() > 0
+
+
 def test_odd_rows(spark):
     none = spark.createDataFrame([], "doc_id bigint, toxic int, quality int")
     rows = [(1, None), (1, None), (None, ""), (2, "idiot " * 50_000)]
