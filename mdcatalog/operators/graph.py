@@ -251,25 +251,21 @@ def _both_ways(edges: DataFrame) -> DataFrame:
 
 
 def _next_hop(adjacent: DataFrame, frontier: DataFrame, visited: DataFrame) -> DataFrame:
-    """Unvisited neighbours of the frontier with their smallest predecessor.
+    """Unvisited neighbours of the frontier.
 
     Edges are the streamed side, so a hub is split by the adaptive skew join; neighbours are
     reduced to one row each before they meet the visited set.
     """
     reached = adjacent.join(frontier.select("bundle", F.col("id").alias("a")), ["bundle", "a"])
-    fresh = reached.groupBy("bundle", F.col("b").alias("id")).agg(F.min("a").alias("parent"))
+    fresh = reached.select("bundle", F.col("b").alias("id")).distinct()
     return fresh.join(visited.select("bundle", "id"), ["bundle", "id"], "left_anti")
 
 
-def _walk(edges: DataFrame, seeds: DataFrame, hops: int | None, stop: Column | None = None) -> DataFrame:
-    """(bundle, id, parent, hop) for every node within ``hops`` of the seeds; without a number, for every one that can be reached."""
+def n_hop(edges: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
+    """Nodes within ``hops`` undirected steps of the (bundle, id) seeds; 0 hops: the seeds."""
     adjacent = cut_lineage(_both_ways(edges))
-    layer = seeds.select("bundle", "id").distinct().select(
-        "bundle", "id", F.lit(None).cast("string").alias("parent"), F.lit(0).alias("hop"))
-    visited = layer = cut_lineage(layer)
-    for hop in itertools.count(1) if hops is None else range(1, hops + 1):
-        if stop is not None and not layer.where(stop).isEmpty():
-            break
+    visited = layer = cut_lineage(seeds.select("bundle", "id").distinct().select("bundle", "id", F.lit(0).alias("hop")))
+    for hop in range(1, hops + 1):
         layer = cut_lineage(_next_hop(adjacent, layer, visited).withColumn("hop", F.lit(hop)))
         if layer.isEmpty():
             break
@@ -277,26 +273,50 @@ def _walk(edges: DataFrame, seeds: DataFrame, hops: int | None, stop: Column | N
     return visited
 
 
-def n_hop(edges: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
-    """Nodes within ``hops`` undirected steps of the (bundle, id) seeds; 0 hops: the seeds."""
-    return _walk(edges, seeds, hops).select("bundle", "id", "hop")
+def _reach(edges: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(bundle, start, id, parent, hop) of the nodes around every start, until all its ends are reached or nothing is left."""
+    adjacent = cut_lineage(_both_ways(edges))
+    key = ["bundle", "start", "id"]
+    ends = pairs.select("bundle", "start", F.col("end").alias("id"))
+    visited = layer = cut_lineage(pairs.select("bundle", "start").distinct().select(
+        "bundle", "start", F.col("start").alias("id"), F.lit(None).cast("string").alias("parent"), F.lit(0).alias("hop")))
+    for hop in itertools.count(1):
+        open_ = cut_lineage(ends.join(visited, key, "left_anti").select("bundle", "start").distinct())
+        frontier = layer.join(open_, ["bundle", "start"], "left_semi").select("bundle", "start", F.col("id").alias("a"))
+        found = adjacent.join(frontier, ["bundle", "a"]).groupBy("bundle", "start", F.col("b").alias("id")).agg(F.min("a").alias("parent"))
+        layer = cut_lineage(found.join(visited, key, "left_anti").withColumn("hop", F.lit(hop)))
+        if layer.isEmpty():
+            return visited
+        visited = visited.unionByName(layer)
+        if hop % 8 == 0:  # the plan does not grow with the hops
+            visited = cut_lineage(visited)
 
 
-def shortest_path(edges: DataFrame, bundle: str, start: str, end: str) -> DataFrame:
-    """(step, id) along a shortest undirected path of any length; empty when there is none.
+def shortest_paths(edges: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(bundle, start, end, step, id) along a shortest undirected path of every pair (bundle, start, end); none where there is no path.
 
-    Between equally short paths the one with the smallest predecessor at each node is taken.
-    The driver reads one node per step of the path.
+    Between equally short paths the one with the smallest predecessor at each node is taken. All pairs are searched together,
+    one layer of all starts after the other. Paths are read back by doubling: who knows the ancestors up to 2^k steps away
+    knows those up to 2^(k+1) after one join of the ancestors 2^k away, so the number of joins is the logarithm of the longest path.
     """
-    spark = edges.sparkSession
-    edges = edges.where(F.col("bundle") == bundle)
-    seed = spark.createDataFrame([(bundle, start)], "bundle string, id string")
-    reached = _walk(edges, seed, None, stop=F.col("id") == end)
-    path, here = [], end
-    while here is not None:
-        row = reached.where(F.col("id") == here).select("parent").first()
-        if row is None:
-            break
-        path.insert(0, here)
-        here = row["parent"]
-    return spark.createDataFrame(list(enumerate(path)), "step int, id string")
+    pairs = cut_lineage(pairs.select("bundle", "start", "end").distinct())
+    reached = cut_lineage(_reach(edges, pairs))
+    found = pairs.join(reached.select("bundle", "start", F.col("id").alias("end"), "hop"), ["bundle", "start", "end"])
+    path = cut_lineage(found.select("bundle", "start", "end", F.col("hop").alias("step"), F.col("end").alias("id")))
+    longest = path.agg(F.max("step")).first()[0] or 0
+    up = reached.where("parent IS NOT NULL").select("bundle", "start", "id", F.col("parent").alias("above"))
+    known = 1
+    while known <= longest:
+        higher = path.join(up, ["bundle", "start", "id"]).select("bundle", "start", "end", (F.col("step") - known).alias("step"), F.col("above").alias("id"))
+        path = cut_lineage(path.unionByName(higher))
+        known *= 2
+        if known <= longest:
+            up = cut_lineage(up.join(up.select("bundle", "start", F.col("id").alias("above"), F.col("above").alias("further")), ["bundle", "start", "above"])
+                             .select("bundle", "start", "id", F.col("further").alias("above")))
+    return path
+
+
+def shortest_path(edges: DataFrame, bundle: str, start: str, end: str) -> DataFrame:
+    """(step, id) along a shortest undirected path of any length; empty when there is none. See ``shortest_paths``."""
+    pair = edges.sparkSession.createDataFrame([(bundle, start, end)], "bundle string, start string, end string")
+    return shortest_paths(edges.where(F.col("bundle") == bundle), pair).select("step", "id").orderBy("step")

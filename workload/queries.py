@@ -792,6 +792,28 @@ def subgraph(spark, sf):
     return graph.subgraph(nodes, edges, ids)[1].select("source", "target", "kind", "relation")
 
 
+_PAIRS_OF_NODES = "SELECT 'customers/' || CAST(c_custkey AS STRING) AS start, 'nations/' || CAST((c_custkey * 7) % 25 AS STRING) AS finish FROM {customer} WHERE c_custkey <= 100"
+
+
+def _paths_sql(hops: int) -> str:
+    """Layers around each start, then the way back from each end, a step at a time."""
+    layers = [f"l0 AS (SELECT DISTINCT start, start AS id, CAST(NULL AS STRING) AS parent, 0 AS hop FROM ({_PAIRS_OF_NODES}))", "s0 AS (SELECT * FROM l0)"]
+    for k in range(1, hops + 1):
+        layers += [f"l{k} AS (SELECT l.start, b AS id, min(a) AS parent, {k} AS hop FROM l{k - 1} l JOIN both_ways ON a = l.id LEFT JOIN s{k - 1} s ON s.start = l.start AND s.id = b WHERE s.id IS NULL GROUP BY l.start, b)",
+                   f"s{k} AS (SELECT * FROM s{k - 1} UNION ALL SELECT * FROM l{k})"]
+    back = [f"p0 AS (SELECT p.start, p.finish, s.hop AS step, s.id, s.parent FROM ({_PAIRS_OF_NODES}) p JOIN s{hops} s ON s.start = p.start AND s.id = p.finish)"]
+    back += [f"p{k} AS (SELECT p.start, p.finish, s.hop AS step, s.id, s.parent FROM p{k - 1} p JOIN s{hops} s ON s.start = p.start AND s.id = p.parent)" for k in range(1, hops + 1)]
+    rows = " UNION ALL ".join(f"SELECT start, finish, step, id FROM p{k}" for k in range(hops + 1))
+    return _GRAPH + ", " + ", ".join([_BOTH, *layers, *back]) + " " + rows
+
+
+@query(_paths_sql(5))
+def shortest_paths(spark, sf):
+    """From a hundred customers to a nation each, by links and directories."""
+    pairs = star.run_sql(spark, sf, _PAIRS_OF_NODES).select(F.lit(star.BUNDLE).alias("bundle"), "start", F.col("finish").alias("end"))
+    return graph.shortest_paths(graph.graph_edges(v1(spark, sf)), pairs).select("start", F.col("end").alias("finish"), "step", "id")
+
+
 @query(f"""WITH RECURSIVE {V1},
   walk AS (
     SELECT concept_id AS id, lower(concept_id || ' ' || title || ' ' || type || ' star ' || tag) AS text, 0 AS k, 1 AS pos, 0 AS score, 0 AS streak, 0 AS first FROM v1
