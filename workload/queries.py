@@ -60,17 +60,27 @@ DEGREE = """degree AS (SELECT concept_id, CAST(sum(n) AS BIGINT) AS degree FROM
     SELECT source_id AS concept_id, n FROM working UNION ALL SELECT target_id, n FROM working) e GROUP BY concept_id)"""
 
 
-def _concept_table(spark: SparkSession, sf: str, version: int) -> DataFrame:
-    """The bundle, rendered and parsed anew and written as a table for the branches of one query."""
-    return as_table(docs.parse_concepts(star.bundle(spark, sf, version)))
+#: What nodes of the graph are made of.
+NODE = ("type", "title", "description", "resource", "tags")
 
 
-def v1(spark: SparkSession, sf: str) -> DataFrame:
-    return _concept_table(spark, sf, 1)
+def parsed(spark: SparkSession, sf: str, version: int = 1) -> DataFrame:
+    """The bundle, rendered and parsed anew, for queries of one branch."""
+    return docs.parse_concepts(star.bundle(spark, sf, version))
 
 
-def v2(spark: SparkSession, sf: str) -> DataFrame:
-    return _concept_table(spark, sf, 2)
+def _concept_table(spark: SparkSession, sf: str, version: int, columns: tuple[str, ...]) -> DataFrame:
+    """What the branches of one query need of the bundle, written as a table; all of it unless columns are named."""
+    concepts = parsed(spark, sf, version)
+    return as_table(concepts.select("bundle", "concept_id", "parse_error", *columns) if columns else concepts)
+
+
+def v1(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    return _concept_table(spark, sf, 1, columns)
+
+
+def v2(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    return _concept_table(spark, sf, 2, columns)
 
 
 # ============================================================== profiling
@@ -313,7 +323,7 @@ def distinct_values(spark, sf):
   SELECT 'nations/' || CAST(k AS STRING) AS concept_id, 'c_custkey' AS "column", 0 AS null_pct, 100 AS fill_pct FROM n
   UNION ALL SELECT 'nations/' || CAST(k AS STRING), 'c_mktsegment', CAST(floor(100.0 * weak / n + 0.5) AS INTEGER), 100 - CAST(floor(100.0 * weak / n + 0.5) AS INTEGER) FROM n""")
 def null_ratio(spark, sf):
-    return profile.null_ratio(docs.parse_profiles(v1(spark, sf))).select("concept_id", "column", "null_pct", "fill_pct")
+    return profile.null_ratio(docs.parse_profiles(parsed(spark, sf))).select("concept_id", "column", "null_pct", "fill_pct")
 
 
 # ============================================================== catalogs
@@ -498,7 +508,7 @@ def frontmatter_errors(spark, sf):
 
 @query(f"WITH {V1} SELECT concept_id, type, title, 'star,' || tag AS tags, CASE WHEN {PLACEHOLDER} THEN 'placeholder' ELSE 'enriched' END AS coverage FROM v1")
 def concept_listing(spark, sf):
-    return docs.with_coverage(docs.listing(v1(spark, sf))).select("concept_id", "type", "title", flat("tags"), "coverage")
+    return docs.with_coverage(docs.listing(parsed(spark, sf))).select("concept_id", "type", "title", flat("tags"), "coverage")
 
 
 _SECTIONS = f"""WITH {V1}, s AS (
@@ -515,7 +525,7 @@ _SECTIONS = f"""WITH {V1}, s AS (
 
 @query(_SECTIONS + " SELECT concept_id, level, heading FROM s")
 def heading_list(spark, sf):
-    return docs.sections(v1(spark, sf)).select("concept_id", "level", "heading")
+    return docs.sections(parsed(spark, sf)).select("concept_id", "level", "heading")
 
 
 @query(f"""SELECT 'customers/' || {_C} AS concept_id, CASE c_mktsegment WHEN 'MACHINERY' THEN '- [segment](/segments/MACHINERY.md)'
@@ -524,7 +534,7 @@ def heading_list(spark, sf):
 def section_extract(spark, sf):
     """One level-2 section, one found at any level, and a presence test."""
     body = F.col("body")
-    return v1(spark, sf).where("concept_id LIKE 'customers/%'").select(
+    return parsed(spark, sf).where("concept_id LIKE 'customers/%'").select(
         "concept_id", md.get_section(body, "See Also").alias("see_also"), md.get_section(body, "Notes", any_level=True).alias("notes"),
         md.has_section(body, "Joins", any_level=True).alias("joins"))
 
@@ -539,7 +549,7 @@ def structural_hash_bundle(spark, sf):
     """Hash of the parsed body without the sections people added."""
     body = F.col("body")
     own = F.concat(md.trim_newlines(F.regexp_replace(body, r"(?s)\n# Notes\n.*", "")), F.lit("\n"))
-    return docs.readable(v1(spark, sf)).select("concept_id", tx.structural_hash(own).alias("hash"))
+    return docs.readable(parsed(spark, sf)).select("concept_id", tx.structural_hash(own).alias("hash"))
 
 
 _COLUMN_ROWS = f"""cols AS (
@@ -562,7 +572,7 @@ _COLUMN_ROWS = f"""cols AS (
 
 @query(f"WITH {_COLUMN_ROWS} SELECT concept_id, ordinal, name, type, coalesce(pk, false) AS pk, coalesce(NOT pk, false) AS nullable, comment FROM cols")
 def parse_columns(spark, sf):
-    return docs.parse_columns(v1(spark, sf)).select("concept_id", "ordinal", "name", "type", "pk", "nullable", "comment")
+    return docs.parse_columns(parsed(spark, sf)).select("concept_id", "ordinal", "name", "type", "pk", "nullable", "comment")
 
 
 _NATION_STATS = """SELECT c_nationkey AS k, count(*) AS n, CAST(sum(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END) AS BIGINT) AS weak, count(DISTINCT c_mktsegment) AS d,
@@ -572,20 +582,20 @@ _NATION_STATS = """SELECT c_nationkey AS k, count(*) AS n, CAST(sum(CASE WHEN c_
 @query(f"""SELECT 'nations/' || CAST(k AS STRING) AS concept_id, 'c_custkey' AS "column", n AS non_null, CAST(0 AS BIGINT) AS nulls, n AS "distinct", lo AS "min", hi AS "max", '' AS semantic FROM ({_NATION_STATS})
     UNION ALL SELECT 'nations/' || CAST(k AS STRING), 'c_mktsegment', n - weak, weak, d, slo, shi, 'enum' FROM ({_NATION_STATS})""")
 def parse_profile(spark, sf):
-    return docs.parse_profiles(v1(spark, sf)).select("concept_id", "column", "non_null", "nulls", "distinct", "min", "max", "semantic")
+    return docs.parse_profiles(parsed(spark, sf)).select("concept_id", "column", "non_null", "nulls", "distinct", "min", "max", "semantic")
 
 
 @query(f"WITH {V1}, {LINKS} SELECT source_id, target_id, n FROM links WHERE source_id IN (SELECT concept_id FROM v1)")
 def resolve_links(spark, sf):
     """Occurrences per pair of documents, targets resolved (existing or not)."""
-    return docs.resolved_links(v1(spark, sf)).groupBy("source_id", "target_id").agg(F.count("*").alias("n"))
+    return docs.resolved_links(parsed(spark, sf)).groupBy("source_id", "target_id").agg(F.count("*").alias("n"))
 
 
 @query(f"""SELECT 'parts/' || {_P} AS concept_id, k.number, CASE WHEN k.number = 1 THEN 'spec' ELSE 'brand page' END AS text,
     CASE WHEN k.number = 1 THEN 'https://example.com/parts/' || {_P} || '.html' ELSE '../brands/' || replace(p_brand, '#', '-') || '.md?v=1' END AS target
     FROM {{part}}, (VALUES (1), (2)) k(number) WHERE p_size > 45""")
 def citations(spark, sf):
-    return docs.citations(v1(spark, sf)).select("concept_id", "number", "text", "target")
+    return docs.citations(parsed(spark, sf)).select("concept_id", "number", "text", "target")
 
 
 @query("""SELECT doc_id, len(regexp_extract_all(text, '(?m)^[ \\t]*#{{1,2}} [ \\t]*[^ \\t\\n]')) AS headings FROM {documents}""")
@@ -627,22 +637,22 @@ def text_functions(spark, sf):
 
 @query(f"WITH {V1}, {LINKS} SELECT source_id, target_id FROM links WHERE target_id NOT IN (SELECT concept_id FROM v1)")
 def broken_links(spark, sf):
-    return audit.broken_links(v1(spark, sf)).select("source_id", "target_id")
+    return audit.broken_links(v1(spark, sf, "body")).select("source_id", "target_id")
 
 
 @query(f"WITH {V1}, {LINKS}, {WORKING}, {DEGREE} SELECT concept_id, degree FROM degree")
 def link_degree(spark, sf):
-    return audit.link_degree(v1(spark, sf)).select("concept_id", "degree")
+    return audit.link_degree(v1(spark, sf, "body")).select("concept_id", "degree")
 
 
 @query(f"WITH {V1}, {LINKS}, {WORKING}, {DEGREE} SELECT concept_id FROM v1 WHERE concept_id NOT IN (SELECT concept_id FROM degree)")
 def orphans(spark, sf):
-    return audit.orphans(v1(spark, sf)).select("concept_id")
+    return audit.orphans(v1(spark, sf, "body")).select("concept_id")
 
 
 @query(f"WITH {V1}, {LINKS}, {WORKING}, {DEGREE} SELECT concept_id, coalesce(degree, 0) AS degree FROM v1 LEFT JOIN degree USING (concept_id) WHERE {PLACEHOLDER}")
 def enrich_first(spark, sf):
-    return audit.enrich_first(v1(spark, sf)).select("concept_id", "degree")
+    return audit.enrich_first(v1(spark, sf, "description", "body")).select("concept_id", "degree")
 
 
 _COVERAGE = f"""coverage AS (SELECT total_concepts, placeholders, total_concepts - placeholders AS enriched_concepts,
@@ -654,12 +664,12 @@ _COVERAGE = f"""coverage AS (SELECT total_concepts, placeholders, total_concepts
 
 @query(f"WITH {V1}, {_COLUMN_ROWS}, {_COVERAGE} SELECT * FROM coverage")
 def coverage(spark, sf):
-    return audit.coverage(v1(spark, sf)).drop("bundle")
+    return audit.coverage(v1(spark, sf, "type", "description", "body")).drop("bundle")
 
 
 @query(f"WITH {_COLUMN_ROWS} SELECT concept_id, count(*) AS columns_total, count(*) FILTER (WHERE comment <> '') AS columns_commented FROM cols WHERE pk IS NOT NULL GROUP BY concept_id")
 def comment_coverage(spark, sf):
-    return docs.comment_stats(v1(spark, sf)).drop("bundle")
+    return docs.comment_stats(parsed(spark, sf)).drop("bundle")
 
 
 _FINDINGS = f"""findings AS (
@@ -725,27 +735,27 @@ def graph_nodes(spark, sf):
 
 @query(_GRAPH + " SELECT source, target, kind, relation, label FROM edges")
 def graph_edges(spark, sf):
-    return graph.sort_edges(graph.graph_edges(v1(spark, sf))).drop("bundle")
+    return graph.sort_edges(graph.graph_edges(v1(spark, sf, *NODE, "body"))).drop("bundle")
 
 
 @query(_GRAPH + " SELECT id, count(*) AS degree FROM (SELECT source AS id FROM edges UNION ALL SELECT target FROM edges) e GROUP BY id")
 def graph_degree(spark, sf):
-    return graph.graph_degree(graph.graph_edges(v1(spark, sf))).drop("bundle")
+    return graph.graph_degree(graph.graph_edges(v1(spark, sf, *NODE, "body"))).drop("bundle")
 
 
 @query(_GRAPH + " SELECT DISTINCT relation FROM xedges")
 def relation_facet(spark, sf):
-    return graph.relation_facet(graph.graph_edges(v1(spark, sf)))
+    return graph.relation_facet(graph.graph_edges(v1(spark, sf, *NODE, "body")))
 
 
 @query(_GRAPH + " SELECT source, target, kind, relation FROM edges WHERE kind = 'containment' OR relation = 'joins-with'")
 def relation_filter(spark, sf):
-    return graph.filter_relations(graph.graph_edges(v1(spark, sf)), ["joins-with"]).select("source", "target", "kind", "relation")
+    return graph.filter_relations(graph.graph_edges(v1(spark, sf, *NODE, "body")), ["joins-with"]).select("source", "target", "kind", "relation")
 
 
 @query(f"WITH {V1} SELECT concept_id AS id, type FROM v1 WHERE type IN ('', 'Nation', 'Brand')")
 def type_facet(spark, sf):
-    return graph.filter_types(graph.concept_nodes(v1(spark, sf)), ["Nation", "Brand"]).select("id", "type")
+    return graph.filter_types(graph.concept_nodes(parsed(spark, sf)), ["Nation", "Brand"]).select("id", "type")
 
 
 @query(f"WITH {V1} SELECT regexp_replace(concept_id, '/.*$', '') AS dir, count(*) AS concepts FROM v1 GROUP BY 1")
@@ -772,7 +782,7 @@ _BOTH = "both_ways AS (SELECT source AS a, target AS b FROM edges UNION SELECT t
 def n_hop(spark, sf):
     """Two hops around a brand, over links and directories."""
     seeds = spark.createDataFrame([(star.BUNDLE, "brands/Brand-1")], "bundle string, id string")
-    return graph.n_hop(graph.graph_edges(v1(spark, sf)), seeds, 2).drop("bundle")
+    return graph.n_hop(graph.graph_edges(v1(spark, sf, *NODE, "body")), seeds, 2).drop("bundle")
 
 
 @query("""SELECT k.step, k.id FROM {customer} c JOIN {nation} ON c_nationkey = n_nationkey,
@@ -781,7 +791,7 @@ def shortest_path(spark, sf):
     """From a customer to the region of its nation."""
     region = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).where("c_custkey = 1")
     end = f"regions/{region.first()['n_regionkey']}"
-    return graph.shortest_path(graph.graph_edges(v1(spark, sf)), star.BUNDLE, "customers/1", end)
+    return graph.shortest_path(graph.graph_edges(v1(spark, sf, *NODE, "body")), star.BUNDLE, "customers/1", end)
 
 
 @query(_GRAPH + " SELECT source, target, kind, relation FROM edges WHERE (source LIKE 'nations%' OR source LIKE 'regions%') AND (target LIKE 'nations%' OR target LIKE 'regions%')")
@@ -811,7 +821,7 @@ def _paths_sql(hops: int) -> str:
 def shortest_paths(spark, sf):
     """From a hundred customers to a nation each, by links and directories."""
     pairs = star.run_sql(spark, sf, _PAIRS_OF_NODES).select(F.lit(star.BUNDLE).alias("bundle"), "start", F.col("finish").alias("end"))
-    return graph.shortest_paths(graph.graph_edges(v1(spark, sf)), pairs).select("start", F.col("end").alias("finish"), "step", "id")
+    return graph.shortest_paths(graph.graph_edges(v1(spark, sf, *NODE, "body")), pairs).select("start", F.col("end").alias("finish"), "step", "id")
 
 
 @query(f"""WITH RECURSIVE {V1},
@@ -823,7 +833,7 @@ def shortest_paths(spark, sf):
   SELECT '{star.BUNDLE}' AS bundle, id, CAST(score + CASE WHEN first = 1 THEN 10 ELSE 0 END AS INTEGER) AS score FROM walk WHERE k = 4""")
 def fuzzy_search(spark, sf):
     """Ranked subsequence search over all concepts."""
-    return graph.fuzzy_search(graph.concept_nodes(v1(spark, sf)), "s1st")
+    return graph.fuzzy_search(graph.concept_nodes(parsed(spark, sf)), "s1st")
 
 
 _DIFF = f"""WITH {V1}, {V2} SELECT coalesce(n.concept_id, o.concept_id) AS id, coalesce(n.title, o.title) AS title,
@@ -846,7 +856,7 @@ _EDGES2 = f"""edges2 AS (SELECT source, target, 'crosslink' AS kind, relation FR
     coalesce(n.relation, o.relation) AS relation, CASE WHEN o.source IS NULL THEN 'added' WHEN n.source IS NULL THEN 'removed' ELSE '' END AS diff
     FROM edges2 n FULL JOIN edges o ON n.source = o.source AND n.target = o.target AND n.kind = o.kind AND n.relation = o.relation""")
 def graph_diff_edges(spark, sf):
-    edges = graph.diff_edges(graph.graph_edges(v2(spark, sf)), graph.graph_edges(v1(spark, sf)))
+    edges = graph.diff_edges(graph.graph_edges(v2(spark, sf, *NODE, "body")), graph.graph_edges(v1(spark, sf, *NODE, "body")))
     return edges.select("source", "target", "kind", "relation", "diff")
 
 
@@ -919,7 +929,7 @@ def tag_union(spark, sf):
 
 @query(f"""WITH {V1} SELECT '- [' || title || '](' || concept_id || '.md) - ' || CASE WHEN description = '' THEN type ELSE description END AS line FROM v1""")
 def bundle_index(spark, sf):
-    return merge.index_lines(docs.readable(v1(spark, sf))).orderBy("bundle", "concept_id").select("line")
+    return merge.index_lines(docs.readable(parsed(spark, sf))).orderBy("bundle", "concept_id").select("line")
 
 
 @query(f"""WITH {V1} SELECT concept_id, md5(body) AS body, title, description, 'star,' || tag AS tags FROM v1""")

@@ -12,7 +12,7 @@ from mdcatalog.plans import produce
 
 from . import star
 from .queries import (
-    _C, _COLUMN_ROWS, _REPORT, _NATION_STATS, _P, _S, DEGREE, LINKS, PLACEHOLDER, V1, WORKING, _report, flat, query, v1,
+    _C, _COLUMN_ROWS, _REPORT, _NATION_STATS, _P, _S, DEGREE, LINKS, PLACEHOLDER, V1, WORKING, _report, flat, parsed, query, v1,
 )
 from .star import table
 
@@ -22,7 +22,7 @@ from .star import table
 
 
 def _bundle_tables(spark: SparkSession, sf: str) -> DataFrame:
-    return docs.listing(v1(spark, sf)).where("concept_id RLIKE '^(customers|suppliers)/'").select(
+    return docs.listing(parsed(spark, sf)).where("concept_id RLIKE '^(customers|suppliers)/'").select(
         F.col("concept_id").alias("table"), "description")
 
 
@@ -35,7 +35,7 @@ def _source_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _bundle_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return docs.parse_columns(v1(spark, sf)).where("concept_id RLIKE '^(customers|suppliers)/'").withColumnRenamed("concept_id", "table")
+    return docs.parse_columns(parsed(spark, sf)).where("concept_id RLIKE '^(customers|suppliers)/'").withColumnRenamed("concept_id", "table")
 
 
 def _source_columns(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,7 +100,7 @@ def header_drift(spark, sf):
     names = (F.when(size > 45, F.array(F.lit("p_partkey"), F.lit("p_name"), F.lit("p_brand")))
              .when(size <= 5, F.array(F.lit("p_name"), F.lit("p_partkey"))).otherwise(F.array(F.lit("p_partkey"), F.lit("p_name"))))
     headers = table(spark, sf, "part").select(F.concat(F.lit("parts/"), F.col("p_partkey").cast("string")).alias("table"), names.alias("names"))
-    columns = docs.parse_columns(v1(spark, sf)).where("concept_id LIKE 'parts/%'").withColumnRenamed("concept_id", "table")
+    columns = docs.parse_columns(parsed(spark, sf)).where("concept_id LIKE 'parts/%'").withColumnRenamed("concept_id", "table")
     return drift.header_drift(columns, headers)
 
 
@@ -153,12 +153,12 @@ def folder_descriptions(spark, sf):
 
 @query(f"WITH {V1} SELECT concept_id FROM v1 WHERE enriched = 'current' AND NOT {PLACEHOLDER}")
 def skip_set(spark, sf):
-    return enrich.skip_set(v1(spark, sf)).select("concept_id")
+    return enrich.skip_set(parsed(spark, sf)).select("concept_id")
 
 
 @query(f"WITH {V1} SELECT concept_id, regexp_replace(concept_id, '/.*$', '') AS dir FROM v1 WHERE {PLACEHOLDER}")
 def enrich_candidates(spark, sf):
-    return enrich.candidates(v1(spark, sf)).select("concept_id", "dir")
+    return enrich.candidates(parsed(spark, sf)).select("concept_id", "dir")
 
 
 @query(f"WITH {V1} SELECT regexp_replace(concept_id, '/.*$', '') AS dir, count(*) AS concepts FROM v1 WHERE {PLACEHOLDER} GROUP BY 1")
@@ -226,7 +226,7 @@ def fk_cardinality(spark, sf):
 def glossary_fill(spark, sf):
     balance = table(spark, sf, "customer").agg(F.concat(F.lit("Balance: "), F.max("c_mktsegment")).alias("definition")).select(F.lit("c_acctbal").alias("term"), "definition")
     glossary = balance.unionByName(spark.createDataFrame([("s_nationkey", "unused")], "term string, definition string"))
-    return enrich.fill_from_glossary(docs.parse_columns(v1(spark, sf)), glossary).select("concept_id", "name", "comment")
+    return enrich.fill_from_glossary(docs.parse_columns(parsed(spark, sf)), glossary).select("concept_id", "name", "comment")
 
 
 _SCORES = """SELECT source || '-' || CAST(doc_id AS STRING) AS concept, 'grounding' AS dimension, 1 + 3 * quality + toxic AS score FROM {documents} JOIN {labels} USING (doc_id)
@@ -281,7 +281,7 @@ def _table_sql(head: str, line: str, order: str, frame: str, key: str, prefix: s
     "| Name | Type | Nullable | Comment |", "'| ' || name || ' | ' || type || ' | ' || CASE WHEN coalesce(NOT pk, false) THEN 'Yes' ELSE 'No' END || ' | ' || replace(comment, '|', chr(92) || '|') || ' |'",
     "ordinal", "cols", "concept_id", f"'# Columns' || {_NL} || {_NL}"))
 def columns_rendered(spark, sf):
-    return render.render_columns(docs.parse_columns(v1(spark, sf)), "postgresql")
+    return render.render_columns(docs.parse_columns(parsed(spark, sf)), "postgresql")
 
 
 @query(f"""SELECT 'nations/' || CAST(k AS STRING) AS concept_id, '| Column | Non-Null | Null | Distinct | Min | Max | Semantic |' || {_NL} || '| --- | --- | --- | --- | --- | --- | --- |' || {_NL} ||
@@ -289,9 +289,9 @@ def columns_rendered(spark, sf):
     '| c_mktsegment | ' || CAST(n - weak AS STRING) || ' | ' || CAST(weak AS STRING) || ' | ' || CAST(d AS STRING) || ' | ' || slo || ' | ' || shi || ' | enum |' || {_NL} ||
     {_NL} || 'Values:' || {_NL} || '- c_mktsegment ∈ {{{{' || slo || ', ' || shi || '}}}}' || {_NL} AS text FROM ({_NATION_STATS})""")
 def profile_rendered(spark, sf):
-    parsed = docs.parse_profiles(v1(spark, sf))
+    found = docs.parse_profiles(parsed(spark, sf))
     values = F.when(F.col("semantic") == "enum", F.array("max", "min")).otherwise(F.array().cast("array<string>"))
-    return render.render_profile(parsed.withColumn("values", values))
+    return render.render_profile(found.withColumn("values", values))
 
 
 def _per_shop_table(head: str, line: str, order: str, values: str) -> str:
@@ -353,14 +353,14 @@ def sample_rendered(spark, sf):
 def upsert_section(spark, sf):
     """Replace a section where there is one, append it elsewhere."""
     body = md.upsert_section(F.col("body"), "See Also", F.lit("None.\n\n"))
-    return docs.readable(v1(spark, sf)).select("concept_id", F.md5(body).alias("body"))
+    return docs.readable(parsed(spark, sf)).select("concept_id", F.md5(body).alias("body"))
 
 
 @query(f"""WITH {V1} SELECT concept_id, md5(body || CASE WHEN noted THEN {_NL} || '# Notes' || {_NL} || {_NL} || 'Key account.' || {_NL} ELSE '' END ||
     CASE WHEN tag = 'customer' THEN {_NL} || '# Related' || {_NL} || {_NL} || '- x' || {_NL} ELSE '' END) AS body FROM v1""")
 def append_section(spark, sf):
     text = F.when(F.col("concept_id").startswith("customers/"), "- x\n").otherwise("")
-    return docs.readable(v1(spark, sf)).select("concept_id", F.md5(md.append_section(F.col("body"), "Related", text)).alias("body"))
+    return docs.readable(parsed(spark, sf)).select("concept_id", F.md5(md.append_section(F.col("body"), "Related", text)).alias("body"))
 
 
 _FIELD_ROWS = """SELECT event_type, field, type FROM (SELECT DISTINCT event_type FROM {events}) g, (VALUES ('id', 'number', ''), ('user', 'string', ''), ('total', 'string', 'error'),
