@@ -119,21 +119,25 @@ def quantized(vectors: DataFrame, label: Column, vec_id: str, embedding: str) ->
 def _tiles(vectors: DataFrame, asks: DataFrame, group: str | None, spark) -> DataFrame:
     """Vectors and asking rows dealt into units of bounded size: every ask meets every vector of its group once.
 
-    ``asks`` has the columns of ``vectors`` and ``windows``. The table of unit counts has a row per group.
+    ``asks`` has the columns of ``vectors`` and ``windows``. Without a group all are one. The table of unit counts has a row per group.
     """
-    by = F.col(group) if group else F.lit(0).cast("bigint")
-    vectors, asks = vectors.withColumn("group", by), asks.withColumn("group", by)
-    count = lambda df, size: F.ceil(F.count(F.lit(1)) / size).cast("int")
-    sizes = as_table(vectors.groupBy("group").agg(count(vectors, TILE_VECTORS).alias("chunks"))
-                     .join(asks.groupBy("group").agg(count(asks, TILE_ANCHORS).alias("slots")), "group"))
-    few = sizes.limit(10_001).count() <= 10_000
-    sized = F.broadcast(sizes) if few else sizes
+    count = lambda size: F.ceil(F.count(F.lit(1)) / size).cast("int")
+    if group is None:
+        chunks, slots = (df.agg(count(size)).first()[0] for df, size in ((vectors, TILE_VECTORS), (asks, TILE_ANCHORS)))
+        sized = lambda df: df.withColumn("group", F.lit(0).cast("bigint")).withColumn("chunks", F.lit(chunks)).withColumn("slots", F.lit(slots))
+        if not chunks or not slots:
+            vectors = vectors.limit(0)
+    else:
+        vectors, asks = (df.withColumn("group", F.col(group)) for df in (vectors, asks))
+        sizes = as_table(vectors.groupBy("group").agg(count(TILE_VECTORS).alias("chunks")).join(asks.groupBy("group").agg(count(TILE_ANCHORS).alias("slots")), "group"))
+        few = sizes.limit(10_001).count() <= 10_000
+        sized = lambda df: df.join(F.broadcast(sizes) if few else sizes, "group")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     deal = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     columns = ["group", "chunk", "slot", "kind", "id", "label", "vector", "windows"]
-    held = (vectors.join(sized, "group").withColumn("chunk", deal("chunks")).withColumn("slot", spread("slots"))
+    held = (sized(vectors).withColumn("chunk", deal("chunks")).withColumn("slot", spread("slots"))
             .withColumn("kind", F.lit(0)).withColumn("windows", F.lit(None).cast("array<bigint>")))
-    asked = asks.join(sized, "group").withColumn("slot", deal("slots")).withColumn("chunk", spread("chunks")).withColumn("kind", F.lit(1))
+    asked = sized(asks).withColumn("slot", deal("slots")).withColumn("chunk", spread("chunks")).withColumn("kind", F.lit(1))
     small_batches(spark)
     both = held.select(columns).unionByName(asked.select(columns))
     return both.repartition("group", "chunk", "slot").sortWithinPartitions("group", "chunk", "slot", "kind")
@@ -236,6 +240,7 @@ def mine(vectors: DataFrame, anchors: str, label: Column | str = "label", positi
     ranges = (found.withColumn("least", least("score")).withColumn("most", highest("score"))
               .groupBy(F.col("anchor_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct("rank", "least", "most"))).alias("best")))
     asked = asks.join(ranges, "id").withColumn("windows", F.flatten(F.transform("best", lambda w: F.array(w["least"], w["most"])))).drop("best")
+    asked = as_table(asked)
     other = _scan(_tiles(rows, asked, None, spark), width, kind, False, negatives)
     ranked = _first(other, ["anchor_id", "window"], negatives).withColumn("number", (F.col("window") + 1).cast("int"))
     of = found.select("anchor_id", F.col("rank").alias("number"), F.col("id").alias("positive_id"), F.col("score").alias("positive_score"))
