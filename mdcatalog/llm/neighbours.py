@@ -206,7 +206,8 @@ def nearest(vectors: DataFrame, asks, k: int = NEIGHBOURS, vec_id: str = "vec_id
     squares = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
     count, square = rows.agg(F.count(F.lit(1)), F.max(squares)).first()
     index = fit(np.array([r["id"] for r in sample]), np.array([r["vector"] for r in sample]), count, float(np.sqrt(square)), k)
-    shared = spark.sparkContext.broadcast(index)
+    # plain arrays: a broadcast value travels by reference to its class
+    shared = spark.sparkContext.broadcast((index.centres, index.rotation, index.norm, index.probes, index.seed_ids, index.seeds))
 
     def home(batch: pa.RecordBatch, held: Index) -> pa.RecordBatch:
         at = held.lists(held.lift(_matrix(batch.column(1), width)), 1)[:, 0] if batch.num_rows else np.zeros(0)
@@ -226,7 +227,7 @@ def nearest(vectors: DataFrame, asks, k: int = NEIGHBOURS, vec_id: str = "vec_id
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists.tolist(), pa.list_(pa.int32())), pa.array(limits, pa.float64())],
                                           names=["id", "vector", "lists", "distance"])
 
-    take = lambda: shared.value
+    take = lambda: Index(*shared.value)
     placed = as_table(map_batches(rows, home, "id bigint, vector array<double>, list int", take))
     queries = as_table(map_batches(rows.where(asks), ask, "id bigint, vector array<double>, lists array<int>, distance double", take))
     asked = queries.select("id", "vector", "distance", F.explode("lists").alias("list"))
@@ -247,7 +248,7 @@ def nearest(vectors: DataFrame, asks, k: int = NEIGHBOURS, vec_id: str = "vec_id
     small_batches(spark)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, tile, ids, matrix, blocks = shared.value, None, [], [], None
+        held, tile, ids, matrix, blocks = Index(*shared.value), None, [], [], None
         for batch in batches:
             if not batch.num_rows:
                 continue
