@@ -176,3 +176,24 @@ def from_information_schema(read: Callable[[str], DataFrame]) -> dict[str, DataF
                             unique_schema="unique_constraint_schema", unique_constraint="unique_constraint_name"),
         "checks": pick("check_constraints", schema="constraint_schema", constraint="constraint_name", clause="check_clause"),
     }
+
+
+def from_spark_catalog(spark: SparkSession, database: str | None = None, pattern: str | None = None) -> dict[str, DataFrame]:
+    """Tables and columns of Spark's own catalog in the shape of ``from_information_schema``, with comments.
+
+    Temporary views count as views. ``pattern`` is that of ``SHOW TABLES``. The catalog answers the driver, table by table; nothing
+    of the tables' data is read. Keys and constraints are unknown to it.
+    """
+    tables, columns = [], []
+    for t in spark.catalog.listTables(database, pattern):
+        schema = ".".join(t.namespace or [])
+        kind = "view" if t.isTemporary or t.tableType in ("VIEW", "TEMPORARY") else "table"
+        tables.append((schema, t.name, kind, t.description))
+        name = ".".join(f"`{part}`" for part in [*(t.namespace or []), t.name])
+        described = {c.name: c.description for c in spark.catalog.listColumns(name)}
+        columns += [(schema, t.name, f.name, i + 1, f.dataType.simpleString(), f.nullable, described.get(f.name))
+                    for i, f in enumerate(spark.table(name).schema.fields)]
+    return {
+        "tables": spark.createDataFrame(tables, "schema string, name string, kind string, comment string"),
+        "columns": spark.createDataFrame(columns, "schema string, table string, name string, ordinal int, type string, nullable boolean, comment string"),
+    }

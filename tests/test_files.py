@@ -159,3 +159,16 @@ def test_history_in_ranges(spark, tmp_path, size):
     expected = [(c * 40, "Ünal", 1704067200, message, p) for c in "25" for p in ("a b.txt", 'täb\t"q".txt', "dir/c.txt")]
     expected.append(("4" * 40, "A B", None, "Only this", "last.txt"))
     assert sorted(map(repr, rows)) == sorted(map(repr, expected))
+
+
+def test_spark_catalog(spark, tmp_path):
+    spark.range(3).selectExpr("id", "cast(id as string) AS `a b`").createOrReplaceTempView("seen_view")
+    spark.sql(f"CREATE TABLE seen_table (k BIGINT COMMENT 'the key', v ARRAY<INT>) USING parquet COMMENT 'all of it' LOCATION '{tmp_path}/t'")
+    try:
+        found = readers.from_spark_catalog(spark, pattern="seen_*")
+        assert sorted((r["name"], r["kind"], r["comment"]) for r in found["tables"].collect()) == [("seen_table", "table", "all of it"), ("seen_view", "view", None)]
+        assert sorted((r["table"], r["ordinal"], r["name"], r["type"], r["comment"]) for r in found["columns"].collect()) == [
+            ("seen_table", 1, "k", "bigint", "the key"), ("seen_table", 2, "v", "array<int>", None), ("seen_view", 1, "id", "bigint", None), ("seen_view", 2, "a b", "string", None)]
+        assert readers.from_spark_catalog(spark, pattern="none_*")["columns"].count() == 0
+    finally:
+        spark.sql("DROP TABLE seen_table")

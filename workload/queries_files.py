@@ -97,6 +97,28 @@ def file_tree(spark, sf) -> DataFrame:
     return listing.tree(spark, _write(spark, sf), ["/set3/", "*.CSV"]).select("path", "is_dir", "size")
 
 
+# --- Spark's catalog: the tables as views ------------------------------------------------------------
+
+_LISTED = ["customer", "orders", "events", "nation"]
+_TYPES = "CASE c.data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(c.data_type) END"
+
+
+@query(" UNION ALL ".join(f"""SELECT '{t}' AS "table", 'view' AS kind, c.column_name AS name, CAST(c.ordinal_position AS INTEGER) AS ordinal, {_TYPES} AS type, (SELECT count(*) FROM {{{t}}}) AS "rows"
+    FROM information_schema.columns c WHERE c.table_name = '{t}'""" for t in _LISTED))
+def spark_catalog(spark, sf) -> DataFrame:
+    """Columns of some tables as the session's catalog lists them, with the rows of each table."""
+    for t in _LISTED:
+        star.table(spark, sf, t).createOrReplaceTempView(f"listed_{t}")
+    found = readers.from_spark_catalog(spark, pattern="listed_*")
+    rows = None
+    for t in _LISTED:
+        one = spark.table(f"listed_{t}").agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit(f"listed_{t}"))
+        rows = one if rows is None else rows.unionByName(one)
+    kinds = found["tables"].select(F.col("name").alias("table"), "kind")
+    plain = F.regexp_replace("table", "^listed_", "")
+    return found["columns"].join(kinds, "table").join(rows, "table").select(plain.alias("table"), "kind", "name", "ordinal", "type", "rows")
+
+
 # --- history: an order is a commit, the suppliers of its lines are the files ------------------------
 
 _COMMIT = "md5(CAST(o_orderkey AS STRING))"
