@@ -223,16 +223,21 @@ def looks(line: Line) -> float:
     words = len(text.split())
     if words <= NOTICE_WORDS and _RIGHTS.search(text) or words <= LONG and text.lower().startswith(NOTICE_STARTS):
         return 0.0
+    if line.element in HEADINGS:
+        return HEADING
     pieces = [p for p in _SEPARATORS.split(text) if p]
     if len(pieces) >= 3 and all(len(p.split()) <= 4 for p in pieces) and not _SENTENCE.search(text):
         return 0.0
-    if line.element in HEADINGS:
-        return HEADING
     if words >= LONG or _SENTENCE.search(text) or line.element in TEXT_ELEMENTS:
         return SENTENCE + min(0.5, line.plain / 400)
     return LOOSE
 
 
+def _weighty(out: list[float]) -> list[float]:
+    """Weights of which those below the least that any look gives are nothing, unless there are no others."""
+    return [w if w >= LOOSE else 0.0 for w in out] if any(w >= LOOSE for w in out) else out
+
+
 def weights(rows: list[Line]) -> list[float]:
     """The weight of each line that is not marked as something else: 1 in a declared article, else by its looks.
 
@@ -240,7 +245,7 @@ def weights(rows: list[Line]) -> list[float]:
     title, a page's one or two notices about cookies weigh nothing, nor does what follows the heading of the readers' comments.
     """
     if any(line.article for line in rows):
-        return [1.0 if line.article else OUTSIDE * looks(line) for line in rows]
+        return _weighty([1.0 if line.article else OUTSIDE * looks(line) for line in rows])
     out = [looks(line) for line in rows]
     cookies = [i for i, line in enumerate(rows) if out[i] and is_cookie_notice(line.text)]
     for i in cookies if len(cookies) <= 2 else ():
@@ -254,7 +259,7 @@ def weights(rows: list[Line]) -> list[float]:
             said = True
         if said:
             out[i] = 0.0
-    return out
+    return _weighty(out)
 
 
 def texts(weight: list[float]) -> list[tuple[int, int]]:
