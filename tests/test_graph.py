@@ -29,14 +29,14 @@ def plain(edges, start, end):
 def test_many_pairs(spark):
     rng = random.Random(7)
     names = [f"n{i:02d}" for i in range(40)]
-    edges = [(rng.choice(names), rng.choice(names)) for _ in range(45)] + [(f"c{i:02d}", f"c{i + 1:02d}") for i in range(21)] + [("n00", "c00")]
+    edges = [(rng.choice(names), rng.choice(names)) for _ in range(45)] + [(f"c{i:02d}", f"c{i + 1:02d}") for i in range(12)] + [("n00", "c00")]
     df = spark.createDataFrame([("b", a, b) for a, b in edges], "bundle string, source string, target string")
-    pairs = [(rng.choice(names), rng.choice(names)) for _ in range(25)] + [("n00", "c21"), ("c21", "c00"), ("n01", "n01"), ("none", "n01"), ("n01", "none"), ("none", "none")]
+    pairs = [(rng.choice(names), rng.choice(names)) for _ in range(25)] + [("n00", "c12"), ("c12", "c00"), ("n01", "n01"), ("none", "n01"), ("n01", "none"), ("none", "none")]
     rows = graph.shortest_paths(df, spark.createDataFrame([("b", a, b) for a, b in pairs + pairs[:3]], "bundle string, start string, end string")).collect()
     got: dict = {}
     for r in sorted(rows, key=lambda r: r["step"]):
         assert r["step"] == len(got.setdefault((r["start"], r["end"]), []))
         got[r["start"], r["end"]].append(r["id"])
     assert got == {p: plain(edges, *p) for p in pairs if plain(edges, *p)}
-    assert [r["id"] for r in graph.shortest_path(df, "b", "n00", "c21").collect()] == plain(edges, "n00", "c21")
+    assert [r["id"] for r in graph.shortest_path(df, "b", "n00", "c12").collect()] == plain(edges, "n00", "c12")
     assert graph.shortest_path(df, "b", "n00", "gone").count() == 0
