@@ -12,10 +12,16 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 
 
+def _many(df: DataFrame) -> DataFrame:
+    """A side with a row per table or column of a catalog: its size, which the optimizer takes from the files its rows are made
+    from, is no reason to send all of it through the driver."""
+    return df.hint("merge")
+
+
 def missing_tables(bundle_tables: DataFrame, source_tables: DataFrame, on: list[str] | None = None) -> DataFrame:
     """Tables (or files, endpoints, types) the bundle describes and the source no longer has."""
     keys = on or ["table"]
-    return bundle_tables.join(source_tables.select(*keys), keys, "left_anti")
+    return bundle_tables.join(_many(source_tables.select(*keys)), keys, "left_anti")
 
 
 missing_assets = missing_tables
@@ -28,15 +34,15 @@ def _lowered(columns: DataFrame, ignore_case: bool) -> DataFrame:
 def missing_columns(bundle_columns: DataFrame, source_columns: DataFrame, ignore_case: bool = True) -> DataFrame:
     """Columns of existing tables that the source no longer has."""
     b, s = _lowered(bundle_columns, ignore_case), _lowered(source_columns, ignore_case)
-    present = b.join(s.select("table").distinct(), "table", "left_semi")
-    return present.join(s.select("table", "_name"), ["table", "_name"], "left_anti").select("table", "name")
+    present = b.join(_many(s.select("table").distinct()), "table", "left_semi")
+    return present.join(_many(s.select("table", "_name")), ["table", "_name"], "left_anti").select("table", "name")
 
 
 def type_mismatches(bundle_columns: DataFrame, source_columns: DataFrame, ignore_case: bool = True) -> DataFrame:
     """Columns whose type text differs, ignoring case."""
     b = _lowered(bundle_columns, ignore_case).select("table", "name", "_name", F.col("type").alias("bundle_type"))
     s = _lowered(source_columns, ignore_case).select("table", "_name", F.col("type").alias("source_type"))
-    return b.join(s, ["table", "_name"]).where(F.lower("bundle_type") != F.lower("source_type")).select(
+    return b.join(_many(s), ["table", "_name"]).where(F.lower("bundle_type") != F.lower("source_type")).select(
         "table", "name", "bundle_type", "source_type")
 
 
@@ -49,7 +55,7 @@ def column_lists(columns: DataFrame, key: str = "table") -> DataFrame:
 def header_drift(bundle_columns: DataFrame, headers: DataFrame, key: str = "table") -> DataFrame:
     """Files whose header is not exactly the bundle's column list: ``headers(key, names)``."""
     described = column_lists(bundle_columns, key).withColumnRenamed("names", "bundle_names")
-    return headers.join(described, key).where(~F.col("names").eqNullSafe(F.col("bundle_names"))).select(
+    return headers.join(_many(described), key).where(~F.col("names").eqNullSafe(F.col("bundle_names"))).select(
         key, F.array_join("bundle_names", ",").alias("bundle_header"), F.array_join("names", ",").alias("file_header"))
 
 
@@ -60,7 +66,7 @@ def description_mismatches(concepts: DataFrame, source: DataFrame, key: str = "t
     """
     ours = concepts.select(key, tx.trim_ws(F.coalesce("description", F.lit(""))).alias("bundle_description"))
     theirs = source.select(key, tx.trim_ws(F.coalesce("description", F.lit(""))).alias("source_description"))
-    joined = ours.join(theirs, key, "left" if missing_is_blank else "inner")
+    joined = ours.join(_many(theirs), key, "left" if missing_is_blank else "inner")
     other = F.coalesce("source_description", F.lit(""))
     return joined.where(F.col("bundle_description") != other).select(key, "bundle_description", other.alias("source_description"))
 
@@ -71,7 +77,7 @@ def comment_mismatches(bundle_columns: DataFrame, source_columns: DataFrame, ign
         "table", "name", "_name", tx.trim_ws(F.coalesce("comment", F.lit(""))).alias("bundle_comment"))
     s = _lowered(source_columns, ignore_case).select(
         "table", "_name", tx.trim_ws(F.coalesce("comment", F.lit(""))).alias("source_comment"))
-    return b.join(s, ["table", "_name"]).where("bundle_comment <> source_comment").select(
+    return b.join(_many(s), ["table", "_name"]).where("bundle_comment <> source_comment").select(
         "table", "name", "bundle_comment", "source_comment")
 
 
@@ -106,7 +112,7 @@ def column_comment_statements(mismatches: DataFrame, source_columns: DataFrame,
     default = F.when(F.coalesce("default", F.lit("")).isin("", "NULL"), "").otherwise(F.concat(F.lit("DEFAULT "), "default"))
     sql = F.format_string("ALTER TABLE `%s` MODIFY COLUMN `%s` %s %s %s %s COMMENT '%s'",
                           "table", "name", "type", null, default, F.coalesce("extra", F.lit("")), text)
-    return mismatches.join(spec, ["table", "name"]).select("table", "name", sql.alias("sql"))
+    return mismatches.join(_many(spec), ["table", "name"]).select("table", "name", sql.alias("sql"))
 
 
 def _definition(primary_key: bool) -> Column:
@@ -123,7 +129,7 @@ def _definition(primary_key: bool) -> Column:
 
 def create_table_statements(missing: DataFrame, bundle_columns: DataFrame) -> DataFrame:
     """CREATE TABLE text for missing tables, columns in their order."""
-    defs = bundle_columns.join(missing.select("table"), "table", "left_semi").select(
+    defs = bundle_columns.join(_many(missing.select("table")), "table", "left_semi").select(
         "table", "ordinal", _definition(primary_key=True).alias("d"))
     listed = F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "d"))), lambda x: x["d"])
     return defs.groupBy("table").agg(F.array_join(listed, ", ").alias("_defs")).select(
@@ -132,6 +138,6 @@ def create_table_statements(missing: DataFrame, bundle_columns: DataFrame) -> Da
 
 def add_column_statements(missing: DataFrame, bundle_columns: DataFrame) -> DataFrame:
     """ALTER TABLE ... ADD COLUMN text for missing columns."""
-    cols = bundle_columns.join(missing.select("table", "name"), ["table", "name"], "left_semi")
+    cols = bundle_columns.join(_many(missing.select("table", "name")), ["table", "name"], "left_semi")
     sql = F.format_string("ALTER TABLE `%s` ADD COLUMN %s", F.col("table"), _definition(primary_key=False))
     return cols.select("table", "name", sql.alias("sql"))

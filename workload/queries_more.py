@@ -9,6 +9,7 @@ from mdcatalog.functions import markdown as md
 from mdcatalog.functions import paths as pt
 from mdcatalog.operators import audit, catalog, docs, drift, enrich, merge, profile, render, specs
 from mdcatalog.plans import produce
+from mdcatalog.session import as_table
 
 from . import star
 from .queries import (
@@ -122,11 +123,12 @@ def sync_metadata(spark, sf):
     UNION ALL SELECT 'CREATE TABLE `suppliers/' || {_S} || '` (`s_suppkey` bigint NOT NULL PRIMARY KEY, `s_name` string, `s_nationkey` int, `s_acctbal` double)' FROM {{supplier}} WHERE s_acctbal < 0""")
 def sync_statements(spark, sf):
     """Statement text for every kind of drift; nothing is executed."""
-    columns, source = _bundle_columns(spark, sf), _source_columns(spark, sf)
-    texts = drift.description_mismatches(_bundle_tables(spark, sf), _source_descriptions(spark, sf))
+    # several statements use each
+    columns, source, tables = as_table(_bundle_columns(spark, sf)), _source_columns(spark, sf), as_table(_bundle_tables(spark, sf))
+    texts = drift.description_mismatches(tables, _source_descriptions(spark, sf))
     swapped = texts.select("table", F.col("source_description").alias("bundle_description"))
     comments = drift.comment_mismatches(columns, source, ignore_case=True)
-    missing = drift.missing_tables(_bundle_tables(spark, sf).select("table"), _source_tables(spark, sf))
+    missing = drift.missing_tables(tables.select("table"), _source_tables(spark, sf))
     parts = [
         drift.table_comment_statements(swapped, "mysql"), drift.table_comment_statements(texts, "postgresql", "public"),
         drift.column_comment_statements(comments, source, "postgresql", "public"), drift.column_comment_statements(comments, source, "mysql"),
