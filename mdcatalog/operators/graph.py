@@ -8,8 +8,6 @@ folder, so plans stay short and lost executors cost one hop at most.
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -156,7 +154,8 @@ def fuzzy_search(nodes: DataFrame, query: str, types: list[str] | None = None) -
         found = filter_types(found, types)
     texts = evaluate_once(found, "bundle", "id", search_text(nodes).alias("_text"))
     scored = evaluate_once(texts, "bundle", "id", tx.fuzzy_score(query.strip(), F.col("_text")).alias("score"))
-    return scored.where("score >= 0").orderBy(F.desc("score"), "bundle", "id")
+    # sorting looks at its rows twice; a table keeps it from scoring and parsing twice
+    return cut_lineage(scored.where("score >= 0")).orderBy(F.desc("score"), "bundle", "id")
 
 
 # --- entity-relationship view ----------------------------------------------
@@ -273,47 +272,101 @@ def n_hop(edges: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
     return visited
 
 
-def _reach(edges: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(bundle, start, id, parent, hop) of the nodes around every start, until all its ends are reached or nothing is left."""
+_PAIR = ["bundle", "start", "end"]
+
+
+def _work(layer: DataFrame, degree: DataFrame) -> int:
+    """Edges that a step from a layer follows."""
+    return layer.join(degree, ["bundle", "id"]).agg(F.sum("degree")).first()[0] or 0
+
+
+def _step(adjacent: DataFrame, layers: list[DataFrame], side: str, open_: DataFrame) -> DataFrame:
+    """(bundle, side, id, near): edges of the last layer to nodes that are new to it; in an undirected graph, the others are in the last two layers."""
+    frontier = layers[-1].join(open_.select("bundle", side), ["bundle", side], "left_semi").select("bundle", side, F.col("id").alias("a"))
+    found = adjacent.join(frontier, ["bundle", "a"]).select("bundle", side, F.col("b").alias("id"), F.col("a").alias("near"))
+    for seen in layers[-2:]:
+        found = found.join(seen, ["bundle", side, "id"], "left_anti")
+    return found
+
+
+def _search(edges: DataFrame, pairs: DataFrame) -> tuple[list[DataFrame], list[DataFrame], list[tuple[int, int, DataFrame]]]:
+    """Layers around all starts and all ends, until every pair has met or cannot.
+
+    Of the two sides, the one whose last layer has fewer edges takes the next step, so a hub between a pair is entered from
+    the side it is small for. Returned are the smallest parent of every node towards its start, layer by layer; all edges
+    towards an end, layer by layer; and (steps from the start, steps from the end, pairs with the nodes where they met).
+    """
     adjacent = cut_lineage(_both_ways(edges))
-    key = ["bundle", "start", "id"]
-    ends = pairs.select("bundle", "start", F.col("end").alias("id"))
-    visited = layer = cut_lineage(pairs.select("bundle", "start").distinct().select(
-        "bundle", "start", F.col("start").alias("id"), F.lit(None).cast("string").alias("parent"), F.lit(0).alias("hop")))
-    for hop in itertools.count(1):
-        open_ = cut_lineage(ends.join(visited, key, "left_anti").select("bundle", "start").distinct())
-        frontier = layer.join(open_, ["bundle", "start"], "left_semi").select("bundle", "start", F.col("id").alias("a"))
-        found = adjacent.join(frontier, ["bundle", "a"]).groupBy("bundle", "start", F.col("b").alias("id")).agg(F.min("a").alias("parent"))
-        layer = cut_lineage(found.join(visited, key, "left_anti").withColumn("hop", F.lit(hop)))
-        if layer.isEmpty():
-            return visited
-        visited = visited.unionByName(layer)
-        if hop % 8 == 0:  # the plan does not grow with the hops
-            visited = cut_lineage(visited)
+    degree = cut_lineage(adjacent.groupBy("bundle", F.col("a").alias("id")).agg(F.count("*").alias("degree")))
+    layers = {side: [cut_lineage(pairs.select("bundle", side, F.col(side).alias("id")).distinct())] for side in ("start", "end")}
+    work = {side: _work(layers[side][0], degree) for side in layers}
+    steps: dict[str, list[DataFrame]] = {"start": [], "end": []}
+    met, open_ = [], pairs
+    while True:
+        ahead, behind = layers["start"][-1], layers["end"][-1]
+        now = cut_lineage(open_.join(ahead, ["bundle", "start"]).join(behind, ["bundle", "end", "id"], "left_semi").select(*_PAIR, "id"))
+        if not now.isEmpty():
+            met.append((len(steps["start"]), len(steps["end"]), now))
+            open_ = open_.join(now, _PAIR, "left_anti")
+        # a side with nothing left to visit meets no one
+        open_ = cut_lineage(open_.join(ahead, ["bundle", "start"], "left_semi").join(behind, ["bundle", "end"], "left_semi"))
+        if open_.isEmpty():
+            return steps["start"], steps["end"], met
+        side = min(work, key=work.get)
+        found = _step(adjacent, layers[side], side, open_)
+        if side == "start":
+            found = found.groupBy("bundle", side, "id").agg(F.min("near").alias("near"))
+        steps[side].append(cut_lineage(found))
+        reached = steps[side][-1].select("bundle", side, "id")
+        layers[side] = [layers[side][-1], reached if side == "start" else cut_lineage(reached.distinct())]
+        work[side] = _work(layers[side][-1], degree)
 
 
 def shortest_paths(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     """(bundle, start, end, step, id) along a shortest undirected path of every pair (bundle, start, end); none where there is no path.
 
     Between equally short paths the one with the smallest predecessor at each node is taken. All pairs are searched together,
-    one layer of all starts after the other. Paths are read back by doubling: who knows the ancestors up to 2^k steps away
-    knows those up to 2^(k+1) after one join of the ancestors 2^k away, so the number of joins is the logarithm of the longest path.
+    from both ends. From where a pair met, the edges towards its end are followed once more, all of them, so that every node on
+    the way knows its smallest predecessor; then each path is read back from its end, a row per pair and step.
     """
-    pairs = cut_lineage(pairs.select("bundle", "start", "end").distinct())
-    reached = cut_lineage(_reach(edges, pairs))
-    found = pairs.join(reached.select("bundle", "start", F.col("id").alias("end"), "hop"), ["bundle", "start", "end"])
-    path = cut_lineage(found.select("bundle", "start", "end", F.col("hop").alias("step"), F.col("end").alias("id")))
-    longest = path.agg(F.max("step")).first()[0] or 0
-    up = reached.where("parent IS NOT NULL").select("bundle", "start", "id", F.col("parent").alias("above"))
-    known = 1
-    while known <= longest:
-        higher = path.join(up, ["bundle", "start", "id"]).select("bundle", "start", "end", (F.col("step") - known).alias("step"), F.col("above").alias("id"))
-        path = cut_lineage(path.unionByName(higher))
-        known *= 2
-        if known <= longest:
-            up = cut_lineage(up.join(up.select("bundle", "start", F.col("id").alias("above"), F.col("above").alias("further")), ["bundle", "start", "above"])
-                             .select("bundle", "start", "id", F.col("further").alias("above")))
-    return path
+    pairs = cut_lineage(pairs.select(*_PAIR).distinct())
+    above, towards, met = _search(edges, pairs)
+    if not met:
+        return pairs.select(*_PAIR, F.lit(0).alias("step"), F.col("end").alias("id")).where("false")
+    before: list[DataFrame] = [pairs] * len(towards)  # by steps from the end: (pair, id, near), near a step closer to the start
+    current = None
+    for back in range(len(towards), 0, -1):
+        for _, b, now in met:
+            if b == back:
+                current = now if current is None else current.unionByName(now)
+        if current is not None:
+            last = current.join(towards[back - 1], ["bundle", "end", "id"]).groupBy(*_PAIR, F.col("near").alias("_to")).agg(F.min("id").alias("near"))
+            before[back - 1] = cut_lineage(last.withColumnRenamed("_to", "id"))
+            current = before[back - 1].select(*_PAIR, "id")
+
+    def union(parts: list[DataFrame]) -> DataFrame:
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    # every pair with its length, at its end
+    found = cut_lineage(union([now.select(*_PAIR, F.lit(f).alias("ahead"), F.lit(b).alias("behind")).distinct() for f, b, now in met]))
+    at = found.select("*", (F.col("ahead") + F.col("behind")).alias("step"), F.col("end").alias("id"))
+    path, meeting = [at], []
+    for back in range(max(b for _, b, _ in met) + 1):
+        meeting.append(at.where(F.col("behind") == back))
+        if back < len(towards):
+            at = at.where(F.col("behind") > back).join(before[back], [*_PAIR, "id"])
+            at = cut_lineage(at.select(*_PAIR, "ahead", "behind", (F.col("step") - 1).alias("step"), F.col("near").alias("id")))
+            path.append(at)
+    at = cut_lineage(union(meeting))
+    for hop in range(max(f for f, _, _ in met), 0, -1):
+        moved = at.where(F.col("step") == hop).join(above[hop - 1], ["bundle", "start", "id"])
+        moved = moved.select(*_PAIR, "ahead", "behind", (F.col("step") - 1).alias("step"), F.col("near").alias("id"))
+        at = cut_lineage(at.where(F.col("step") < hop).unionByName(moved))
+        path.append(at.where((F.col("step") == hop - 1) & (F.col("ahead") >= hop)))
+    return cut_lineage(union(path).select(*_PAIR, "step", "id"))
 
 
 def shortest_path(edges: DataFrame, bundle: str, start: str, end: str) -> DataFrame:

@@ -40,3 +40,24 @@ def test_many_pairs(spark):
     assert got == {p: plain(edges, *p) for p in pairs if plain(edges, *p)}
     assert [r["id"] for r in graph.shortest_path(df, "b", "n00", "c12").collect()] == plain(edges, "n00", "c12")
     assert graph.shortest_path(df, "b", "n00", "gone").count() == 0
+
+
+def test_hub_between_pairs_is_not_spread_per_start(spark, monkeypatch):
+    """Each start sees all 400 leaves behind the hub within two steps; no table may hold them for each of the 30 starts."""
+    edges = [("hub", f"leaf{i:03d}") for i in range(400)] + [(f"start{i:02d}", "hub") for i in range(30)] + [(f"leaf{i:03d}", f"end{i // 50 % 2}") for i in range(0, 400, 50)]
+    df = spark.createDataFrame([("b", a, b) for a, b in edges], "bundle string, source string, target string")
+    pairs = [(f"start{i:02d}", f"end{i % 2}") for i in range(30)]
+    cut, most = graph.cut_lineage, []
+
+    def counted(table):
+        out = cut(table)
+        most.append(out.count())
+        return out
+
+    monkeypatch.setattr(graph, "cut_lineage", counted)
+    rows = graph.shortest_paths(df, spark.createDataFrame([("b", a, b) for a, b in pairs], "bundle string, start string, end string")).collect()
+    got: dict = {}
+    for r in sorted(rows, key=lambda r: r["step"]):
+        got.setdefault((r["start"], r["end"]), []).append(r["id"])
+    assert got == {p: plain(edges, *p) for p in pairs}
+    assert max(most) <= 2 * len(edges)
