@@ -122,28 +122,26 @@ def fuzzy_score(query: str, text: Column) -> Column:
     query = query.lower()
     if not query:
         return F.lit(0)
-    low = F.lower(text)
-    start = F.struct(
-        F.lit(1).alias("pos"), F.lit(0).alias("score"), F.lit(0).alias("streak"), F.lit(0).alias("first")
-    )
+    none = F.array().cast("array<int>")
+
+    def hits(low: Column) -> Column:
+        """Positions of the characters, each behind the one before; 0 from the first that is missing."""
+        def step(found: Column, ch: Column) -> Column:
+            last = F.coalesce(F.get(found, F.size(found) - 1), F.lit(-1))
+            return F.array_append(found, F.when(last == 0, 0).otherwise(F.call_function("locate", ch, low, F.greatest(last, F.lit(0)) + 1)))
+
+        return F.aggregate(F.array(*[F.lit(ch) for ch in query]), none, step)
+
+    def score(found: Column) -> Column:
+        start = F.struct(F.lit(0).alias("last"), F.lit(0).alias("score"), F.lit(0).alias("streak"))
+
+        def step(state: Column, hit: Column) -> Column:
+            joined = hit == state["last"] + 1
+            streak = F.when(joined, state["streak"] + 1).otherwise(0)
+            return F.struct(hit.alias("last"), (state["score"] + F.when(joined, 5 + streak).otherwise(1)).alias("score"), streak.alias("streak"))
+
+        total = F.aggregate(found, start, step, lambda state: state["score"]) + F.when(found[0] == 1, 10).otherwise(0)
+        return F.when(F.array_contains(found, 0), -1).otherwise(total)
 
-    def step(state: Column, ch: Column) -> Column:
-        hit = F.call_function("locate", ch, low, state["pos"])
-        joined = hit == state["pos"]
-        streak = F.when(joined, state["streak"] + 1).otherwise(0)
-        return (
-            F.when(state["pos"] < 0, state)
-            .when(hit == 0, F.struct(F.lit(-1).alias("pos"), F.lit(-1).alias("score"),
-                                     F.lit(0).alias("streak"), F.lit(0).alias("first")))
-            .otherwise(F.struct(
-                (hit + 1).alias("pos"),
-                (state["score"] + F.when(joined, 5 + streak).otherwise(1)).alias("score"),
-                streak.alias("streak"),
-                F.when(state["first"] == 0, hit).otherwise(state["first"]).alias("first"),
-            ))
-        )
-
-    def finish(state: Column) -> Column:
-        return state["score"] + F.when(state["first"] == 1, 10).otherwise(0)
-
-    return F.aggregate(F.array(*[F.lit(ch) for ch in query]), start, step, finish)
+    # arrays of one element name what is used more than once, so that it is computed once per text
+    return F.transform(F.transform(F.array(F.lower(text)), hits), score)[0]
