@@ -11,6 +11,7 @@ from ..functions import markdown as md
 from ..functions import paths as pt
 from ..functions import text as tx
 from ..functions.rows import evaluate_once
+from ..session import cut_lineage
 
 FIELDS = ["path", "type", "title", "description", "resource", "tags", "timestamp",
           "content_hash", "enriched_against", "body"]
@@ -90,8 +91,10 @@ def log_lines(log: DataFrame) -> DataFrame:
     """Lines of each bundle's change log: (bundle, date, run, concept_id, part, line).
 
     Sort by bundle, date descending, part, run descending, concept_id descending. Heading
-    lines (part 0) come from the distinct dates; the title line has an empty part before.
+    lines (part 0) come from the distinct dates; the title line has an empty part before. The log is
+    written once, as headings, bullets and the sort read it anew.
     """
+    log = cut_lineage(log)
     bullet = F.concat(F.lit("* **"), F.col("kind"), F.lit("**: "), F.col("message"))
     bullets = log.select("bundle", "date", "run", "concept_id", F.lit(1).alias("part"), bullet.alias("line"))
     heads = log.select("bundle", "date").distinct().select(
