@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..functions import paths as pt
 from ..functions import text as tx
+from ..session import cut_lineage
 from . import audit, docs
 
 
@@ -34,7 +35,8 @@ def triage(concepts: DataFrame, row_counts: DataFrame) -> DataFrame:
     """Candidates by falling link degree, then row count: ``row_counts(bundle, concept_id, row_count)``."""
     ranked = audit.concept_degrees(concepts).where(tx.is_placeholder(F.col("description")))
     joined = ranked.join(row_counts, ["bundle", "concept_id"], "left")
-    return joined.select("bundle", "concept_id", "degree", "row_count").orderBy(
+    # a table, as sorting looks at its rows twice
+    return cut_lineage(joined.select("bundle", "concept_id", "degree", "row_count")).orderBy(
         F.desc("degree"), F.desc_nulls_last("row_count"), "bundle", "concept_id")
 
 
