@@ -929,7 +929,8 @@ def tag_union(spark, sf):
 
 @query(f"""WITH {V1} SELECT '- [' || title || '](' || concept_id || '.md) - ' || CASE WHEN description = '' THEN type ELSE description END AS line FROM v1""")
 def bundle_index(spark, sf):
-    return merge.index_lines(docs.readable(parsed(spark, sf))).orderBy("bundle", "concept_id").select("line")
+    # a table, as sorting looks at its rows twice
+    return as_table(merge.index_lines(docs.readable(parsed(spark, sf)))).orderBy("bundle", "concept_id").select("line")
 
 
 @query(f"""WITH {V1} SELECT concept_id, md5(body) AS body, title, description, 'star,' || tag AS tags FROM v1""")
