@@ -19,34 +19,36 @@ _KEY = r"[A-Za-z_][A-Za-z0-9_-]*"
 _REST = 2147483647
 
 
-def _closing(raw: Column) -> Column:
+def closing(raw: Column) -> Column:
     """Position of the newline before the closing ``---`` line, 0 when there is no block.
 
     Plain string searches: bodies are long, and a pattern would walk over all of them.
     """
     opened = raw.startswith("---\n") | raw.startswith("---\r\n")
     lf = F.locate("\n---\n", raw, 4)
-    crlf = F.locate("\n---\r\n", raw, 4)
+    # most texts have no such line; a plain test is cheaper than a position
+    crlf = F.when(raw.contains("\n---\r\n"), F.locate("\n---\r\n", raw, 4)).otherwise(0)
     first = F.when(lf == 0, crlf).when(crlf == 0, lf).otherwise(F.least(lf, crlf))
     return F.when(opened, first).otherwise(0)
 
 
-def has_block(raw: Column) -> Column:
-    """The text starts with a ``---`` line and has another one."""
-    return _closing(raw) > 0
+def has_block(raw: Column, at: Column | None = None) -> Column:
+    """The text starts with a ``---`` line and has another one; ``at``: its ``closing``, where that is known."""
+    return (closing(raw) if at is None else at) > 0
 
 
-def block(raw: Column) -> Column:
+def block(raw: Column, at: Column | None = None) -> Column:
     """The YAML between the first two ``---`` lines, with line ends normalised."""
-    text = F.substring(raw, F.lit(1), _closing(raw))
+    text = F.substring(raw, F.lit(1), closing(raw) if at is None else at)
     return F.substring(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit(5), F.lit(_REST))
 
 
-def body(raw: Column) -> Column:
+def body(raw: Column, at: Column | None = None) -> Column:
     """The text after the second ``---`` line, "" when there is no block."""
-    rest = F.substring(raw, _closing(raw) + 1, F.lit(_REST))
+    at = closing(raw) if at is None else at
+    rest = F.substring(raw, at + 1, F.lit(_REST))
     inside = F.substring(rest, F.when(rest.startswith("---\r\n"), 6).otherwise(5), F.lit(_REST))
-    return F.when(has_block(raw), inside).otherwise("")
+    return F.when(at > 0, inside).otherwise("")
 
 
 def yaml_lines(yaml: Column) -> Column:

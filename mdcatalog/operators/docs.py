@@ -30,9 +30,10 @@ def parse_concepts(raw: DataFrame) -> DataFrame:
     Only frontmatter outside the flat subset is sent to Python.
     """
     files = markdown_files(raw).where(~pt.is_reserved(F.col("path")))
-    content = F.col("content")
-    split = evaluate_once(files, "bundle", "path", fm.has_block(content).alias("_has"),
-                          fm.block(content).alias("_yaml"), fm.body(content).alias("body"))
+    content, at = F.col("content"), F.col("_at")
+    cut = evaluate_once(files, "bundle", "path", "content", fm.closing(content).alias("_at"))
+    split = evaluate_once(cut, "bundle", "path", fm.has_block(content, at).alias("_has"),
+                          fm.block(content, at).alias("_yaml"), fm.body(content, at).alias("body"))
     split = evaluate_once(split, "bundle", "path", "body", "_has", "_yaml", fm.yaml_lines(F.col("_yaml")).alias("_lines"))
     lines = F.col("_lines")
     split = evaluate_once(split, "bundle", "path", "body", "_has", "_yaml", "_lines", (F.col("_has") & fm.is_flat(lines)).alias("_flat"))
