@@ -51,6 +51,34 @@ def body(raw: Column, at: Column | None = None) -> Column:
     return F.when(at > 0, inside).otherwise("")
 
 
+# Blocks of plain keys, values and items, on lines as connectors write them. A value is one or more words of printable
+# ASCII, no null word, without ": " and " #", or double-quoted without escapes. Runs are possessive, and long blocks are
+# no matter for the pattern, as groups that repeat are recursive.
+_WORDS = r"(?!(?:null|Null|NULL)\n)[A-Za-z0-9](?:[!-9;-~]++|:(?=[!-~])| (?=[!\"$-~]))*+"
+_SIMPLE = rf'\A(?:{_KEY}:(?: (?:{_WORDS}|"[ !#-\[\]-~]*+"))?\n| *+- {_WORDS}\n)*+\z'
+_SIMPLE_LENGTH = 2000
+
+
+def is_simple(yaml: Column) -> Column:
+    """Whether a block is one that ``simple_keys``, ``simple_values`` and ``simple_list`` read: most are, others take ``yaml_lines``."""
+    return F.when(F.octet_length(yaml) <= _SIMPLE_LENGTH, yaml.rlike(_SIMPLE)).otherwise(False)
+
+
+def simple_keys(yaml: Column) -> Column:
+    return F.regexp_extract_all(yaml, F.lit(rf"(?dm)^({_KEY}):"), 1)
+
+
+def simple_values(yaml: Column) -> Column:
+    """Values of ``simple_keys``, without quotes."""
+    bare = F.when(yaml.contains(': "'), F.regexp_replace(yaml, rf'(?dm)^({_KEY}: )"(.*)"$', "$1$2")).otherwise(yaml)
+    return F.regexp_extract_all(bare, F.lit(rf"(?dm)^{_KEY}: ?(.*)$"), 1)
+
+
+def simple_list(yaml: Column, key: str) -> Column:
+    """Items below the first ``key:`` of a simple block."""
+    return F.regexp_extract_all(F.regexp_extract(yaml, rf"(?dm)^{key}:.*\n((?: *- .*\n)*)", 1), F.lit(r"(?dm)^ *- (.*)$"), 1)
+
+
 def yaml_lines(yaml: Column) -> Column:
     """array<struct<key, value>>: key lines, list items (key ``-``), blanks and comments (key "").
 

@@ -34,10 +34,20 @@ def parse_concepts(raw: DataFrame) -> DataFrame:
     cut = evaluate_once(files, "bundle", "path", "content", fm.closing(content).alias("_at"))
     split = evaluate_once(cut, "bundle", "path", fm.has_block(content, at).alias("_has"),
                           fm.block(content, at).alias("_yaml"), fm.body(content, at).alias("body"))
-    split = evaluate_once(split, "bundle", "path", "body", "_has", "_yaml", fm.yaml_lines(F.col("_yaml")).alias("_lines"))
-    lines = F.col("_lines")
-    split = evaluate_once(split, "bundle", "path", "body", "_has", "_yaml", "_lines", (F.col("_has") & fm.is_flat(lines)).alias("_flat"))
-    flat, flat_tags = fm.flat_fields(lines), fm.flat_list(lines, "tags")
+    # most blocks are read by a few patterns; only others are taken apart line by line
+    yaml, simple, lines = F.col("_yaml"), F.col("_simple"), F.col("_lines")
+    split = evaluate_once(split, "bundle", "path", "body", "_has", "_yaml", (F.col("_has") & fm.is_simple(yaml)).alias("_simple"))
+    split = evaluate_once(split, "bundle", "path", "body", "_has", "_yaml", "_simple", F.when(simple, fm.simple_keys(yaml)).alias("_keys"))
+    once = simple & (F.size(F.array_distinct("_keys")) == F.size("_keys"))
+    split = evaluate_once(split, "bundle", "path", "body", "_has", "_yaml", "_keys", once.alias("_simple"))
+    split = evaluate_once(split, "bundle", "path", "body", "_has", "_yaml", "_simple", "_keys",
+                          F.when(simple, fm.simple_values(yaml)).alias("_values"), F.when(simple, fm.simple_list(yaml, "tags")).alias("_items"))
+    split = evaluate_once(split, "bundle", "path", "body", "_has", "_yaml", "_simple", "_keys", "_values", "_items",
+                          F.when(~simple, fm.yaml_lines(yaml)).alias("_lines"))
+    split = evaluate_once(split, "bundle", "path", "body", "_has", "_yaml", "_simple", "_keys", "_values", "_items", "_lines",
+                          (simple | (F.col("_has") & fm.is_flat(lines))).alias("_flat"))
+    flat = F.when(simple, F.map_from_arrays("_keys", "_values")).otherwise(fm.flat_fields(lines))
+    flat_tags = F.when(simple, F.col("_items")).otherwise(fm.flat_list(lines, "tags"))
     split = split.withColumn("_json", fm.yaml_to_json(F.when(F.col("_has") & ~F.col("_flat"), F.col("_yaml"))))
     loaded = F.from_json("_json", "map<string,string>")
     fields = F.when(F.col("_flat"), flat).otherwise(loaded)
