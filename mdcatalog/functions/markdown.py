@@ -36,8 +36,8 @@ def get_section(body: Column, heading: str, any_level: bool = False) -> Column:
 
     Level 2 only, or any level; the section ends at the next level-1 or level-2 heading.
     """
-    pattern = _section_pattern(heading, any_level)
-    return F.when(body.rlike(pattern), trim_ws(F.regexp_extract(body, pattern, 1)))
+    # one search says both whether there is a section and what is in it
+    return trim_ws(F.get(F.regexp_extract_all(body, F.lit(_section_pattern(heading, any_level)), 1), 0))
 
 
 def section_chunks(body: Column) -> Column:
