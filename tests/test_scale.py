@@ -2,12 +2,14 @@
 
 from pyspark.sql import functions as F
 
+from mdcatalog.functions import frontmatter as fm
+from mdcatalog.functions import markdown as md
 from mdcatalog.functions import text as tx
-from mdcatalog.operators import drift
-from workload import star
+from mdcatalog.operators import docs, drift
+from workload import queries, star
 
 
-def test_bundle_rows_are_dealt_out(spark, tmp_path):
+def small_tables(spark, folder):
     tables = {
         "customer": ([(i, f"Customer {i}", 1, float(i), "BUILDING") for i in range(50)], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
         "supplier": ([(1, "S", 1, 5.0)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
@@ -16,7 +18,11 @@ def test_bundle_rows_are_dealt_out(spark, tmp_path):
         "part": ([(i, f"p{i}", "Brand#1", "SMALL", 20) for i in range(50)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int"),
     }
     for name, (rows, schema) in tables.items():
-        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_bundle_rows_are_dealt_out(spark, tmp_path):
+    small_tables(spark, tmp_path)
     files = star.bundle(spark, str(tmp_path), 1)
     plan = files._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RebalancePartitions") >= 3
@@ -43,3 +49,56 @@ def test_score_locates_each_character_once(spark):
     scored = spark.createDataFrame([("xaxb",), ("b",)], "t string").select(tx.fuzzy_score("ab", F.col("t")).alias("score"))
     assert scored._jdf.queryExecution().analyzed().toString().count("locate(") == 1
     assert [r["score"] for r in scored.collect()] == [2, -1]
+
+
+BLOCKS = [
+    'type: Table\ntitle: "A b"\nresource: star:///t/1\ntags:\n    - star\n    - a b\nowner: nobody\n', "type: a\n", "a: b: c\n", "a:b\n", "a: x #y\n", "a: x#y\n", "a: null\n",
+    "a: nullable\n", "a: x:\n", "a: x\n\n", "a: x \n", "a:  x\n", "a: say \"hi\"\n", 'a: "x\\"y"\n', 'a: ""\ntags:\n- ""\n', "tags: [a, b]\n", "tags:\nx: y\n- a\n", "tags: t\n- a\n  - b\n",
+    "a: 1\na: 2\n", "a: é\n", "# c\na: x\n", "a: 'x'\n", "a:\n- ~\n- null\n- x\n", "tags:\n- null\n- x y\n", "- a\n", "", "a: x\r\n", "a: x  y\n", "Tags:\n- b\n",
+    "a: NULL\n", "a: x: \n", "a: http://x:1/#y\n", 'a: "x: y #z"\nb: "p" q\n', "a: " + "x" * 3000 + "\n"]
+
+
+def test_simple_blocks_read_as_line_by_line(spark):
+    yaml, lines = F.col("y"), F.col("l")
+    rows = spark.createDataFrame([(b,) for b in BLOCKS], "y string").select("y", fm.yaml_lines(yaml).alias("l"), fm.is_simple(yaml).alias("simple"))
+    entries = lambda m: F.array_sort(F.map_entries(m))
+    once = F.size(F.array_distinct(fm.simple_keys(yaml))) == F.size(fm.simple_keys(yaml))
+    flat = rows.where(fm.is_flat(lines)).select("y", entries(fm.flat_fields(lines)).alias("m"), fm.flat_list(lines, "tags").alias("t"))
+    found = rows.where(F.col("simple") & once).select("y", entries(F.map_from_arrays(fm.simple_keys(yaml), fm.simple_values(yaml))).alias("m"), fm.simple_list(yaml, "tags").alias("t"))
+    expected = {r["y"]: (r["m"], r["t"]) for r in flat.collect()}
+    got = {r["y"]: (r["m"], r["t"]) for r in found.collect()}
+    assert {b: expected[b] for b in got} == got
+    assert {BLOCKS[0], "type: a\n", "a: x#y\n", "a: nullable\n", "tags: t\n- a\n  - b\n", "a: http://x:1/#y\n", "tags:\nx: y\n- a\n"} <= set(got)
+    assert not set(got) & {"a: null\n", "a: x: \n", "a: x #y\n", "a: 1\na: 2\n", "tags: [a, b]\n", BLOCKS[-1]}
+
+
+def test_blocks_of_either_kind_are_concepts(spark, raw):
+    files = raw({f"{i}.md": f"---\n{b}---\nbody" for i, b in enumerate(BLOCKS)})
+    read = {int(r["concept_id"]): r for r in docs.parse_concepts(files).collect()}
+    assert len(read) == len(BLOCKS)
+    assert (read[0]["title"], read[0]["tags"], read[0]["extra"]) == ("A b", ["star", "a b"], {"owner": "nobody"})
+    assert read[BLOCKS.index("a: 1\na: 2\n")]["extra"] == {"a": "1"}
+    assert read[BLOCKS.index("tags: [a, b]\n")]["tags"] == ["a", "b"]
+
+
+def test_section_is_searched_once(spark):
+    found = spark.createDataFrame([("# Columns\n\n x \n# Next\n# Columns\ny",), ("## Other",), (None,), ("# Columns",)], "t string").select(md.get_section(F.col("t"), "Columns", any_level=True).alias("s"))
+    assert found._jdf.queryExecution().analyzed().toString().count("Columns") == 1
+    assert [r["s"] for r in found.collect()] == ["x", None, None, ""]
+
+
+def test_single_branches_write_no_concepts(spark, tmp_path):
+    """Every version that one branch reads is parsed in its plan; tables hold only what is read."""
+    small_tables(spark, tmp_path)
+    for name, versions in (("graph_diff", 2), ("federate_nodes", 2), ("render_round_trip", 1)):
+        plan = queries.QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("RebalancePartitions") >= 3 * versions, name
+
+
+def test_tables_hold_what_branches_read(spark, tmp_path, monkeypatch):
+    small_tables(spark, tmp_path)
+    written, keep = [], queries.as_table
+    monkeypatch.setattr(queries, "as_table", lambda df: written.append(df.columns) or keep(df))
+    for name in ("federate", "subgraph", "er_view", "audit_report"):
+        queries.QUERIES[name](spark, str(tmp_path))
+    assert len(written) == 5 and not any("extra" in columns for columns in written)

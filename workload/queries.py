@@ -664,7 +664,7 @@ _COVERAGE = f"""coverage AS (SELECT total_concepts, placeholders, total_concepts
 
 @query(f"WITH {V1}, {_COLUMN_ROWS}, {_COVERAGE} SELECT * FROM coverage")
 def coverage(spark, sf):
-    return audit.coverage(v1(spark, sf, "type", "description", "body")).drop("bundle")
+    return audit.coverage(v1(spark, sf, "description", "body")).drop("bundle")
 
 
 @query(f"WITH {_COLUMN_ROWS} SELECT concept_id, count(*) AS columns_total, count(*) FILTER (WHERE comment <> '') AS columns_commented FROM cols WHERE pk IS NOT NULL GROUP BY concept_id")
@@ -693,7 +693,7 @@ _REPORT = f"""WITH {V1}, {LINKS}, {WORKING}, {DEGREE}, {_COLUMN_ROWS}, {_COVERAG
 
 
 def _report(spark: SparkSession, sf: str) -> DataFrame:
-    return audit.report(v1(spark, sf), docs.reserved_files(star.reserved(spark, sf)))
+    return audit.report(v1(spark, sf, "path", "type", "description", "body"), docs.reserved_files(star.reserved(spark, sf)))
 
 
 @query(_REPORT + " SELECT * FROM report")
@@ -765,7 +765,7 @@ def directory_clusters(spark, sf):
 
 @query(f"""WITH {V1}, {_EDGES}, {_COLUMN_ROWS} SELECT concept_id, name, type, coalesce(pk, false) AS pk, (concept_id, name) IN (SELECT (source, label) FROM xedges WHERE relation = 'references') AS fk FROM cols""")
 def er_view(spark, sf):
-    return graph.er_columns(v1(spark, sf)).select("concept_id", "name", "type", "pk", "fk")
+    return graph.er_columns(v1(spark, sf, "body")).select("concept_id", "name", "type", "pk", "fk")
 
 
 @query(f"WITH {_EDGES} SELECT source, target, label FROM xedges WHERE relation = 'references'")
@@ -796,7 +796,7 @@ def shortest_path(spark, sf):
 
 @query(_GRAPH + " SELECT source, target, kind, relation FROM edges WHERE (source LIKE 'nations%' OR source LIKE 'regions%') AND (target LIKE 'nations%' OR target LIKE 'regions%')")
 def subgraph(spark, sf):
-    c = v1(spark, sf)
+    c = v1(spark, sf, *NODE, "body")
     nodes, edges = graph.graph_nodes(c), graph.graph_edges(c)
     ids = nodes.where("id RLIKE '^(nations|regions)'")
     return graph.subgraph(nodes, edges, ids)[1].select("source", "target", "kind", "relation")
@@ -843,7 +843,7 @@ _DIFF = f"""WITH {V1}, {V2} SELECT coalesce(n.concept_id, o.concept_id) AS id, c
 
 @query(_DIFF)
 def graph_diff(spark, sf):
-    return graph.diff_nodes(v2(spark, sf), v1(spark, sf)).select("id", "title", "diff")
+    return graph.diff_nodes(parsed(spark, sf, 2), parsed(spark, sf, 1)).select("id", "title", "diff")
 
 
 _EDGES2 = f"""edges2 AS (SELECT source, target, 'crosslink' AS kind, relation FROM xedges WHERE source IN (SELECT concept_id FROM v2)
@@ -863,7 +863,7 @@ def graph_diff_edges(spark, sf):
 @query(_GRAPH + f""", {V2}, {_EDGES2} SELECT bundle, count(*) AS edges, count(DISTINCT source) AS sources, min(source) AS first_source, max(target) AS last_target FROM (
     SELECT 'one' AS bundle, 'one:' || source AS source, 'one:' || target AS target FROM edges UNION ALL SELECT 'two', 'two:' || source, 'two:' || target FROM edges2) f GROUP BY bundle""")
 def federate(spark, sf):
-    a, b = v1(spark, sf), v2(spark, sf)
+    a, b = v1(spark, sf, *NODE, "body"), v2(spark, sf, *NODE, "body")
     _, edges = graph.federate([("one", graph.graph_nodes(a), graph.graph_edges(a)), ("two", graph.graph_nodes(b), graph.graph_edges(b))])
     return edges.groupBy("bundle").agg(F.count("*").alias("edges"), F.countDistinct("source").alias("sources"),
                                        F.min("source").alias("first_source"), F.max("target").alias("last_target"))
@@ -872,7 +872,7 @@ def federate(spark, sf):
 @query(f"""WITH {V1}, {V2} SELECT 'one:' || concept_id AS id, 'one' AS bundle, 'one:' || regexp_replace(concept_id, '/.*$', '') AS dir FROM v1
     UNION ALL SELECT 'two:' || concept_id, 'two', 'two:' || regexp_replace(concept_id, '/.*$', '') FROM v2""")
 def federate_nodes(spark, sf):
-    a, b = v1(spark, sf), v2(spark, sf)
+    a, b = parsed(spark, sf, 1), parsed(spark, sf, 2)
     nodes, _ = graph.federate([("one", graph.concept_nodes(a), graph.graph_edges(a)), ("two", graph.concept_nodes(b), graph.graph_edges(b))])
     return nodes.select("id", "bundle", "dir")
 
@@ -936,6 +936,6 @@ def bundle_index(spark, sf):
 @query(f"""WITH {V1} SELECT concept_id, md5(body) AS body, title, description, 'star,' || tag AS tags FROM v1""")
 def render_round_trip(spark, sf):
     """Concepts written as text and read back."""
-    fresh = docs.readable(v1(spark, sf)).withColumn("body", F.regexp_replace("body", r"(?s)\n# Notes\n.*", ""))
+    fresh = docs.readable(parsed(spark, sf)).withColumn("body", F.regexp_replace("body", r"(?s)\n# Notes\n.*", ""))
     back = docs.parse_concepts(merge.render_concepts(fresh))
     return docs.readable(back).select("concept_id", F.md5("body").alias("body"), "title", "description", flat("tags"))
