@@ -76,8 +76,12 @@ def is_placeholder(description: Column) -> Column:
 
 def structural_hash(body: Column) -> Column:
     """SHA-256 of a body with line ends, trailing blanks and final newlines normalised."""
-    lines = F.regexp_replace(body, r"\r\n?", "\n")
-    stripped = F.regexp_replace(lines, r"(?<![ \t])[ \t]+(?=\n|\z)", "")
+    def strip(lines: Column) -> Column:
+        return F.regexp_replace(lines, r"(?<![ \t])[ \t]+(?=\n|\z)", "")
+
+    # most bodies need neither pattern; plain tests for what they would match are cheaper
+    trailing = body.contains(" \n") | body.contains("\t\n") | body.endswith(" ") | body.endswith("\t")
+    stripped = F.when(body.contains("\r"), strip(F.regexp_replace(body, r"\r\n?", "\n"))).when(trailing, strip(body)).otherwise(body)
     return F.sha2(F.concat(F.rtrim(stripped, F.lit("\n")), F.lit("\n")), 256)
 
 

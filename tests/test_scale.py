@@ -1,5 +1,8 @@
 """What keeps queries over large tables small: dealt rows, no broadcast of generated rows, steps done once."""
 
+import hashlib
+import re
+
 from pyspark.sql import functions as F
 
 from mdcatalog.functions import frontmatter as fm
@@ -102,3 +105,35 @@ def test_tables_hold_what_branches_read(spark, tmp_path, monkeypatch):
     for name in ("federate", "subgraph", "er_view", "audit_report"):
         queries.QUERIES[name](spark, str(tmp_path))
     assert len(written) == 5 and not any("extra" in columns for columns in written)
+
+
+def test_hash_uses_patterns_only_where_they_match(spark):
+    """Plain tests come before the patterns; the hash is that of the patterns alone."""
+    texts = ["", "\n", " ", "x", "x\n\n", "x \ny", "x\t\ny", "x \t \n\n", "x\r\ny\r", "x \r\ny", "x \ry\t\r", "x y\tz", "x\t", " x\n y", "x \u00a0\n", "é \n", "x" + " " * 5000 + "y"]
+    hashed = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select("t", tx.structural_hash(F.col("t")).alias("hash"))
+    plan = hashed._jdf.queryExecution().analyzed().toString()
+    assert plan.count("CASE WHEN") == 1 and plan.index("Contains(") < plan.index("regexp_replace(")
+
+    def expected(text):
+        kept = re.sub(r"(?<![ \t])[ \t]+(?=\n|\Z)", "", re.sub(r"\r\n?", "\n", text))
+        return hashlib.sha256((kept.rstrip("\n") + "\n").encode()).hexdigest()
+
+    assert {r["t"]: r["hash"] for r in hashed.collect()} == {**{t: expected(t) for t in texts}, None: None}
+
+
+def test_bundle_hash_is_dealt_out_and_searches_no_pattern(spark, tmp_path):
+    """Rows are dealt out before they become documents; what people added is cut off by a plain search, once per document."""
+    small_tables(spark, tmp_path)
+    hashed = queries.structural_hash_bundle(spark, str(tmp_path))
+    plan = hashed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RebalancePartitions") >= 3
+    assert plan.count("substring_index(body") == 1
+    assert hashed.count() == hashed.where("length(hash) = 64").count() == 50 + 1 + 1 + 1 + 50 + 1
+
+
+def test_bundle_hash_leaves_out_notes(spark, raw, monkeypatch):
+    files = raw({f"{i}.md": f"---\ntype: a\n---\n{b}" for i, b in enumerate(["x\n", "x\n\n# Notes\n\ny\n# Notes\n", "x\n# Notes\n", "x\n# Notes", "x \n## Notes\n"])})
+    monkeypatch.setattr(queries, "parsed", lambda *_: docs.parse_concepts(files))
+    found = {r["concept_id"]: r["hash"] for r in queries.structural_hash_bundle(spark, "").collect()}
+    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    assert found == {"0": digest("x\n"), "1": digest("x\n"), "2": digest("x\n"), "3": digest("x\n# Notes\n"), "4": digest("x\n## Notes\n")}

@@ -16,6 +16,7 @@ from mdcatalog.functions import frontmatter as fm
 from mdcatalog.functions import markdown as md
 from mdcatalog.functions import paths as pt
 from mdcatalog.functions import text as tx
+from mdcatalog.functions.rows import evaluate_once
 from mdcatalog.session import as_table
 from mdcatalog.operators import audit, catalog, cochange, docs, drift, enrich, graph, merge, profile, render, specs
 
@@ -547,9 +548,9 @@ def structural_hash(spark, sf):
 @query(f"""WITH {V1} SELECT concept_id, hash FROM v1""")
 def structural_hash_bundle(spark, sf):
     """Hash of the parsed body without the sections people added."""
-    body = F.col("body")
-    own = F.concat(md.trim_newlines(F.regexp_replace(body, r"(?s)\n# Notes\n.*", "")), F.lit("\n"))
-    return docs.readable(parsed(spark, sf)).select("concept_id", tx.structural_hash(own).alias("hash"))
+    own = F.concat(md.trim_newlines(F.substring_index("body", "\n# Notes\n", 1)), F.lit("\n"))
+    bodies = evaluate_once(docs.readable(parsed(spark, sf)), "concept_id", own.alias("own"))
+    return bodies.select("concept_id", tx.structural_hash(F.col("own")).alias("hash"))
 
 
 _COLUMN_ROWS = f"""cols AS (
