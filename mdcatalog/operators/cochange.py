@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from ..session import cut_lineage
+from ..session import packed_table
+
+#: A commit of more files is never expanded pair by pair.
+LARGE = 1000
+#: Rare files are looked for where there are more pairs a row than this; below, that costs more than the pairs it saves.
+FEW_PAIRS = 4
+#: Pairs that are shuffled at once, and how often the commits are read at most to keep to it.
+PAIRS_AT_ONCE, ROUNDS = 1 << 26, 8
 
 
 def ignore_patterns(lines: list[str]) -> list[str]:
@@ -84,22 +92,43 @@ def with_last_change(files: DataFrame, commits: DataFrame) -> DataFrame:
     return joined.withColumn("at", F.coalesce("at", "modified"))
 
 
-def change_sets(commits: DataFrame, patterns: list[str] | None = None, **ignore) -> DataFrame:
-    """Distinct (commit_id, path) without ignored files."""
+def _by_commit(rows: DataFrame, large: int) -> tuple[DataFrame, DataFrame | None]:
+    """(commit_id, files) of commits of up to ``large`` rows, files once and in order, and the rows of larger ones, None without any.
+
+    Only the rows of small commits are brought together by commit. Sizes are counted by a hash: commits that share one
+    may count as large, which changes how they are dealt with and not what is found.
+    """
+    key = F.when(F.col("commit_id").isNotNull(), F.xxhash64("commit_id"))
+    keyed = rows.select("commit_id", "path", key.alias("key"))
+    big = packed_table(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > large).select("key"))
+    some = not big.isEmpty()
+    small = keyed.join(big, "key", "left_anti") if some else keyed
+    grouped = small.groupBy("commit_id").agg(F.array_sort(F.collect_set("path")).alias("files"))
+    return grouped, keyed.join(big, "key", "left_semi").select("commit_id", "path") if some else None
+
+
+def change_sets(commits: DataFrame, patterns: list[str] | None = None, large: int = LARGE, **ignore) -> DataFrame:
+    """Distinct (commit_id, path) without ignored files.
+
+    What is shuffled is a row per commit, not one per file, but for commits of more than ``large`` files.
+    """
     rows = commits.select("commit_id", "path").where("path <> ''")
     if patterns is not None:
         rows = drop_ignored(rows, patterns, match_ancestors=False, **ignore)
-    return rows.distinct()
+    grouped, rest = _by_commit(rows, large)
+    sets = grouped.select("commit_id", F.explode("files").alias("path"))
+    return sets if rest is None else sets.unionByName(rest.distinct())
 
 
-def cochange_pairs(changes: DataFrame, min_count: int = fv.COCHANGE_MIN, large: int = 1000) -> DataFrame:
+def cochange_pairs(changes: DataFrame, min_count: int = fv.COCHANGE_MIN, large: int = LARGE) -> DataFrame:
     """(a, b, n) with a < b: in how many commits both files changed, where n >= min_count.
 
-    Exact, without pairing up the files of a very large commit:
+    Exact, without pairing up the files of a very large commit; ``changes`` is read twice:
 
-    * a file in fewer than ``min_count`` commits cannot be part of a pair and is dropped first;
     * commits of up to ``large`` files are expanded pair by pair, which is at most ``large``
-      pairs per input row;
+      pairs per input row. Where that is many, files in fewer than ``min_count`` commits, which
+      cannot be part of a pair, are dropped first. Very many pairs are counted in rounds, by
+      their first file, so that what is shuffled at a time stays small;
     * commits above that, of which there are at most rows / ``large``, are never expanded.
       Each file keeps the set of large commits it is in. Pairs already known from small commits
       add the size of the intersection of the two sets; pairs known from large commits only are
@@ -107,26 +136,45 @@ def cochange_pairs(changes: DataFrame, min_count: int = fv.COCHANGE_MIN, large:
       least ``min_count`` large commits, so every row formed from them is a row of the result.
       What is compared beforehand are groups, as many as there are different sets.
     """
-    sets = changes.select("commit_id", "path").distinct()
-    if min_count > 1:
-        frequent = sets.groupBy("path").agg(F.count("*").alias("n")).where(F.col("n") >= min_count)
-        sets = sets.join(frequent, "path", "left_semi")
-    sets = cut_lineage(sets)
-    big = sets.groupBy("commit_id").agg(F.count("*").alias("n")).where(F.col("n") > large).select("commit_id")
-    if big.isEmpty():
-        pairs = _small_pairs(sets)
+    grouped, rest = _by_commit(changes, large)
+    files = packed_table(grouped.select("files").where(F.size("files") > 1))
+    rows, pairs = _sizes(files)
+    if min_count > 1 and pairs > FEW_PAIRS * rows:
+        files = packed_table(_without_rare(files, rest, min_count))
+        pairs = _sizes(files)[1]
+    rounds = min(ROUNDS, -(-pairs // PAIRS_AT_ONCE))
+    if rest is not None:
+        found = _with_large_commits(_small_pairs(files), rest, min_count)
+    elif rounds > 1:
+        by_round = [_small_pairs(files, F.pmod(F.xxhash64("a"), F.lit(rounds)) == k) for k in range(rounds)]
+        found = reduce(DataFrame.unionByName, [packed_table(found.where(F.col("n") >= min_count)) for found in by_round])
     else:
-        pairs = _with_large_commits(_small_pairs(sets.join(big, "commit_id", "left_anti")),
-                                    sets.join(big, "commit_id", "left_semi"), min_count)
-    return pairs.where(F.col("n") >= min_count)
+        found = _small_pairs(files)
+    return found.where(F.col("n") >= min_count)
+
+
+def _sizes(files: DataFrame) -> tuple[int, int]:
+    """How many files there are in all commits, and how many pairs."""
+    n = F.size("files").cast("bigint")
+    found = files.agg(F.sum(n), F.sum(F.shiftright(n * (n - 1), 1))).first()
+    return found[0] or 0, found[1] or 0
+
+
+def _without_rare(files: DataFrame, rest: DataFrame | None, min_count: int) -> DataFrame:
+    """Small commits without the files that are in fewer than ``min_count`` commits of several files."""
+    path = F.explode("files").alias("path")
+    seen = files.select(path) if rest is None else files.select(path).unionByName(rest.select("path"))
+    frequent = seen.groupBy("path").agg(F.count("*").alias("n")).where(F.col("n") >= min_count)
+    numbered = files.select(F.monotonically_increasing_id().alias("id"), "files").select("id", path)
+    return numbered.join(frequent, "path", "left_semi").groupBy("id").agg(F.array_sort(F.collect_list("path")).alias("files")).select("files")
 
 
-def _small_pairs(sets: DataFrame) -> DataFrame:
+def _small_pairs(commits: DataFrame, which: Column | None = None) -> DataFrame:
     files = F.col("files")
-    grouped = sets.groupBy("commit_id").agg(F.array_sort(F.collect_list("path")).alias("files")).where(F.size(files) > 1)
+    first = commits.select("files", F.posexplode("files").alias("i", "a"))
     rest = F.slice(files, F.col("i") + 2, F.size(files))
     return (
-        grouped.select("files", F.posexplode("files").alias("i", "a"))
+        (first if which is None else first.where(which))
         .select("a", F.explode(rest).alias("b"))
         .groupBy("a", "b").agg(F.count("*").alias("n"))
     )

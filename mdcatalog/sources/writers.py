@@ -20,10 +20,12 @@ from ..operators import docs, graph, merge
 from ..session import delete, new_folder, qualified
 
 def write_files(files: DataFrame, folder: str) -> int:
-    """Write (path, content) rows below ``folder``; returns how many were written."""
+    """Write (path, content) rows below ``folder``, those of paths that end in ``.gz`` compressed; returns how many were written."""
     folder = qualified(files.sparkSession, folder)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import gzip
+
         from pyarrow import fs
 
         system, base = fs.FileSystem.from_uri(folder)
@@ -33,7 +35,8 @@ def write_files(files: DataFrame, folder: str) -> int:
                 system.create_dir(os.path.dirname(target), recursive=True)
                 partial = f"{target}.{uuid.uuid4().hex}.tmp"
                 with system.open_output_stream(partial) as out:
-                    out.write(content.encode("utf-8"))
+                    data = content.encode("utf-8")
+                    out.write(gzip.compress(data, 1, mtime=0) if path.endswith(".gz") else data)
                 system.move(partial, target)
             yield pd.DataFrame({"n": [len(batch)]})
 

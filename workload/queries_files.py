@@ -6,11 +6,11 @@ breaks, some rows are short.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mdcatalog.operators import cochange
-from mdcatalog.session import new_folder
+from mdcatalog.session import freed_shuffles, new_folder, scratch
 from mdcatalog.sources import csv_corpus, history, listing, readers, writers
 
 from . import star
@@ -122,24 +122,34 @@ def spark_catalog(spark, sf) -> DataFrame:
 # --- history: an order is a commit, the suppliers of its lines are the files ------------------------
 
 _COMMIT = "md5(CAST(o_orderkey AS STRING))"
+_AUTHOR = "'Clerk ' || CAST(o_custkey AS STRING)"
 _MESSAGE = f"'Order ' || CAST(o_orderkey AS STRING) || {_BREAK} || {_BREAK} || '  commit deadbeef' || {_BREAK} || 'Author: ' || o_orderstatus"
-COMMITS = f"""SELECT DISTINCT {_COMMIT} AS commit_id, 'Clerk ' || CAST(o_custkey AS STRING) AS author, o_orderdate AS made, {_MESSAGE} AS message,
-    'supplier/' || CASE WHEN l_suppkey % 9 = 0 THEN 'ä "' || CAST(l_suppkey AS STRING) || '"' ELSE CAST(l_suppkey AS STRING) END AS path FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey"""
+_CHANGED = """'supplier/' || CASE WHEN l_suppkey % 9 = 0 THEN 'ä "' || CAST(l_suppkey AS STRING) || '"' ELSE CAST(l_suppkey AS STRING) END"""
+COMMITS = f"""SELECT DISTINCT {_COMMIT} AS commit_id, {_AUTHOR} AS author, o_orderdate AS made, {_MESSAGE} AS message,
+    {_CHANGED} AS path FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey"""
 
 
 def _write_log(spark: SparkSession, sf: str) -> str:
-    """Folder of logs of a thousand orders each, as the version control tool prints them."""
-    rows = star.run_sql(spark, sf, COMMITS.replace("SELECT DISTINCT", "SELECT DISTINCT o_orderkey AS row,"))
-    octal = F.replace(F.replace(F.replace("path", F.lit('"'), F.lit('\\"')), F.lit("ä"), F.lit("\\303\\244")), F.lit("\t"), F.lit("\\t"))
-    named = rows.withColumn("path", F.when(F.col("path").contains('"'), F.concat(F.lit('"'), octal, F.lit('"'))).otherwise(F.col("path")))
+    """Folder of logs of a thousand orders each, as the version control tool prints them, compressed."""
+    lines = star.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_set("l_suppkey").alias("suppliers"))
+    orders = star.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus").repartition("o_orderkey").distinct()
+    # keys are shuffled, and become text where the file is written
+    rows = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).withColumn("file", F.floor(F.col("o_orderkey") / 1000)).repartition("file")
+    named = rows.select("file", F.col("o_orderkey").alias("row"), F.expr(_COMMIT).alias("commit_id"), F.expr(_AUTHOR).alias("author"),
+                        F.col("o_orderdate").alias("made"), F.expr(_MESSAGE).alias("message"), F.expr(f"transform(suppliers, l_suppkey -> {_CHANGED})").alias("paths"))
+
+    def printed(path: Column) -> Column:
+        octal = F.replace(F.replace(F.replace(path, F.lit('"'), F.lit('\\"')), F.lit("ä"), F.lit("\\303\\244")), F.lit("\t"), F.lit("\\t"))
+        return F.when(path.contains('"'), F.concat(F.lit('"'), octal, F.lit('"'))).otherwise(path)
+
     message = F.array_join(F.transform(F.split("message", "\n"), lambda m: F.concat(F.lit("    "), m, F.lit("\n"))), "")
     text = F.concat(F.lit("commit "), "commit_id", F.lit("\nAuthor: "), "author", F.lit(" <a@b.c>\nDate:   "), F.date_format("made", "yyyy-MM-dd'T'HH:mm:ss'+00:00'"),
-                    F.lit("\n\n"), message, F.lit("\n"), F.array_join(F.array_sort("paths"), "\n"), F.lit("\n\n"))
-    one = named.groupBy("row", "commit_id", "author", "made", "message").agg(F.collect_list("path").alias("paths")).select("row", text.alias("text"))
-    files = one.groupBy(F.floor(F.col("row") / 1000).alias("file")).agg(F.array_sort(F.collect_list(F.struct("row", "text"))).alias("texts"))
+                    F.lit("\n\n"), message, F.lit("\n"), F.array_join(F.array_sort(F.transform("paths", printed)), "\n"), F.lit("\n\n"))
+    files = named.select("file", "row", text.alias("text")).groupBy("file").agg(F.array_sort(F.collect_list(F.struct("row", "text"))).alias("texts"))
     folder = new_folder(spark)
-    writers.write_files(files.select(F.concat(F.lit("log"), F.col("file").cast("string"), F.lit(".txt")).alias("path"),
-                                     F.array_join(F.transform("texts", lambda t: t["text"]), "").alias("content")), folder)
+    with freed_shuffles(spark):
+        writers.write_files(files.select(F.concat(F.lit("log"), F.col("file").cast("string"), F.lit(".txt.gz")).alias("path"),
+                                         F.array_join(F.transform("texts", lambda t: t["text"]), "").alias("content")), folder)
     return folder
 
 
@@ -158,4 +168,6 @@ def history_commits(spark, sf) -> DataFrame:
 
 @query(f"""SELECT a.path AS a, b.path AS b, count(*) AS n FROM ({COMMITS}) a JOIN ({COMMITS}) b ON a.commit_id = b.commit_id AND a.path < b.path GROUP BY 1, 2 HAVING count(*) >= 2""")
 def history_cochange(spark, sf) -> DataFrame:
-    return cochange.cochange_pairs(cochange.change_sets(history.read_history(spark, _write_log(spark, sf))))
+    with scratch(spark) as keep:  # the log goes when it has been read
+        changes = keep(history.read_history(spark, _write_log(spark, sf)).select("commit_id", "path"))
+    return cochange.cochange_pairs(cochange.change_sets(changes))
