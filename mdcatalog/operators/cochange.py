@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from ..session import packed_table
+from ..session import freed_shuffles, packed_table
 
 #: A commit of more files is never expanded pair by pair.
 LARGE = 1000
@@ -156,7 +156,8 @@ def cochange_pairs(changes: DataFrame, min_count: int = fv.COCHANGE_MIN, large:
 def _sizes(files: DataFrame) -> tuple[int, int]:
     """How many files there are in all commits, and how many pairs."""
     n = F.size("files").cast("bigint")
-    found = files.agg(F.sum(n), F.sum(F.shiftright(n * (n - 1), 1))).first()
+    with freed_shuffles(files.sparkSession):
+        found = files.agg(F.sum(n), F.sum(F.shiftright(n * (n - 1), 1))).first()
     return found[0] or 0, found[1] or 0
 
 

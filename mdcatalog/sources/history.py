@@ -86,16 +86,18 @@ def numbered(log: DataFrame) -> DataFrame:
     commit_id = F.nullif(F.regexp_extract("line", _HEADER, 1), F.lit(""))
     known = log.select("file", "block", "at", "line", F.when(F.col("line").startswith("commit "), commit_id).alias("commit_id"))
     schema = T.StructType([*log.select("file", "block", "at", "line").schema, T.StructField("start", T.LongType()), T.StructField("commit_id", T.StringType())])
-    inside = packed_table(known.mapInArrow(_fill, schema))
+    spark = log.sparkSession  # blocks stay whole, but several go to one file
+    parts = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    inside = packed_table(known.mapInArrow(_fill, schema).coalesce(parts))
     open_ = inside.where("start IS NULL").drop("start", "commit_id")
     if open_.isEmpty():
         return inside
     # a row per block
-    last = inside.where("at = start").groupBy("file", "block").agg(F.max(F.struct("start", "commit_id")).alias("last"))
+    last = F.max(F.when(F.col("start").isNotNull(), F.struct("start", "commit_id"))).alias("last")
     above = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    before = open_.select("file", "block").distinct().join(last, ["file", "block"], "full").select(
+    before = inside.where("start IS NULL OR at = start").groupBy("file", "block").agg(last).select(
         "file", "block", F.last("last", ignorenulls=True).over(above).alias("last")).where("last IS NOT NULL")
-    continued = open_.join(before, ["file", "block"]).select("file", "block", "at", "line", "last.start", "last.commit_id")
+    continued = packed_table(open_.join(before, ["file", "block"]).select("file", "block", "at", "line", "last.start", "last.commit_id"))
     return inside.where("start IS NOT NULL").unionByName(continued)
 
 

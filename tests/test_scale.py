@@ -1,15 +1,23 @@
 """What keeps queries over large tables small: dealt rows, no broadcast of generated rows, steps done once."""
 
+import gzip
 import hashlib
+import itertools
+import os
+import random
 import re
+from collections import Counter
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from mdcatalog import session
 from mdcatalog.functions import frontmatter as fm
 from mdcatalog.functions import markdown as md
 from mdcatalog.functions import text as tx
-from mdcatalog.operators import docs, drift
-from workload import queries, star
+from mdcatalog.operators import cochange, docs, drift
+from mdcatalog.sources import history, writers
+from workload import queries, queries_files, star
 
 
 def small_tables(spark, folder):
@@ -137,3 +145,92 @@ def test_bundle_hash_leaves_out_notes(spark, raw, monkeypatch):
     found = {r["concept_id"]: r["hash"] for r in queries.structural_hash_bundle(spark, "").collect()}
     digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
     assert found == {"0": digest("x\n"), "1": digest("x\n"), "2": digest("x\n"), "3": digest("x\n# Notes\n"), "4": digest("x\n## Notes\n")}
+
+
+def history_tables(spark, folder):
+    rng = random.Random(7)
+    orders = [(i, i % 5, datetime(2024, 1, 1 + i % 28), "OF"[i % 2], i % 3) for i in range(60)]
+    lines = [(i, rng.randrange(12)) for i, *_ in orders for _ in range(rng.randrange(1, 6))]
+    spark.createDataFrame([o[:4] for o in orders], "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_orderstatus string").write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long").write.parquet(f"{folder}/lineitem.parquet")
+    return lines
+
+
+def pairs_of(changes, least=2):
+    commits, counts = {}, Counter()
+    for commit, path in changes:
+        commits.setdefault(commit, set()).add(path)
+    for files in commits.values():
+        counts.update(itertools.combinations(sorted(files), 2))
+    return {k: n for k, n in counts.items() if n >= least}
+
+
+def test_history_cochange_leaves_little_on_disk(spark, tmp_path):
+    """The log and what was shuffled to write and read it are gone when pairs are counted."""
+    lines = history_tables(spark, tmp_path)
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    def shared():
+        return {f"{d}/{f}" for d, _, fs in os.walk(session.shared_folder(spark).removeprefix("file:")) for f in fs}
+
+    before = shuffled(), shared()
+    found = queries_files.history_cochange(spark, str(tmp_path))
+    assert not shuffled() - before[0]
+    assert not [f for f in shared() - before[1] if ".txt" in f]
+    paths = [(c, f'supplier/ä "{p}"' if p % 9 == 0 else f"supplier/{p}") for c, p in lines]
+    assert {(r["a"], r["b"]): r["n"] for r in found.collect()} == pairs_of(paths)
+
+
+def test_history_without_messages_joins_nothing(spark, tmp_path):
+    (tmp_path / "a.log").write_text("commit 1234567\nAuthor: A <a@b>\n\n    Text\n\nx.txt\ny.txt\n")
+    found = history.read_history(spark, str(tmp_path))
+    plan = found.select("commit_id", "path")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    assert sorted(r["path"] for r in found.where("author = 'A' AND message = 'Text'").collect()) == ["x.txt", "y.txt"]
+
+
+def test_history_lines_meet_their_commit_across_batches(spark, tmp_path):
+    """A task keeps the last commit line from batch to batch, and forgets it where another file begins."""
+    for i in range(4):
+        text = f"above {i}.txt\n" + "".join(f"commit {i}{c}00000\n\n    Text\n\n" + "".join(f"{i}/{c}/{k}.txt\n" for k in range(c)) + "\n" for c in range(5))
+        (tmp_path / f"{i}.log").write_text(text)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    try:
+        for size in (1, 3, 10_000):
+            spark.conf.set(key, size)
+            rows = history.read_history(spark, str(tmp_path)).select("commit_id", "path").collect()
+            assert sorted(map(tuple, rows)) == [(f"{i}{c}00000", f"{i}/{c}/{k}.txt") for i in range(4) for c in range(5) for k in range(c)]
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_compressed_files(spark, tmp_path):
+    files = spark.createDataFrame([("a.log.gz", "ä\nb\n"), ("a.log", "ä\nb\n")], "path string, content string")
+    assert writers.write_files(files, str(tmp_path)) == 2
+    assert (tmp_path / "a.log").read_bytes() == gzip.decompress((tmp_path / "a.log.gz").read_bytes()) == "ä\nb\n".encode()
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "a.log.gz")).collect()] == ["ä", "b"]
+
+
+def test_change_sets_are_distinct_at_any_size(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice(["c1", "c2", "c3", None]), rng.choice(["", None, *"abcdefgh"])) for _ in range(200)] + [("c4", "a")]
+    df = spark.createDataFrame(rows, "commit_id string, path string")
+    for large in (0, 5, 1000):
+        got = [tuple(r) for r in cochange.change_sets(df, large=large).collect()]
+        assert len(got) == len(set(got)) and set(got) == {(c, p) for c, p in rows if p}, large
+
+
+def test_pairs_in_rounds(spark, monkeypatch):
+    rng = random.Random(9)
+    changes = [(c, p) for c in range(60) for p in rng.sample([f"f{i:03d}" for i in range(100)], rng.randrange(1, 14))]
+    df = spark.createDataFrame(changes, "commit_id int, path string")
+    for few, at_once, least in [(0, 50, 2), (0, 1000, 3), (1000, 1000, 2), (0, 1 << 26, 2), (0, 1000, 1)]:  # rare files are looked for, and not
+        monkeypatch.setattr(cochange, "FEW_PAIRS", few)
+        monkeypatch.setattr(cochange, "PAIRS_AT_ONCE", at_once)
+        got = [((r["a"], r["b"]), r["n"]) for r in cochange.cochange_pairs(df, least).collect()]
+        assert len(got) == len(dict(got)) and dict(got) == pairs_of(changes, least), (few, at_once, least)
